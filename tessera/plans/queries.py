@@ -1,0 +1,199 @@
+"""Driver queries: one Spark plan per operator of the inventory, each with an
+equivalent DuckDB SQL oracle (same column names, same rounding).
+
+Every query reads the given tables (or data Spark derives from them) in
+whole. Array results are given in long form (key, pos, value) or as
+comma-joined integer strings so both engines hash them the same way.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import arrays as A
+from tessera.functions import labels as L
+from tessera.functions import strings as S
+from tessera.operators import sampling as SM
+from tessera.operators import vectors as V
+from tessera.session import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql.strip()
+        return fn
+    return deco
+
+
+def _emb(spark, sf):
+    return table(spark, sf, "embeddings")
+
+
+def _long_form(df: DataFrame, key: str, arr_col: str, digits: int | None = 6) -> DataFrame:
+    """(key, pos, value) rows of an array column; 0-based pos."""
+    ex = df.select(F.col(key), F.posexplode(arr_col).alias("pos", "value"))
+    val = F.col("value").cast("double")
+    if digits is not None:
+        val = F.round(val, digits)
+    return ex.select(key, F.col("pos").cast("bigint").alias("pos"), val.alias("value"))
+
+
+# SQL fragments shared by the oracles
+_SQL_COS = ("list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])) / "
+            "(sqrt(list_dot_product(CAST({a} AS DOUBLE[]), CAST({a} AS DOUBLE[]))) * "
+            "sqrt(list_dot_product(CAST({b} AS DOUBLE[]), CAST({b} AS DOUBLE[]))))")
+_SQL_U = "CAST(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+# ------------------------------------------------------------------ vectors
+
+@register("nearest_topk", f"""
+WITH s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id,
+         {_SQL_COS.format(a='a.embedding', b='b.embedding')} AS sim
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, neighbor_id) AS rnk
+      FROM s WHERE sim IS NOT NULL)
+SELECT query_id, neighbor_id, CAST(rnk AS BIGINT) AS rank, round(sim, 6) AS similarity
+FROM r WHERE rnk <= 3
+""")
+def q_nearest_topk(spark, sf):
+    """V2: the 3 nearest other vectors of every vector (cosine)."""
+    emb = _emb(spark, sf)
+    res = V.nearest(emb, emb, k=3, key_col="vec_id", vec_col="embedding", exclude_self=True)
+    return res.select(F.col("query_key").alias("query_id"), F.col("key").alias("neighbor_id"),
+                      F.col("rank").cast("bigint").alias("rank"),
+                      F.round("score", 6).alias("similarity"))
+
+
+@register("vector_similarity", f"""
+SELECT a.vec_id AS key1, a.vec_id + 1 AS key2,
+       round({_SQL_COS.format(a='a.embedding', b='b.embedding')}, 6) AS similarity
+FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1
+""")
+def q_vector_similarity(spark, sf):
+    """V1: similarity of each key with the next key (unknown key -> NULL)."""
+    emb = _emb(spark, sf)
+    pairs = emb.select(F.col("vec_id").alias("key1"), (F.col("vec_id") + 1).alias("key2"))
+    out = V.similarity(emb, pairs, "vec_id", "embedding", "key1", "key2")
+    return out.select("key1", "key2", F.round("similarity", 6).alias("similarity"))
+
+
+@register("vector_lookup", """
+SELECT l.doc_id, CAST(p.pos AS BIGINT) AS pos, p.value
+FROM labels l LEFT JOIN (
+  SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS value
+  FROM embeddings) p ON p.vec_id = l.doc_id
+""")
+def q_vector_lookup(spark, sf):
+    """V3: the vectors of the keys named by another table (labels.doc_id)."""
+    keys = table(spark, sf, "labels").select("doc_id")
+    found = V.lookup_vectors(_emb(spark, sf), keys, key_col="vec_id", keys_key="doc_id")
+    return found.select("doc_id", F.posexplode_outer("vector").alias("pos", "value")) \
+                .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "value")
+
+
+@register("vector_matrix", """
+SELECT vec_id, '[1,' || CAST(len(embedding) AS VARCHAR) || ']' AS shape,
+       CAST(len(embedding) AS BIGINT) AS n_values,
+       round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS value_sum
+FROM embeddings
+""")
+def q_vector_matrix(spark, sf):
+    """V4: each vector as a 1 x d matrix."""
+    m = _emb(spark, sf).select("vec_id", V.vector_matrix("embedding").alias("m"))
+    return m.select("vec_id",
+                    F.concat(F.lit("["), F.array_join(F.col("m.shape"), ","), F.lit("]")).alias("shape"),
+                    F.size("m.values").cast("bigint").alias("n_values"),
+                    F.round(F.aggregate("m.values", F.lit(0.0), lambda a, x: a + x), 6).alias("value_sum"))
+
+
+@register("vector_scan", f"""
+SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim,
+       round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm
+FROM embeddings
+""")
+def q_vector_scan(spark, sf):
+    """Scan every vector (dimension and norm)."""
+    return V.vector_norms(_emb(spark, sf)).select(
+        "vec_id", F.col("dim").cast("bigint").alias("dim"), F.round("norm", 6).alias("norm"))
+
+
+# ------------------------------------------------------------------ labels
+
+@register("one_hot_label", """
+SELECT vec_id, label,
+       array_to_string(list_transform(range(10), lambda i: CASE WHEN i = label THEN 1 ELSE 0 END), ',') AS one_hot
+FROM embeddings
+""")
+def q_one_hot_label(spark, sf):
+    """One-hot encoding of the class label (10 classes)."""
+    e = _emb(spark, sf)
+    return e.select("vec_id", "label", F.array_join(L.one_hot("label", 10), ",").alias("one_hot"))
+
+
+@register("argmax_onehot", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax_pos,
+       CAST(list_position(list_transform(range(10), lambda i: CASE WHEN i = label THEN 1 ELSE 0 END), 1) - 1
+            AS INTEGER) AS label_back
+FROM embeddings
+""")
+def q_argmax_onehot(spark, sf):
+    """Arg-max over a score vector (first maximum wins); one-hot -> label."""
+    e = _emb(spark, sf)
+    return e.select("vec_id", A.argmax("embedding").alias("argmax_pos"),
+                    A.argmax(L.one_hot("label", 10)).alias("label_back"))
+
+
+@register("label_names", """
+SELECT CAST(label AS INTEGER) AS label, CAST(label AS VARCHAR) AS label_name, count(*) AS n_rows
+FROM embeddings GROUP BY label
+""")
+def q_label_names(spark, sf):
+    """P5: label dimension "0".."N-1" joined to the class counts."""
+    e = _emb(spark, sf)
+    n_classes = e.agg(F.max("label")).first()[0] + 1
+    counts = e.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
+    names = L.label_names(spark, n_classes)
+    return counts.join(F.broadcast(names), "label").select("label", "label_name", "n_rows")
+
+
+@register("label_index", """
+SELECT doc_id, lang, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS lang_index,
+       source, CAST(dense_rank() OVER (ORDER BY source) - 1 AS INTEGER) AS source_index
+FROM documents
+""")
+def q_label_index(spark, sf):
+    """String label -> class index, alphabetical order."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    d = L.index_labels(d, "lang")
+    d = L.index_labels(d, "source")
+    return d.select("doc_id", "lang", "lang_index", "source", "source_index")
+
+
+_SQL_PARTS = "string_split_regex(regexp_replace(url, '[/\\\\]+$', ''), '[/\\\\]')"
+
+
+@register("path_labels", f"""
+SELECT page_id,
+       CASE WHEN len({_SQL_PARTS}) >= 2 THEN {_SQL_PARTS}[-2] END AS parent_label,
+       TRY_CAST(split_part({_SQL_PARTS}[-1], '.', 1) AS INTEGER) AS base_label
+FROM pages
+""")
+def q_path_labels(spark, sf):
+    """P1 + P2: parent-directory label and numeric base-name label of a path."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    return p.select("page_id", L.parent_dir_label("url").alias("parent_label"),
+                    L.base_name_label("url").alias("base_label"))
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    return QUERIES["nearest_topk"](spark, sf)
