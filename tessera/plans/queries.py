@@ -195,5 +195,261 @@ def q_path_labels(spark, sf):
                     L.base_name_label("url").alias("base_label"))
 
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return QUERIES["nearest_topk"](spark, sf)
+# ------------------------------------------------------------------ manifests
+
+MANIFEST_ROOT = "/data/images"
+
+# pages -> manifest files: one file per host ("<host>.txt"), one line per page
+# "<page_id>  <url>" (two spaces: empty tokens must be skipped)
+_SQL_MANIFEST = r"""
+WITH lines AS (
+  SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) || '.txt' AS file_name,
+         CAST(page_id AS VARCHAR) || '  ' || url AS value
+  FROM pages),
+tok AS (
+  SELECT file_name,
+         list_filter(list_transform(string_split(value, ' '), lambda t: trim(t)), lambda t: t <> '') AS t
+  FROM lines),
+m AS (
+  SELECT file_name, CAST(t[1] AS BIGINT) AS page_id, CASE WHEN len(t) >= 2 THEN t[2] END AS url FROM tok),
+n AS (
+  SELECT *, string_split_regex(regexp_replace(url, '[/\\]+$', ''), '[/\\]')[-1] AS local
+  FROM m),
+x AS (
+  SELECT *, CASE WHEN strpos(reverse(local), '.') > 0
+                  AND length(local) - strpos(reverse(local), '.') + 1 > 1
+             THEN regexp_extract(local, '[.]([^.]*)$', 1) END AS ext
+  FROM n),
+plan AS (
+  SELECT page_id, file_name, url, ext,
+         CAST(dense_rank() OVER (ORDER BY file_name) - 1 AS INTEGER) AS class_index,
+         CASE WHEN coalesce(list_contains(['bmp', 'gif', 'jpg', 'jpeg', 'jp2', 'pbm', 'pgm', 'ppm', 'pnm',
+                  'png', 'tif', 'tiff', 'exr', 'webp', 'BMP', 'GIF', 'JPG', 'JPEG', 'JP2', 'PBM', 'PGM', 'PPM',
+                  'PNM', 'PNG', 'TIF', 'TIFF', 'EXR', 'WEBP'], ext), false) THEN local
+              WHEN strpos(url, '.') > 0 THEN local || '.jpg' END AS local_name
+  FROM x),
+planned AS (
+  SELECT *,
+         lpad(CAST(class_index AS VARCHAR), CAST(greatest(length(CAST(class_index AS VARCHAR)), 4) AS INTEGER), '0') || '.' ||
+           substr(file_name, 1, CAST(greatest(length(file_name) - 4, 0) AS INTEGER)) AS class_dir
+  FROM plan),
+targets AS (
+  SELECT *, '/data/images/' || class_dir || '/' || local_name AS target_path FROM planned)
+"""
+
+
+def _manifest_lines(spark, sf):
+    p = table(spark, sf, "pages").select("page_id", "url")
+    return p.select(S.url_host("url").alias("host"),
+                    F.concat(F.col("page_id").cast("string"), F.lit("  "), F.col("url")).alias("value")) \
+            .select(F.concat(F.col("host"), F.lit(".txt")).alias("file_name"), "value")
+
+
+def _manifest_plan(spark, sf):
+    from tessera.sources.manifest import manifest_tokens, parse_manifest
+    lines = _manifest_lines(spark, sf).withColumn(
+        "page_id", F.element_at(manifest_tokens("value"), 1).cast("bigint"))
+    return parse_manifest(lines, MANIFEST_ROOT, keep=("page_id",))
+
+
+@register("url_manifest", _SQL_MANIFEST + "SELECT page_id, file_name, url FROM targets")
+def q_url_manifest(spark, sf):
+    """Manifest lines -> (file, second token = URL)."""
+    return _manifest_plan(spark, sf).select("page_id", "file_name", "url")
+
+
+@register("class_dir", _SQL_MANIFEST + "SELECT DISTINCT file_name, class_index, class_dir FROM targets")
+def q_class_dir(spark, sf):
+    """P3 + P9 + P12: class directory per manifest file."""
+    return _manifest_plan(spark, sf).select("file_name", "class_index", "class_dir").distinct()
+
+
+@register("target_path", _SQL_MANIFEST + "SELECT page_id, local_name, target_path FROM targets")
+def q_target_path(spark, sf):
+    """P11 + P13: local file name and full target path per URL."""
+    return _manifest_plan(spark, sf).select("page_id", "local_name", "target_path")
+
+
+@register("manifest_skip_existing", _SQL_MANIFEST + """
+, existing AS (
+  SELECT t.target_path FROM targets t JOIN pages p USING (page_id) WHERE strlen(p.html) >= 10240)
+SELECT page_id, target_path FROM targets t
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.target_path = t.target_path)
+""")
+def q_manifest_skip_existing(spark, sf):
+    """skip planned downloads whose target is already present; "present"
+    = the page's stored html is at least the small-file limit (F2)."""
+    from tessera.sources.files import SMALL_FILE_BYTES, skip_existing
+    plan = _manifest_plan(spark, sf)
+    pages = table(spark, sf, "pages").select("page_id", F.octet_length("html").alias("length"))
+    existing = plan.join(pages.where(F.col("length") >= SMALL_FILE_BYTES), "page_id").select("target_path")
+    return skip_existing(plan, existing, on="target_path").select("page_id", "target_path")
+
+
+@register("small_items", """
+SELECT 'page' AS kind, page_id AS item_id, CAST(strlen(html) AS BIGINT) AS size, strlen(html) < 10240 AS is_small
+FROM pages
+UNION ALL
+SELECT 'document' AS kind, doc_id AS item_id, CAST(n_chars AS BIGINT) AS size, n_chars < 10240 AS is_small
+FROM documents
+""")
+def q_small_items(spark, sf):
+    """flag items under 10 KiB (flag only)."""
+    from tessera.sources.files import flag_small
+    p = table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("item_id"),
+                                         F.octet_length("html").cast("bigint").alias("size"))
+    d = table(spark, sf, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("item_id"),
+                                             F.col("n_chars").cast("bigint").alias("size"))
+    return flag_small(p.unionByName(d), size_col="size")
+
+
+@register("extension_counts", _SQL_MANIFEST + """
+SELECT ext AS extension, count(*) AS n_files,
+       coalesce(list_contains(['bmp', 'gif', 'jpg', 'jpeg', 'jp2', 'pbm', 'pgm', 'ppm', 'pnm',
+                  'png', 'tif', 'tiff', 'exr', 'webp', 'BMP', 'GIF', 'JPG', 'JPEG', 'JP2', 'PBM', 'PGM', 'PPM',
+                  'PNM', 'PNG', 'TIF', 'TIFF', 'EXR', 'WEBP'], ext), false) AS allowed
+FROM targets GROUP BY ext
+""")
+def q_extension_counts(spark, sf):
+    """F1 + A8: extension of every URL's file name, counted, with the whitelist flag."""
+    p = table(spark, sf, "pages").select(L.base_name("url").alias("local"))
+    ext = p.select(S.file_extension("local").alias("extension"))
+    return ext.groupBy("extension").agg(F.count(F.lit(1)).alias("n_files")) \
+              .withColumn("allowed", S.has_extension(F.concat(F.lit("x."), F.col("extension")),
+                                                     S.ALLOWED_IMAGE_FORMATS))
+
+
+# ------------------------------------------------------------------ text records
+
+@register("text_to_features", """
+SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2, l_tax AS f3,
+       CAST(l_linenumber - 1 AS INTEGER) AS label,
+       array_to_string(list_transform(range(7), lambda i: CASE WHEN i = l_linenumber - 1 THEN 1 ELSE 0 END), ',')
+         AS one_hot,
+       CAST(NULL AS VARCHAR) AS error
+FROM lineitem
+""")
+def q_text_to_features(spark, sf):
+    """Numeric columns written as delimited text (with blank and empty
+    cells), parsed back into features + label + one-hot."""
+    from tessera.sources.text import parse_lines
+    li = table(spark, sf, "lineitem")
+    text = li.select("l_orderkey", "l_linenumber",
+                     F.concat_ws(",", F.col("l_quantity").cast("string"), F.lit(""),
+                                 F.col("l_extendedprice").cast("string"), F.lit("  "),
+                                 F.col("l_discount").cast("string"), F.col("l_tax").cast("string"),
+                                 (F.col("l_linenumber") - 1).cast("string")).alias("value"))
+    parsed = parse_lines(text, ",", n_classes=7, expected_width=5, keep=("l_orderkey", "l_linenumber"))
+    return parsed.select("l_orderkey", "l_linenumber",
+                         *[F.col("features")[i].alias(f"f{i}") for i in range(4)],
+                         "label", F.array_join("label_onehot", ",").alias("one_hot"), "error")
+
+
+# ------------------------------------------------------------------ normalisation
+
+@register("scale_minmax", """
+WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+           FROM embeddings),
+x AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings)
+SELECT vec_id, CAST(pos AS BIGINT) AS pos, round((v - mn) / (mx - mn), 6) AS value FROM x, r
+""")
+def q_scale_minmax(spark, sf):
+    """Scale every value into [0, 1] using the table's own range."""
+    e = _emb(spark, sf)
+    r = e.agg(F.min(F.array_min("embedding")).cast("double").alias("mn"),
+              F.max(F.array_max("embedding")).cast("double").alias("mx")).first()
+    scaled = e.select("vec_id", A.scale_minmax("embedding", r["mn"], r["mx"]).alias("v"))
+    return _long_form(scaled, "vec_id", "v")
+
+
+@register("mean_subtract", """
+WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+           FROM embeddings),
+m AS (SELECT pos // 16 AS ch, avg(v) AS mean FROM x GROUP BY pos // 16)
+SELECT vec_id, CAST(pos AS BIGINT) AS pos, round(v - mean, 6) AS value FROM x JOIN m ON x.pos // 16 = m.ch
+""")
+def q_mean_subtract(spark, sf):
+    """Subtract per-channel means (4 channels x 16, channel-first) taken
+    from the table itself."""
+    e = _emb(spark, sf)
+    ex = e.select(F.posexplode("embedding").alias("pos", "v"))
+    means = ex.groupBy(F.floor(F.col("pos") / 16).alias("ch")).agg(F.avg(F.col("v").cast("double")).alias("m"))
+    m = dict(means.collect())  # one row per channel
+    vals = [m[i] for i in sorted(m)]
+    sub = e.select("vec_id", A.subtract_channel_means("embedding", vals, channel_last=False,
+                                                      plane_size=16).alias("v"))
+    return _long_form(sub, "vec_id", "v")
+
+
+# ------------------------------------------------------------------ sampling
+
+_SQL_UE = _SQL_U.format(seed="{seed}", key="vec_id")
+
+
+@register("balanced_sample", f"""
+WITH u AS (SELECT vec_id, label, {_SQL_UE.format(seed=13)} AS u FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, vec_id) AS rn FROM u),
+m AS (SELECT min(c) AS m FROM (SELECT count(*) AS c FROM embeddings GROUP BY label))
+SELECT vec_id, label FROM r, m WHERE rn <= m.m
+""")
+def q_balanced_sample(spark, sf):
+    """equal rows per class (the smallest class size), seeded choice."""
+    return SM.balanced_sample(_emb(spark, sf).select("vec_id", "label"), "label", "vec_id", seed=13)
+
+
+@register("split_train_test", f"""
+WITH u AS (SELECT vec_id, label, {_SQL_UE.format(seed=13)} AS u FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, vec_id) AS rn,
+             count(*) OVER (PARTITION BY label) AS n FROM u)
+SELECT vec_id, label, CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split FROM r
+""")
+def q_split_train_test(spark, sf):
+    """Exact per-class 80/20 split in seeded order."""
+    return SM.split_train_test(_emb(spark, sf).select("vec_id", "label"), "label", "vec_id",
+                               train_percent=80, seed=13)
+
+
+@register("seeded_order", f"""
+SELECT vec_id, row_number() OVER (ORDER BY {_SQL_UE.format(seed=123)}, vec_id) - 1 AS pos FROM embeddings
+""")
+def q_seeded_order(spark, sf):
+    """Seeded shuffle order (0-based position)."""
+    return SM.seeded_order(_emb(spark, sf).select("vec_id"), "vec_id", seed=123)
+
+
+@register("minibatches", f"""
+WITH o AS (SELECT vec_id, row_number() OVER (ORDER BY {_SQL_UE.format(seed=123)}, vec_id) - 1 AS pos
+           FROM embeddings)
+SELECT vec_id, CAST(pos // 20 AS BIGINT) AS batch_id, CAST(pos % 20 AS INTEGER) AS row_in_batch FROM o
+""")
+def q_minibatches(spark, sf):
+    """Batches of 20 in seeded order; the last one may be short."""
+    return SM.minibatches(_emb(spark, sf).select("vec_id"), "vec_id", 20, seed=123)
+
+
+@register("batch_assemble", f"""
+WITH o AS (SELECT vec_id, label, embedding,
+                  row_number() OVER (ORDER BY {_SQL_UE.format(seed=123)}, vec_id) - 1 AS pos FROM embeddings),
+b AS (SELECT pos // 20 AS batch_id, pos % 20 AS r, label, embedding FROM o),
+x AS (SELECT batch_id, r, label, generate_subscripts(embedding, 1) - 1 AS p, CAST(unnest(embedding) AS DOUBLE) AS v,
+             len(embedding) AS d FROM b)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(count(DISTINCT r) AS INTEGER) AS n_rows,
+       '[' || CAST(count(DISTINCT r) AS VARCHAR) || ',' || CAST(max(d) AS VARCHAR) || ']' AS shape,
+       round(sum(v * (r * d + p + 1)), 4) AS checksum,
+       (SELECT string_agg(CAST(label AS VARCHAR), ',' ORDER BY r) FROM b b2 WHERE b2.batch_id = x.batch_id) AS labels
+FROM x GROUP BY batch_id
+""")
+def q_batch_assemble(spark, sf):
+    """Assemble each batch into one [rows, d] tensor (row-major) with
+    its labels in row order."""
+    e = _emb(spark, sf)
+    mb = SM.minibatches(e, "vec_id", 20, seed=123)
+    mb = mb.withColumn("features", A.as_double_array("embedding"))
+    bt = SM.assemble_batches(mb, "batch_id", "row_in_batch", "features", label_col="label")
+    return bt.select(
+        "batch_id", F.col("n_rows").cast("int").alias("n_rows"),
+        F.concat(F.lit("["), F.array_join("shape", ","), F.lit("]")).alias("shape"),
+        F.round(F.aggregate(F.transform("values", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x),
+                4).alias("checksum"),
+        F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("labels"))
