@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import cut_lineage
 
@@ -202,3 +203,44 @@ def first_n(df: DataFrame, n: int, order_cols: Sequence) -> DataFrame:
 def drop_empty_lines(df: DataFrame, col: str = "value") -> DataFrame:
     """keep non-empty lines."""
     return df.where(F.col(col) != "")
+
+
+def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
+                   num_partitions: int | None = None) -> DataFrame:
+    """Cumulative sums of integer columns in ``order_col`` order (``cum_<c>``),
+    without a whole-table window: range partition + local sort, lineage cut,
+    per-partition totals (one row per partition) -> offsets, then a running
+    sum inside each partition (Arrow batches, state carried across batches).
+    ``order_col`` must be unique.
+    """
+    import pandas as pd  # executor-side helper below
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    value_cols = list(value_cols)
+    tagged = (df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
+                .withColumn("_pid", F.spark_partition_id()))
+    tagged = cut_lineage(tagged)
+    totals = tagged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # n_partitions rows
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(w), F.lit(0)).cast("bigint")
+                                      .alias(f"_o_{c}") for c in value_cols])
+
+    out_schema = T.StructType(list(tagged.schema.fields)
+                              + [T.StructField(f"_l_{c}", T.LongType()) for c in value_cols])
+
+    def local_cumsum(batches):
+        carry = {c: 0 for c in value_cols}
+        for pdf in batches:
+            for c in value_cols:
+                cs = pdf[c].fillna(0).astype("int64").cumsum() + carry[c]
+                if len(cs):
+                    carry[c] = int(cs.iloc[-1])
+                pdf[f"_l_{c}"] = cs
+            yield pdf
+
+    local = tagged.mapInPandas(local_cumsum, out_schema)
+    out = local.join(F.broadcast(offsets), "_pid")
+    for c in value_cols:
+        out = out.withColumn(f"cum_{c}", (F.col(f"_l_{c}") + F.col(f"_o_{c}")).cast("bigint"))
+    return out.drop("_pid", *[f"_l_{c}" for c in value_cols], *[f"_o_{c}" for c in value_cols])
