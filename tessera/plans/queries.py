@@ -709,5 +709,83 @@ def q_eval_binary(spark, sf):
                      *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
+# ------------------------------------------------------------------ training (rows-only: iterative)
+
+def _train_split(spark, sf):
+    e = _emb(spark, sf)
+    sp = SM.split_train_test(e, "label", "vec_id", train_percent=80, seed=13)
+    sp = sp.withColumn("features", A.as_double_array("embedding")).drop("embedding").persist()
+    return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+
+
+@register("train_param_avg")
+def q_train_param_avg(spark, sf):
+    """M1 + A6 + M6 + M7: 4 workers, batch 16, averaging every 5 batches,
+    3 epochs; one row per epoch with the test score."""
+    from tessera.operators.models import Model
+    from tessera.operators.train import TrainConfig, epoch_table, fit
+    tr, te = _train_split(spark, sf)
+    model = Model.build([{"kind": "dense", "activation": "relu", "n_out": 32, "name": "hidden"},
+                         {"kind": "output", "activation": "softmax", "n_out": N_CLASSES, "name": "output"}],
+                        (64,), seed=12345)
+    cfg = TrainConfig(n_workers=4, batch_size=16, averaging_frequency=5, max_epochs=3,
+                      learning_rate={0: 0.1, 500: 0.05, 1000: 0.01}, l2=1e-4, patience=None)
+    return epoch_table(fit(tr, model, cfg, key_col="vec_id", test=te), spark)
+
+
+@register("train_early_stop")
+def q_train_early_stop(spark, sf):
+    """M2 + A5 + A7: early stopping on the test loss (max 8 epochs, patience 2)."""
+    from tessera.operators.models import Model
+    from tessera.operators.train import TrainConfig, epoch_table, fit
+    tr, te = _train_split(spark, sf)
+    model = Model.build([{"kind": "output", "activation": "softmax", "n_out": N_CLASSES, "name": "output"}],
+                        (64,), seed=10)
+    cfg = TrainConfig(n_workers=4, batch_size=32, averaging_frequency=5, max_epochs=8, learning_rate=0.5,
+                      l2=1e-3, patience=2, max_minutes=30.0)
+    return epoch_table(fit(tr, model, cfg, key_col="vec_id", test=te), spark)
+
+
+@register("train_transfer_head")
+def q_train_transfer_head(spark, sf):
+    """M4 + M5 + I2: freeze the base up to 'fc2', featurize once, train only a
+    new softmax head on the featurized rows."""
+    from tessera.operators.infer import featurize
+    from tessera.operators.models import Model, class_mean_head, transfer_head
+    from tessera.operators.train import TrainConfig, epoch_table, fit
+    tr, te = _train_split(spark, sf)
+    head = class_mean_head(tr, "features", "label", N_CLASSES)
+    base = Model([{"name": "fc2", "kind": "dense", "activation": "identity", "n_in": 64, "n_out": N_CLASSES},
+                  dict(head.layers[0], name="predictions")],
+                 [head.params[0], head.params[0]], (64,), "base")
+    tl = transfer_head(base, "fc2", N_CLASSES, remove_output_layers=1, seed=123, init="normal",
+                       init_std=0.2 * 2.0 / (N_CLASSES + N_CLASSES))
+    n_frozen = sum(1 for ly in tl.layers if ly.get("frozen"))
+    trainable = Model(tl.layers[n_frozen:], tl.params[n_frozen:], (N_CLASSES,), "head")
+    f_tr = featurize(tr, base, "fc2", "features", keep=("vec_id", "label"))
+    f_te = featurize(te, base, "fc2", "features", keep=("vec_id", "label"))
+    cfg = TrainConfig(n_workers=2, batch_size=16, averaging_frequency=5, max_epochs=3, learning_rate=0.01,
+                      momentum=0.9, l2=1e-4, patience=None)
+    return epoch_table(fit(f_tr, trainable, cfg, key_col="vec_id", test=f_te), spark)
+
+
+@register("train_cnn")
+def q_train_cnn(spark, sf):
+    """M8 + M10: a small conv net (conv 3x3 tanh - max-pool 2 - dense relu -
+    softmax) on the 64-value rows read as 1 x 8 x 8 images."""
+    from tessera.operators.models import Model
+    from tessera.operators.train import TrainConfig, epoch_table, fit
+    tr, te = _train_split(spark, sf)
+    model = Model.build([{"kind": "conv", "activation": "tanh", "n_out": 4, "kernel": 3, "stride": 1,
+                          "channels_in": 1, "name": "conv1"},
+                         {"kind": "pool", "kernel": 2, "stride": 2, "name": "pool1"},
+                         {"kind": "dense", "activation": "relu", "n_out": 16, "name": "fc"},
+                         {"kind": "output", "activation": "softmax", "n_out": N_CLASSES, "name": "output"}],
+                        (1, 8, 8), seed=12345)
+    cfg = TrainConfig(n_workers=2, batch_size=16, averaging_frequency=5, max_epochs=2, learning_rate=0.05,
+                      patience=None)
+    return epoch_table(fit(tr, model, cfg, key_col="vec_id", test=te), spark)
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return QUERIES["eval_summary"](spark, sf)
