@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -787,5 +789,112 @@ def q_train_cnn(spark, sf):
     return epoch_table(fit(tr, model, cfg, key_col="vec_id", test=te), spark)
 
 
+# ------------------------------------------------------------------ images and archives
+# The files are derived from the tables by Spark tasks and written to the
+# shared scratch folder, then read back through the file sources.
+
+@register("image_records", """
+WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+           FROM embeddings),
+x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS VARCHAR) AS label_name, CAST(pos AS BIGINT) AS pos,
+       round(floor((v - mn) / (mx - mn) * 255 + 0.5) / 255, 6) AS value
+FROM x, r
+""")
+def q_image_records(spark, sf):
+    """S1 + S6 + S8 + P1 + P2 + P6: every embedding row rendered as an 8x8
+    grey PNG under <label>/<vec_id>.png, then listed, decoded by the image
+    source, labelled by parent directory and scaled to [0, 1]."""
+    import numpy as np
+    import pandas as pd
+
+    from tessera.session import scratch_path
+    from tessera.sources.images import encode_png, labelled_images
+    from tessera.sources.sinks import write_files
+
+    e = _emb(spark, sf)
+    r = e.agg(F.min(F.array_min("embedding")).cast("double").alias("mn"),
+              F.max(F.array_max("embedding")).cast("double").alias("mx")).first()
+    mn, mx = float(r["mn"]), float(r["mx"])
+
+    @F.pandas_udf("binary")
+    def to_png(vs: pd.Series) -> pd.Series:
+        out = []
+        for v in vs:
+            a = np.asarray(v, dtype=np.float64)
+            px = np.floor((a - mn) / (mx - mn) * 255 + 0.5).clip(0, 255).astype(np.uint8)
+            out.append(encode_png(px.reshape(8, 8)))
+        return pd.Series(out)
+
+    root = scratch_path(spark, "images")
+    files = e.select(F.concat(F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"),
+                              F.lit(".png")).alias("rel_path"), to_png("embedding").alias("content"))
+    write_files(files, root).write.format("noop").mode("overwrite").save()
+    imgs = labelled_images(spark, root, channels=1)
+    imgs = imgs.select(L.base_name_label("path").cast("bigint").alias("vec_id"), "label_name",
+                       A.scale_pixels("features").alias("v"))
+    return imgs.select("vec_id", "label_name", F.posexplode("v").alias("pos", "value")).select(
+        "vec_id", "label_name", F.col("pos").cast("bigint").alias("pos"), F.round("value", 6).alias("value"))
+
+
+@register("archive_entries", """
+SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) || '/' || CAST(page_id AS VARCHAR) || '.html'
+         AS entry,
+       CAST(strlen(html) AS BIGINT) AS size, false AS unsafe, true AS content_ok
+FROM pages
+""")
+def q_archive_entries(spark, sf):
+    """S12 + A8: pages packed into zip / jar / tar / tar.gz archives (about
+    500 pages per archive, a hot host spread over many), then expanded back
+    into entry rows by the archive source; directory entries are counted
+    separately."""
+    import io
+    import tarfile
+    import zipfile
+
+    import pandas as pd
+
+    from tessera.session import scratch_path
+    from tessera.sources.archives import archive_entries
+    from tessera.sources.sinks import write_files
+
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    n_buckets = max(1, -(-pages.count() // 500))
+    fmt = ["zip", "tar.gz", "tar", "jar"]
+    pages = pages.select(
+        S.url_host("url").alias("host"),
+        F.pmod(F.xxhash64("page_id"), F.lit(n_buckets)).alias("bucket"),
+        F.concat(S.url_host("url"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html")).alias("entry"),
+        F.encode("html", "UTF-8").alias("content"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        host, bucket = pdf["host"].iloc[0], int(pdf["bucket"].iloc[0])
+        kind = fmt[bucket % len(fmt)]
+        buf = io.BytesIO()
+        if kind in ("zip", "jar"):
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+                zf.writestr(f"{host}/", b"")
+                for name, data in zip(pdf["entry"], pdf["content"]):
+                    zf.writestr(name, bytes(data))
+        else:
+            with tarfile.open(fileobj=buf, mode="w:gz" if kind == "tar.gz" else "w") as tf:
+                d = tarfile.TarInfo(f"{host}/")
+                d.type = tarfile.DIRTYPE
+                tf.addfile(d)
+                for name, data in zip(pdf["entry"], pdf["content"]):
+                    info = tarfile.TarInfo(name)
+                    info.size = len(data)
+                    tf.addfile(info, io.BytesIO(bytes(data)))
+        return pd.DataFrame({"rel_path": [f"{host}-{bucket}.{kind}"], "content": [buf.getvalue()]})
+
+    archives = pages.groupBy("host", "bucket").applyInPandas(pack, "rel_path string, content binary")
+    root = scratch_path(spark, "archives")
+    write_files(archives, root).write.format("noop").mode("overwrite").save()
+    ent = archive_entries(spark, root, with_content=True)
+    return ent.where(~F.col("is_dir")).select(
+        "entry", "size", "unsafe", (F.octet_length("content") == F.col("size")).alias("content_ok"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return QUERIES["eval_summary"](spark, sf)
