@@ -49,8 +49,10 @@ def one_hot(label, n_classes: int) -> Column:
     lab = _col(label).cast("int")
     checked = F.when((lab >= 0) & (lab < n_classes), lab).otherwise(
         F.raise_error(F.concat(F.lit("label out of range: "), lab.cast("string"))))
-    return F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)),
-                       lambda i: (i == checked).cast("int"))
+    if n_classes <= 4096:
+        # explicit positions: no lambda, stays inside whole-stage codegen
+        return F.array(*[(checked == F.lit(i)).cast("int") for i in range(n_classes)])
+    return F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)), lambda i: (i == checked).cast("int"))
 
 
 def label_names(spark: SparkSession, n_classes: int) -> DataFrame:
@@ -72,8 +74,13 @@ def index_labels(df: DataFrame, label_col: str, index_col: str | None = None,
 
     index_col = index_col or f"{label_col}_index"
     distinct = df.select(label_col).where(F.col(label_col).isNotNull()).distinct()
-    dictionary = global_index(distinct, [F.col(label_col)], index_col=index_col)
-    n = dictionary.count()
+    n = distinct.count()
+    if n <= broadcast_limit:
+        # counted small dictionary: one sorted task over n rows is enough
+        from pyspark.sql import Window
+        dictionary = distinct.withColumn(index_col, F.row_number().over(Window.orderBy(label_col)) - 1)
+    else:
+        dictionary = global_index(distinct, [F.col(label_col)], index_col=index_col)
     dictionary = dictionary.select(label_col, F.col(index_col).cast("int").alias(index_col))
     if n <= broadcast_limit:
         dictionary = F.broadcast(dictionary)
