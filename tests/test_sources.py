@@ -149,3 +149,16 @@ def test_sinks_and_materialize(spark, tmpdir_fresh):
     assert len(calls) == 1
     SK.bundle({"train": df.limit(3), "test": df.limit(2)}, f"{tmpdir_fresh}/k3")
     assert dict(spark.read.parquet(f"{tmpdir_fresh}/k3").groupBy("split").count().collect()) == {"train": 3, "test": 2}
+
+
+def test_labelled_files_seeded_order(spark, tmpdir_fresh):
+    for cls in ("a", "b"):
+        for i in range(3):
+            _write(f"{tmpdir_fresh}/{cls}/{i}.png", b"x")
+    _write(f"{tmpdir_fresh}/b/skip.txt", b"x")
+    df = FL.labelled_files(spark, tmpdir_fresh, ["png"], seed=123)
+    rows = df.collect()
+    assert sorted(r["label_name"] for r in rows) == ["a"] * 3 + ["b"] * 3
+    from tessera.operators.sampling import first_n
+    top = [r["path"] for r in first_n(df, 3, ["order_key", "path"]).collect()]
+    assert top == [r["path"] for r in sorted(rows, key=lambda r: (r["order_key"], r["path"]))[:3]]
