@@ -72,6 +72,17 @@ def subtract_channel_means(c, means: Sequence[float], channel_last: bool = False
                        lambda x, i: x - F.element_at(m, F.floor(i / plane_size).cast("int") + 1))
 
 
+# Per-channel training-set means used by ImageNet-style
+# preprocessing, in R, G, B order.
+IMAGENET_MEANS_RGB = [123.68, 116.779, 103.939]
+
+
+def imagenet_preprocess(c, plane_size: int) -> Column:
+    """P7 with the fixed ImageNet means, for CHW features in RGB order (the
+    layout produced by ``sources.images.to_features``)."""
+    return subtract_channel_means(c, IMAGENET_MEANS_RGB, channel_last=False, plane_size=plane_size)
+
+
 def feature_array(*cols) -> Column:
     """The feature vector of a record = its feature cells, as doubles."""
     return F.array(*[_col(c).cast("double") for c in cols])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import DataFrame, SparkSession
@@ -677,7 +678,7 @@ def q_featurize_head(spark, sf):
                    "n_out": N_CLASSES, "frozen": True},
                   {"name": "output", "kind": "output", "activation": "softmax", "n_in": N_CLASSES,
                    "n_out": N_CLASSES}],
-                 [head.params[0], {"W": __import__("numpy").eye(N_CLASSES), "b": __import__("numpy").zeros(N_CLASSES)}],
+                 [head.params[0], {"W": np.eye(N_CLASSES), "b": np.zeros(N_CLASSES)}],
                  head.input_dims, "fc2_base")
     feats = featurize(sp, base, "fc2", "features", keep=("vec_id",))
     return _long_form(feats, "vec_id", "features")
@@ -806,9 +807,6 @@ def q_image_records(spark, sf):
     """S1 + S6 + S8 + P1 + P2 + P6: every embedding row rendered as an 8x8
     grey PNG under <label>/<vec_id>.png, then listed, decoded by the image
     source, labelled by parent directory and scaled to [0, 1]."""
-    import numpy as np
-    import pandas as pd
-
     from tessera.session import scratch_path
     from tessera.sources.images import encode_png, labelled_images
     from tessera.sources.sinks import write_files
@@ -853,8 +851,6 @@ def q_archive_entries(spark, sf):
     import tarfile
     import zipfile
 
-    import pandas as pd
-
     from tessera.session import scratch_path
     from tessera.sources.archives import archive_entries
     from tessera.sources.sinks import write_files

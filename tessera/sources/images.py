@@ -109,9 +109,9 @@ def encode_png(pixels: np.ndarray) -> bytes:
     """8-bit grey (H, W) or RGB (H, W, 3) array -> PNG bytes (filter 0)."""
     px = np.asarray(pixels, dtype=np.uint8)
     if px.ndim == 2:
-        color, ch = 0, 1
+        color = 0
     elif px.shape[2] == 3:
-        color, ch = 2, 3
+        color = 2
     else:
         raise ValueError("grey or RGB only")
     h, w = px.shape[:2]
@@ -121,7 +121,6 @@ def encode_png(pixels: np.ndarray) -> bytes:
         return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
 
     ihdr = struct.pack(">IIBBBBB", w, h, 8, color, 0, 0, 0)
-    del ch
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
 

@@ -86,3 +86,8 @@ def test_label_index_alphabetical(spark):
     out = L.index_labels(df, "lab").collect()
     assert sorted((r["lab"], r["lab_index"]) for r in out if r["lab"]) == [("a", 0), ("a", 0), ("b", 1), ("c", 2)]
     assert [r["lab_index"] for r in out if r["lab"] is None] == [None]
+
+
+def test_imagenet_preprocess_chw(spark):
+    df = spark.createDataFrame([([123.68, 123.68, 116.779, 116.779, 103.939, 103.939],)], "a array<double>")
+    assert df.select(A.imagenet_preprocess("a", plane_size=2)).first()[0] == [0.0] * 6
