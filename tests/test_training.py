@@ -92,3 +92,15 @@ def test_transfer_head_freezes_and_replaces():
     assert [ly.get("frozen") for ly in t.layers] == [True, True, False]
     assert t.params[2]["W"].shape == (7, 4)
     assert np.array_equal(t.params[0]["W"], base.params[0]["W"])
+
+
+def test_stats_table_appended(spark, data, tmpdir_fresh):
+    cfg = TR.TrainConfig(n_workers=2, batch_size=32, averaging_frequency=2, max_epochs=2, learning_rate=0.05,
+                         patience=None)
+    res = TR.fit(data, _model(), cfg, key_col="key", run="r1", stats_path=f"{tmpdir_fresh}/stats")
+    st = spark.read.parquet(f"{tmpdir_fresh}/stats")
+    n_rounds = max(r[2] for r in res.stats) + 1
+    assert st.where("round >= 0").count() == 2 * n_rounds and st.where("round = -1").count() == 2
+    assert set(r["run"] for r in st.collect()) == {"r1"}
+    table = TR.epoch_table(res, spark).collect()
+    assert [r["epoch"] for r in table] == [0, 1] and sum(r["is_best"] for r in table) == 1
