@@ -210,7 +210,7 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
             part = table.where(F.col("round_id") == r)
             flat, mom, loss, n_rows, _ = _round(spark, part, model, flat, mom, iteration, cfg)
             iteration += cfg.averaging_frequency
-            stats.append((run, epoch, r, n_rows, loss, None, int((time.time() - rt) * 1000)))
+            stats.append((run, epoch, r, int(n_rows), float(loss), None, int((time.time() - rt) * 1000)))
             if cfg.max_score is not None and loss > cfg.max_score:
                 reason, detail, stop = "IterationTerminationCondition", f"MaxScore({cfg.max_score})", True
                 break
@@ -221,9 +221,9 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
         if test is not None:
             score, acc = test_score(test, current, features_col, label_col)
         else:
-            score, acc = stats[-1][4] if stats else float("nan"), float("nan")
+            score, acc = (stats[-1][4] if stats else float("nan")), float("nan")
         scores[epoch] = score
-        stats.append((run, epoch, -1, 0, None, score, int((time.time() - t0) * 1000)))
+        stats.append((run, epoch, -1, 0, None, float(score), int((time.time() - t0) * 1000)))
         if score < best_score - cfg.min_improvement:
             best, best_score, best_epoch, since_best = flat.copy(), score, epoch, 0
         else:
