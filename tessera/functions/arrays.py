@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.constants import IMAGENET_MEANS_RGB
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -72,9 +74,6 @@ def subtract_channel_means(c, means: Sequence[float], channel_last: bool = False
                        lambda x, i: x - F.element_at(m, F.floor(i / plane_size).cast("int") + 1))
 
 
-# Per-channel training-set means used by ImageNet-style
-# preprocessing, in R, G, B order.
-IMAGENET_MEANS_RGB = [123.68, 116.779, 103.939]
 
 
 def imagenet_preprocess(c, plane_size: int) -> Column:

@@ -8,17 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.constants import (ALLOWED_IMAGE_FORMATS, CLASS_INDEX_DIGITS, DEFAULT_IMAGE_SUFFIX,
+                               MANIFEST_SUFFIX_LENGTH)
 from tessera.functions.labels import base_name, strip_trailing_slashes
 
-# The image file extensions accepted as a download name's
-# suffix, compared case-sensitively and without a leading dot (28 entries).
-ALLOWED_IMAGE_FORMATS = [
-    "bmp", "gif", "jpg", "jpeg", "jp2", "pbm", "pgm", "ppm", "pnm", "png", "tif", "tiff", "exr", "webp",
-    "BMP", "GIF", "JPG", "JPEG", "JP2", "PBM", "PGM", "PPM", "PNM", "PNG", "TIF", "TIFF", "EXR", "WEBP",
-]
-
-# Fixed value: the suffix appended when a name carries no accepted extension.
-DEFAULT_IMAGE_SUFFIX = ".jpg"
+__all__ = ["ALLOWED_IMAGE_FORMATS", "DEFAULT_IMAGE_SUFFIX"]
 
 
 def _col(c) -> Column:
@@ -80,10 +74,10 @@ def url_local_name(url) -> Column:
             .when(url_has_dot, F.concat(local, F.lit(DEFAULT_IMAGE_SUFFIX))))
 
 
-def class_dir_name(index, file_name, width: int = 4) -> Column:
+def class_dir_name(index, file_name, width: int = CLASS_INDEX_DIGITS) -> Column:
     """``<zero-padded index>.<file name minus its last 4 chars>``."""
     fn = _col(file_name)
-    stem = F.substring(fn, F.lit(1), F.greatest(F.length(fn) - 4, F.lit(0)))
+    stem = F.substring(fn, F.lit(1), F.greatest(F.length(fn) - MANIFEST_SUFFIX_LENGTH, F.lit(0)))
     return F.concat(pad_left_keep(index, width), F.lit("."), stem)
 
 

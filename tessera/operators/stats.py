@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.constants import (REPORT_EPOCH_WIDTH, REPORT_HEADER_LEFT, REPORT_HEADER_LEFT_WIDTH,
+                               REPORT_HEADER_RIGHT, REPORT_HEADER_RIGHT_WIDTH, REPORT_SCORE_WIDTH, REPORT_SEPARATOR)
 from tessera.functions.strings import pad_right_keep
 
 
@@ -22,12 +24,12 @@ def score_report(scores: DataFrame, epoch_col: str = "epoch", score_col: str = "
     spark = scores.sparkSession
     header = spark.range(1).select(
         F.lit(-1).cast("bigint").alias("epoch"),
-        F.concat(pad_right_keep(F.lit("Iterator"), 30), F.lit(" | "), pad_right_keep(F.lit("Score"), 10))
-        .alias("line"))
+        F.concat(pad_right_keep(F.lit(REPORT_HEADER_LEFT), REPORT_HEADER_LEFT_WIDTH), F.lit(REPORT_SEPARATOR),
+                 pad_right_keep(F.lit(REPORT_HEADER_RIGHT), REPORT_HEADER_RIGHT_WIDTH)).alias("line"))
     body = scores.select(
         F.col(epoch_col).cast("bigint").alias("epoch"),
-        F.concat(pad_right_keep(F.col(epoch_col).cast("string"), 15), F.lit(" | "),
-                 pad_right_keep(F.format_string("%.6f", F.col(score_col)), 10)).alias("line"))
+        F.concat(pad_right_keep(F.col(epoch_col).cast("string"), REPORT_EPOCH_WIDTH), F.lit(REPORT_SEPARATOR),
+                 pad_right_keep(F.format_string("%.6f", F.col(score_col)), REPORT_SCORE_WIDTH)).alias("line"))
     return header.unionByName(body)
 
 

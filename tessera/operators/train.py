@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.constants import (AVERAGING_FREQUENCY_DEFAULT, BATCH_SIZE_DEFAULT, INIT_SEED_DEFAULT, L2_DEFAULT,
+                               LEARNING_RATE_SCHEDULE, MAX_EPOCHS_DEFAULT, MAX_MINUTES_DEFAULT, PATIENCE_DEFAULT)
 from tessera.operators import nets
 from tessera.operators.models import Model
 from tessera.operators.sampling import hash_uniform, rank_within_groups
@@ -52,18 +54,18 @@ _CHUNK_SCHEMA = T.StructType([
 class TrainConfig:
     """M5/M6/U4/U5 options. Defaults follow the reference jobs where they exist."""
     n_workers: int = 4
-    batch_size: int = 128
-    averaging_frequency: int = 5
-    max_epochs: int = 10
-    learning_rate: float | dict = field(default_factory=lambda: {0: 0.01, 500: 0.005, 1000: 0.001})
+    batch_size: int = BATCH_SIZE_DEFAULT
+    averaging_frequency: int = AVERAGING_FREQUENCY_DEFAULT
+    max_epochs: int = MAX_EPOCHS_DEFAULT
+    learning_rate: float | dict = field(default_factory=lambda: dict(LEARNING_RATE_SCHEDULE))
     momentum: float = 0.9
     nesterov: bool = True
-    l2: float = 0.001
-    seed: int = 12345
+    l2: float = L2_DEFAULT
+    seed: int = INIT_SEED_DEFAULT
     cache: bool = False
     # early stopping (M2); None = condition off
-    patience: int | None = 3
-    max_minutes: float | None = 120.0
+    patience: int | None = PATIENCE_DEFAULT
+    max_minutes: float | None = float(MAX_MINUTES_DEFAULT)
     max_score: float | None = None
     target_accuracy: float | None = None
     min_improvement: float = 0.0

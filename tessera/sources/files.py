@@ -13,12 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.constants import SMALL_FILE_BYTES
 from tessera.functions import labels as L
 from tessera.functions import strings as S
 from tessera.operators.sampling import hash_uniform
 
-SMALL_FILE_BYTES = 10 * 1024
-
 
 def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str] | None = None,
                recursive: bool = True, path_glob: str | None = None) -> DataFrame:
