@@ -193,6 +193,12 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
     run = run or uuid.uuid4().hex[:8]
     path, n_rounds = prepare(train, key_col, features_col, label_col, cfg)
     table = spark.read.parquet(path)
+    if test is not None:
+        # score input written once: each epoch re-reads it instead of recomputing its lineage
+        test_path = scratch_path(spark, "test-table")
+        test.select(F.col(features_col).cast("array<double>").alias(features_col),
+                    F.col(label_col).cast("int").alias(label_col)).write.parquet(test_path)
+        test = spark.read.parquet(test_path)
     if cfg.cache:
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
     flat = model.flat()

@@ -7,6 +7,9 @@
   save model and statistics (M1, M2, K4, K5)
 * ``train_transfer_head`` — train a new head on saved featurized batches,
   evaluate on the test split, save the head (M4, A3, K4)
+* ``predict_text_lines`` — score delimited text lines, predicted next to actual (S5, S4, I1)
+* ``predict_images`` — featurize raw images with a frozen base, score with a head (S6, P7, I2, I1, F5)
+* ``evaluate_saved_batches`` — running accuracy per saved batch and final statistics (S10, A4, A2)
 
 Options mirror the reference jobs (U4, U5) as keyword arguments.
 """
@@ -113,5 +116,51 @@ def train_transfer_head(batches_path: str, head: Model, n_classes: int, cfg: Tra
     return res, stats
 
 
+def predict_text_lines(spark: SparkSession, path: str, model: Model, n_classes: int, delimiter: str = ",",
+                       expected_width: int | None = None) -> DataFrame:
+    """Batch prediction over text lines (S5 + S4 + I1): each non-empty line is
+    parsed into features + actual label, scored, and the predicted label
+    name is put next to the actual one. Bad lines keep their ``error``."""
+    from tessera.functions.labels import label_names
+    from tessera.sources.text import parse_lines, read_lines
+    lines = read_lines(spark, path)
+    parsed = parse_lines(lines, delimiter, n_classes=n_classes, expected_width=expected_width,
+                         keep=("value", "file_path"))
+    ok = parsed.where(F.col("error").isNull())
+    pred = predict(ok, model, "features", keep=("value", "file_path", "label"), names=label_names(spark, n_classes))
+    bad = parsed.where(F.col("error").isNotNull()).select("value", "file_path", "label", "error")
+    return pred.select("value", "file_path", "label", "prediction", "predicted_name",
+                       F.lit(None).cast("string").alias("error")).unionByName(bad, allowMissingColumns=True)
+
+
+def predict_images(spark: SparkSession, folder: str, base: Model, layer: str, head: Model, n_classes: int,
+                   height: int | None = None, width: int | None = None, channels: int | None = None,
+                   means: list[float] | None = None, first: int | None = None) -> DataFrame:
+    """Featurize raw images with the frozen ``base`` up to ``layer`` (after
+    per-channel mean subtraction, P7) and score them with ``head``; the
+    first ``first`` images by path when asked (F5)."""
+    from tessera.functions.arrays import subtract_channel_means
+    from tessera.functions.labels import label_names
+    imgs = IM.labelled_images(spark, folder, height, width, channels).where(F.col("error").isNull())
+    if first:
+        imgs = SM.first_n(imgs, first, ["path"])
+    if means:
+        plane = (height or 0) * (width or 0)
+        if not plane:
+            raise ValueError("height and width are needed for mean subtraction")
+        imgs = imgs.withColumn("features", subtract_channel_means("features", means, plane_size=plane))
+    feats = featurize(imgs, base, layer, "features", keep=("path", "label_name"))
+    return predict(feats, head, "features", keep=("path", "label_name"), names=label_names(spark, n_classes))
+
+
+def evaluate_saved_batches(spark: SparkSession, batches_path: str, model: Model, n_classes: int,
+                           split: str = "test") -> tuple[DataFrame, DataFrame]:
+    """Evaluate a model over saved batches of one split: running accuracy
+    after every batch (A4) and final per-class statistics (A2)."""
+    batches = SK.read_split(spark, batches_path, split)
+    pred = predict(batches, model, "features", keep=("batch_id", "label"))
+    return E.running_eval(pred), E.class_stats(spark, E.confusion(pred), n_classes)
+
+
 __all__ = ["images_to_records", "featurize_and_save", "train_early_stopping", "train_transfer_head",
-           "epoch_table"]
+           "predict_text_lines", "predict_images", "evaluate_saved_batches", "epoch_table"]

@@ -48,3 +48,32 @@ def test_image_to_head_pipeline(spark, tmpdir_fresh):
                                           save_model_path=f"{tmpdir_fresh}/models")
     assert stats.count() == 2 and res.total_epochs == 2
     assert Model.load(spark, f"{tmpdir_fresh}/models", "head").n_params() == head.n_params()
+
+
+def test_predict_text_lines_and_saved_batches(spark, tmpdir_fresh):
+    _write(f"{tmpdir_fresh}/t/a.txt", b"1,0,0\n0,1,1\n\n1,0,1\nbad,1,0\n")
+    head = Model([{"name": "head", "kind": "output", "activation": "softmax", "n_in": 2, "n_out": 2}],
+                 [{"W": np.eye(2), "b": np.zeros(2)}], (2,), "head")
+    out = {r["value"]: r for r in jobs.predict_text_lines(spark, f"{tmpdir_fresh}/t", head, 2,
+                                                          expected_width=3).collect()}
+    assert out["1,0,0"]["prediction"] == 0 and out["0,1,1"]["predicted_name"] == "1"
+    assert out["1,0,1"]["label"] == 1 and out["1,0,1"]["prediction"] == 0
+    assert out["bad,1,0"]["error"] == "non-numeric cell" and len(out) == 4
+
+    rows = [(i, [1.0, 0.0] if i % 2 == 0 else [0.0, 1.0], i % 2, i // 4) for i in range(12)]
+    df = spark.createDataFrame(rows, "key long, features array<double>, label int, batch_id long")
+    from tessera.sources.sinks import save_batches
+    save_batches(df, f"{tmpdir_fresh}/b", "test")
+    running, stats = jobs.evaluate_saved_batches(spark, f"{tmpdir_fresh}/b", head, 2)
+    assert [r["cum_n"] for r in running.orderBy("batch_id").collect()] == [4, 8, 12]
+    assert all(r["recall"] == 1.0 for r in stats.collect())
+
+
+def test_predict_images_first_n(spark, tmpdir_fresh):
+    for i in range(5):
+        _write(f"{tmpdir_fresh}/im/{i % 2}/{i}.png", IM.encode_png(np.full((4, 4, 3), 10 * i, dtype=np.uint8)))
+    base = Model.build([{"kind": "dense", "activation": "relu", "n_out": 3, "name": "fc2"}], (48,), seed=1)
+    head = Model.build([{"kind": "output", "activation": "softmax", "n_out": 2}], (3,), seed=2)
+    out = jobs.predict_images(spark, f"{tmpdir_fresh}/im", base, "fc2", head, 2, height=4, width=4,
+                              means=[1.0, 2.0, 3.0], first=3).collect()
+    assert len(out) == 3 and all(r["predicted_name"] in ("0", "1") for r in out)
