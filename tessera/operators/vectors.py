@@ -7,8 +7,10 @@ final order by (score desc, key asc) is exact). Per-query candidates are
 then bounded by k x tasks and ranked with a window partitioned by query.
 
 Query side: broadcast as a NumPy matrix when its counted size is under
-``broadcast_bytes``; otherwise both sides are cut into hash blocks and
-co-grouped block against block (each block pair is one bounded task).
+``broadcast_bytes`` (64 MiB by default); otherwise both sides are cut into
+hash blocks and co-grouped block against block (each block pair is one
+bounded task). Either way a task builds scores for query slices of at most
+2^24 cells at a time, so its memory is bounded whatever the query count.
 """
 
 from __future__ import annotations
@@ -71,21 +73,34 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
 
 
 def _topk_candidates(q_keys: np.ndarray, q_unit: np.ndarray, v_keys: np.ndarray, v_mat: np.ndarray,
-                     k: int, exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query: all vectors scoring >= that query's k-th best score here."""
+                     k: int, exclude_self: bool, max_cells: int = 1 << 24
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per query: all vectors scoring >= that query's k-th best score here.
+
+    The score matrix is built for slices of the queries so that one slice
+    holds at most ``max_cells`` scores (128 MiB by default), whatever the
+    number of queries or the batch size."""
     if len(v_keys) == 0 or len(q_keys) == 0:
         e = np.empty(0)
         return e.astype(np.int64), e.astype(np.int64), e
-    sims = q_unit @ _unit_rows(v_mat).T  # (q, n)
-    sims = np.where(np.isnan(sims), -np.inf, sims)
-    if exclude_self:
-        sims[q_keys[:, None] == v_keys[None, :]] = -np.inf
-    n = sims.shape[1]
+    v_unit = _unit_rows(v_mat).T  # (d, n)
+    n = v_unit.shape[1]
     kk = min(k, n)
-    kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-    keep = (sims >= kth[:, None]) & np.isfinite(sims)
-    qi, vi = np.nonzero(keep)
-    return q_keys[qi], v_keys[vi], sims[qi, vi]
+    step = max(1, max_cells // n)
+    out_q, out_v, out_s = [], [], []
+    for lo in range(0, len(q_keys), step):
+        qk = q_keys[lo:lo + step]
+        sims = q_unit[lo:lo + step] @ v_unit  # (slice, n)
+        sims = np.where(np.isnan(sims), -np.inf, sims)
+        if exclude_self:
+            sims[qk[:, None] == v_keys[None, :]] = -np.inf
+        kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+        keep = (sims >= kth[:, None]) & np.isfinite(sims)
+        qi, vi = np.nonzero(keep)
+        out_q.append(qk[qi])
+        out_v.append(v_keys[vi])
+        out_s.append(sims[qi, vi])
+    return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
 def _stack(series: pd.Series) -> np.ndarray:
@@ -96,7 +111,7 @@ def _stack(series: pd.Series) -> np.ndarray:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "vec_id",
             vec_col: str = "embedding", query_key: str | None = None, query_vec: str | None = None,
-            exclude_self: bool = True, broadcast_bytes: int = 256 << 20, n_blocks: int | None = None
+            exclude_self: bool = True, broadcast_bytes: int = 64 << 20, n_blocks: int | None = None
             ) -> DataFrame:
     """V2: for each query row, the ``k`` nearest vectors by cosine similarity.
 

@@ -54,3 +54,16 @@ def test_lookup_and_matrix(vecs, spark):
     assert got[1000] is None and np.allclose(got[5], m[5])
     mat = df.where("vec_id = 5").select(V.vector_matrix("embedding").alias("m")).first()["m"]
     assert mat["shape"] == [1, 8] and np.allclose(mat["values"], m[5])
+
+
+def test_query_slicing_same_result(vecs):
+    df, m = vecs
+    x = m.astype(np.float64)
+    keys = np.arange(len(x), dtype=np.int64)
+    unit = V._unit_rows(x)
+    a = V._topk_candidates(keys, unit, keys, x, 3, True)
+    b = V._topk_candidates(keys, unit, keys, x, 3, True, max_cells=1000)  # 3 queries per slice
+    pa = sorted(zip(a[0].tolist(), a[1].tolist(), a[2].tolist()))
+    pb = sorted(zip(b[0].tolist(), b[1].tolist(), b[2].tolist()))
+    assert [(q, v) for q, v, _ in pa] == [(q, v) for q, v, _ in pb]
+    assert np.allclose([s for _, _, s in pa], [s for _, _, s in pb], atol=1e-12)
