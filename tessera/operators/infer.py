@@ -25,8 +25,20 @@ def _stack_features(series: pd.Series, dims: tuple) -> np.ndarray:
     return x.reshape((len(series),) + tuple(dims)) if len(dims) > 1 else x
 
 
+_MAX_CELLS = 1 << 24  # activations held at once by one task (128 MiB of doubles)
+
+
+def _rows_per_slice(layers, params, dims, upto, max_cells: int = _MAX_CELLS) -> int:
+    """Rows per forward slice so that the largest activation of the net
+    stays under ``max_cells`` values."""
+    probe = np.zeros((1,) + tuple(dims))
+    _, cache = nets.forward(layers, params, probe, upto=upto, keep=True)
+    widest = max([int(np.prod(dims))] + [c[2].size for c in cache] + [c[1].size for c in cache])
+    return max(1, max_cells // max(1, widest))
+
+
 def _run(df: DataFrame, model: Model, features_col: str, keep: Sequence[str], upto: int | None,
-         out_col: str) -> DataFrame:
+         out_col: str, max_cells: int = _MAX_CELLS) -> DataFrame:
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast((model.layers, model.params, model.input_dims))
     keep = list(keep)
@@ -36,16 +48,19 @@ def _run(df: DataFrame, model: Model, features_col: str, keep: Sequence[str], up
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layers, params, dims = bc.value
+        step = _rows_per_slice(layers, params, dims, upto, max_cells)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             ok = pdf["_x"].notna().to_numpy()
             out = [None] * len(pdf)
-            if ok.any():
-                x = _stack_features(pdf["_x"][ok], dims)
+            idx = np.nonzero(ok)[0]
+            for lo in range(0, len(idx), step):
+                part = idx[lo:lo + step]
+                x = _stack_features(pdf["_x"].iloc[part], dims)
                 y = nets.forward(layers, params, x, upto=upto)
                 y = y.reshape(len(y), -1)
-                for i, row in zip(np.nonzero(ok)[0], y):
+                for i, row in zip(part, y):
                     out[i] = row
             res = pdf[keep].copy()
             res[out_col] = out
@@ -55,10 +70,10 @@ def _run(df: DataFrame, model: Model, features_col: str, keep: Sequence[str], up
 
 
 def predict(df: DataFrame, model: Model, features_col: str = "features", keep: Sequence[str] = (),
-            names: DataFrame | None = None) -> DataFrame:
+            names: DataFrame | None = None, max_cells: int = _MAX_CELLS) -> DataFrame:
     """Class scores, predicted class (first maximum), optional predicted
     label name (broadcast join to the small label dimension)."""
-    out = _run(df, model, features_col, keep, None, "scores")
+    out = _run(df, model, features_col, keep, None, "scores", max_cells)
     out = out.withColumn("prediction", argmax("scores"))
     if names is not None:
         dim = names.select(F.col("label").alias("prediction"), F.col("label_name").alias("predicted_name"))
@@ -67,10 +82,10 @@ def predict(df: DataFrame, model: Model, features_col: str = "features", keep: S
 
 
 def featurize(df: DataFrame, model: Model, layer: str, features_col: str = "features",
-              keep: Sequence[str] = ()) -> DataFrame:
+              keep: Sequence[str] = (), max_cells: int = _MAX_CELLS) -> DataFrame:
     """Forward through the layers up to and including ``layer``; the
     output replaces the features, other kept columns (label) pass through."""
-    return _run(df, model, features_col, keep, model.layer_index(layer), "features")
+    return _run(df, model, features_col, keep, model.layer_index(layer), "features", max_cells)
 
 
 def nll_column(scores: str = "scores", label: str = "label") -> F.Column:

@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide rows (images, vectors): bound the bytes of each Arrow batch sent to Python
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

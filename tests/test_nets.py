@@ -59,3 +59,17 @@ def test_param_count_of_reference_cnn():
             {"kind": "dense", "activation": "relu", "n_out": 500},
             {"kind": "output", "activation": "softmax", "n_out": 10}]
     assert Model.build(spec, (1, 28, 28)).n_params() == 431_080
+
+
+def test_inference_slices_match_whole_batch(spark):
+    from tessera.operators import infer
+    m = Model.build([{"kind": "conv", "activation": "relu", "n_out": 3, "kernel": 3, "channels_in": 1},
+                     {"kind": "pool", "kernel": 2, "stride": 2},
+                     {"kind": "output", "activation": "softmax", "n_out": 2}], (1, 8, 8), seed=4)
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50, 64))
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(50)], "k long, features array<double>")
+    assert infer._rows_per_slice(m.layers, m.params, (1, 8, 8), None, 200) == 1
+    got = {r["k"]: r["scores"] for r in infer.predict(df, m, keep=("k",), max_cells=200).collect()}
+    want = nets.forward(m.layers, m.params, x.reshape(50, 1, 8, 8))
+    assert all(np.allclose(got[i], want[i]) for i in range(50))
