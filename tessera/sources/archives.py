@@ -71,9 +71,14 @@ def iter_entries(path: str, with_content: bool, max_entry_bytes: int) -> Iterato
 
 
 def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
-                    max_entry_bytes: int = 256 << 20, rows_per_batch: int = 256) -> DataFrame:
+                    max_entry_bytes: int = 256 << 20, rows_per_batch: int = 1024,
+                    bytes_per_batch: int = 64 << 20) -> DataFrame:
     """One row per archive entry: ``(archive, entry, is_dir, size, unsafe,
-    content, error)``. A broken archive yields one row with ``error``."""
+    content, error)``. A broken archive yields one row with ``error``.
+
+    Entries are streamed out in batches of at most ``rows_per_batch`` rows or
+    ``bytes_per_batch`` content bytes, so a task holds one batch, not an
+    archive; an entry over ``max_entry_bytes`` is listed without content."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
                     .select("path", "length"))
     cond = F.lit(False)
@@ -87,13 +92,14 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                rows = []
+                rows, held = [], 0
                 try:
                     for row in iter_entries(path, with_content, max_entry_bytes):
                         rows.append(row)
-                        if len(rows) >= rows_per_batch:
+                        held += len(row[5]) if row[5] is not None else 0
+                        if len(rows) >= rows_per_batch or held >= bytes_per_batch:
                             yield pd.DataFrame(rows, columns=ENTRY_SCHEMA.names)
-                            rows = []
+                            rows, held = [], 0
                 except Exception as e:  # noqa: BLE001 - broken archive is a row, not a job failure
                     rows.append((path, None, None, None, None, None, f"{type(e).__name__}: {e}"))
                 if rows:
