@@ -55,19 +55,25 @@ def iter_entries(path: str, with_content: bool, max_entry_bytes: int) -> Iterato
             data = fh.read() if not hasattr(fh, "seekable") else None
             zf = zipfile.ZipFile(fh if data is None else io.BytesIO(data))
             for info in zf.infolist():
-                content = None
-                if with_content and not info.is_dir() and info.file_size <= max_entry_bytes:
-                    content = zf.read(info)
+                content, err = None, None
+                if with_content and not info.is_dir():
+                    if info.file_size <= max_entry_bytes:
+                        content = zf.read(info)
+                    else:
+                        err = f"content not read: {info.file_size} bytes > {max_entry_bytes}"
                 yield (path, info.filename, info.is_dir(), int(info.file_size), _unsafe(info.filename),
-                       content, None)
+                       content, err)
             return
         with tarfile.open(fileobj=fh, mode="r|*") as tf:  # streaming: gzip or plain detected
             for m in tf:
-                content = None
-                if with_content and m.isfile() and m.size <= max_entry_bytes:
-                    f = tf.extractfile(m)
-                    content = f.read() if f is not None else None
-                yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), content, None)
+                content, err = None, None
+                if with_content and m.isfile():
+                    if m.size <= max_entry_bytes:
+                        f = tf.extractfile(m)
+                        content = f.read() if f is not None else None
+                    else:
+                        err = f"content not read: {m.size} bytes > {max_entry_bytes}"
+                yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), content, err)
 
 
 def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
@@ -78,7 +84,8 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
 
     Entries are streamed out in batches of at most ``rows_per_batch`` rows or
     ``bytes_per_batch`` content bytes, so a task holds one batch, not an
-    archive; an entry over ``max_entry_bytes`` is listed without content."""
+    archive; an entry over ``max_entry_bytes`` keeps its row, without content
+    and with an ``error`` saying so."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
                     .select("path", "length"))
     cond = F.lit(False)
