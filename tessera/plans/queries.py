@@ -892,5 +892,37 @@ def q_archive_entries(spark, sf):
         "entry", "size", "unsafe", (F.octet_length("content") == F.col("size")).alias("content_ok"))
 
 
+# ------------------------------------------------------------------ more sources
+
+@register("first_pages", """
+SELECT page_id, url FROM pages ORDER BY url, page_id LIMIT 3
+""")
+def q_first_pages(spark, sf):
+    """the first 3 items of a listing in a fixed order (a top-n report)."""
+    return SM.first_n(table(spark, sf, "pages").select("page_id", "url"), 3, ["url", "page_id"])
+
+
+@register("delimited_records", """
+SELECT CAST(l_linenumber - 1 AS INTEGER) AS label, count(*) AS n,
+       round(avg(l_quantity), 6) AS avg_f0, round(avg(l_extendedprice), 6) AS avg_f1,
+       round(avg(l_discount), 6) AS avg_f2, round(avg(l_tax), 6) AS avg_f3
+FROM lineitem GROUP BY l_linenumber
+""")
+def q_delimited_records(spark, sf):
+    """S3 + P14 + P16: lineitem written as CSV part files (each with a header
+    line), read back with an explicit schema skipping the first line of every
+    file, then summarised per class."""
+    from tessera.session import scratch_path
+    from tessera.sources.text import read_delimited
+    li = table(spark, sf, "lineitem")
+    path = scratch_path(spark, "csv")
+    li.select("l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              (F.col("l_linenumber") - 1).alias("label")).write.option("header", "true").csv(path)
+    rec = read_delimited(spark, path, n_features=4, skip_lines=1, strict=True)
+    return rec.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.round(F.avg(F.col("features")[i]), 6).alias(f"avg_f{i}") for i in range(4)])
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return QUERIES["eval_summary"](spark, sf)
