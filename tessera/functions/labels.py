@@ -71,9 +71,11 @@ def index_labels(df: DataFrame, label_col: str, index_col: str | None = None,
     size is under ``broadcast_limit`` rows.
     """
     from tessera.operators.sampling import global_index
+    from tessera.session import cut_lineage
 
     index_col = index_col or f"{label_col}_index"
-    distinct = df.select(label_col).where(F.col(label_col).isNotNull()).distinct()
+    # the distinct labels are computed once and cut; counting and indexing re-read that
+    distinct = cut_lineage(df.select(label_col).where(F.col(label_col).isNotNull()).distinct())
     n = distinct.count()
     if n <= broadcast_limit:
         # counted small dictionary: one sorted task over n rows is enough

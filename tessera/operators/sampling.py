@@ -76,30 +76,50 @@ def global_index(df: DataFrame, order_cols: Sequence, index_col: str = "idx",
     return out
 
 
+def group_offsets(df: DataFrame, group_cols: Sequence[str], hash_col: str, bucket_bits: int = 12
+                  ) -> DataFrame:
+    """Per (group, hash bucket): rows before the bucket inside its group
+    (``_before``) and the group size (``_gsize``).
+
+    One partial aggregate over the data; the result has at most
+    groups x 2^bucket_bits rows and is cut to the shared checkpoint folder,
+    so later uses (its size check, the join, the smallest class) do not
+    scan the data again."""
+    group_cols = list(group_cols)
+    shift = HASH_BITS - bucket_bits
+    counts = (df.withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
+                .groupBy(*group_cols, "_bkt").agg(F.count(F.lit(1)).alias("_bn")))
+    # one group's window sees at most 2^bucket_bits rows
+    wg = Window.partitionBy(*group_cols).orderBy("_bkt")
+    offsets = (counts
+               .withColumn("_before", F.coalesce(F.sum("_bn").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
+                                                 F.lit(0)))
+               .withColumn("_gsize", F.sum("_bn").over(Window.partitionBy(*group_cols)))
+               .drop("_bn"))
+    return cut_lineage(offsets)
+
+
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], hash_col: str, key_col: str,
                        rank_col: str = "rank", size_col: str | None = None,
-                       bucket_bits: int = 12, broadcast_limit: int = 2_000_000) -> DataFrame:
+                       bucket_bits: int = 12, broadcast_limit: int = 2_000_000,
+                       offsets: DataFrame | None = None) -> DataFrame:
     """Exact 1-based rank of each row inside its group, ordered by
     (``hash_col``, ``key_col``), without putting a whole group in one task.
 
     ``hash_col`` must be uniform in [0, 2^32). Rows are split into 2^bucket_bits
     buckets by the top bits of the hash; per-(group, bucket) counts (partial
-    aggregate) give each bucket its offset inside the group; the final
-    row_number runs per (group, bucket). ``size_col`` adds the group size.
+    aggregate, ``group_offsets``) give each bucket its offset inside the
+    group; the final row_number runs per (group, bucket). ``size_col`` adds
+    the group size.
     """
     group_cols = list(group_cols)
     shift = HASH_BITS - bucket_bits
     with_bucket = df.withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
     keys = group_cols + ["_bkt"]
-    counts = with_bucket.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"))
-    # bounded by groups x 2^bucket_bits rows; one group's window sees <= 2^bits rows
-    wg = Window.partitionBy(*group_cols).orderBy("_bkt")
-    offsets = counts.withColumn(
-        "_before", F.coalesce(F.sum("_bn").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    if size_col:
-        offsets = offsets.withColumn(size_col, F.sum("_bn").over(Window.partitionBy(*group_cols)))
-    offsets = offsets.drop("_bn")
-    if offsets.count() <= broadcast_limit:
+    if offsets is None:
+        offsets = group_offsets(df, group_cols, hash_col, bucket_bits)
+    offsets = offsets.withColumnRenamed("_gsize", size_col) if size_col else offsets.drop("_gsize")
+    if offsets.count() <= broadcast_limit:  # counted on the checkpointed table
         offsets = F.broadcast(offsets)
     joined = with_bucket.join(offsets, on=keys, how="inner")
     wb = Window.partitionBy(*keys).orderBy(F.col(hash_col), F.col(key_col))
@@ -110,12 +130,15 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], hash_col: str,
 def balanced_sample(df: DataFrame, label_col: str, key_col: str, seed: int = 13,
                     bucket_bits: int = 12) -> DataFrame:
     """keep the same number of rows from every class — the size of the
-    smallest class — choosing rows by seeded hash order."""
-    u = df.withColumn("_u", hash_uniform(seed, F.col(key_col)))
-    min_class = u.groupBy(label_col).count().agg(F.min("count")).first()[0]
+    smallest class — choosing rows by seeded hash order. Rows without a
+    class take no part."""
+    u = df.where(F.col(label_col).isNotNull()).withColumn("_u", hash_uniform(seed, F.col(key_col)))
+    offsets = group_offsets(u, [label_col], "_u", bucket_bits)
+    min_class = offsets.agg(F.min("_gsize")).first()[0]
     if min_class is None:
         return df.limit(0)
-    ranked = rank_within_groups(u, [label_col], "_u", key_col, rank_col="_r", bucket_bits=bucket_bits)
+    ranked = rank_within_groups(u, [label_col], "_u", key_col, rank_col="_r", bucket_bits=bucket_bits,
+                                offsets=offsets)
     return ranked.where(F.col("_r") <= F.lit(min_class)).drop("_u", "_r")
 
 

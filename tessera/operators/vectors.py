@@ -125,11 +125,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "
     q = queries.select(F.col(query_key).cast("long").alias("qk"), F.col(query_vec).alias("qv"))
     v = vectors.select(F.col(key_col).cast("long").alias("vk"), F.col(vec_col).alias("vv"))
 
-    q_stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qv")).alias("d")).first()
-    q_bytes = int(q_stats["n"] or 0) * int(q_stats["d"] or 0) * 8
-
-    if q_bytes <= broadcast_bytes:
-        qp = q.toPandas()  # size checked above
+    # Size check without a separate pass: fetch at most the rows that fit the
+    # broadcast budget (+1); more rows than that means the tiled plan.
+    first = q.select(F.size("qv").alias("d")).first()
+    d = int(first["d"]) if first is not None and first["d"] is not None else 1
+    max_rows = max(1, broadcast_bytes // (8 * max(1, d)))
+    qp = q.limit(max_rows + 1).toPandas()
+    if len(qp) <= max_rows:
         q_keys = qp["qk"].to_numpy(dtype=np.int64)
         q_unit = _unit_rows(_stack(qp["qv"])) if len(qp) else np.zeros((0, 0))
         bc = spark.sparkContext.broadcast((q_keys, q_unit))
@@ -156,7 +158,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "
     else:
         # 2-D tiling: query blocks of broadcast size x vector blocks of bounded
         # rows; each (query block, vector block) tile is one co-grouped task.
-        nq = n_blocks or max(2, int(np.ceil(q_bytes / broadcast_bytes)))
+        del qp
+        n_q = q.count()
+        nq = n_blocks or max(2, int(np.ceil(n_q * d * 8 / broadcast_bytes)))
         n_vec = vectors.count()
         nv = max(1, int(np.ceil(n_vec / 200_000)))
         qb = (q.withColumn("qb", F.pmod(F.xxhash64("qk"), F.lit(nq)))
