@@ -69,6 +69,7 @@ class TrainConfig:
     max_score: float | None = None
     target_accuracy: float | None = None
     min_improvement: float = 0.0
+    evaluate_every: int = 1  # score the test set every N epochs (and after the last one)
 
     def rate(self, iteration: int) -> float:
         if isinstance(self.learning_rate, dict):
@@ -179,6 +180,8 @@ def test_score(test: DataFrame, model: Model, features_col: str, label_col: str)
                    model, "features", keep=("label",))
     r = pred.agg(F.avg(nll_column("scores", "label")).alias("loss"),
                  F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")).first()
+    if r is None or r["loss"] is None:  # empty test set
+        return float("nan"), float("nan")
     return float(r["loss"]), float(r["acc"])
 
 
@@ -225,6 +228,9 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
             if cfg.max_minutes is not None and (time.time() - t0) / 60.0 > cfg.max_minutes:
                 reason, detail, stop = "IterationTerminationCondition", f"MaxTime({cfg.max_minutes} min)", True
                 break
+        last_epoch = stop or epoch == cfg.max_epochs - 1
+        if (epoch + 1) % max(1, cfg.evaluate_every) != 0 and not last_epoch:
+            continue  # not an evaluation epoch
         current = model.with_flat(flat)
         if test is not None:
             score, acc = test_score(test, current, features_col, label_col)
@@ -232,7 +238,7 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
             score, acc = (stats[-1][4] if stats else float("nan")), float("nan")
         scores[epoch] = score
         stats.append((run, epoch, -1, 0, None, float(score), int((time.time() - t0) * 1000)))
-        if score < best_score - cfg.min_improvement:
+        if score < best_score - cfg.min_improvement or best_epoch < 0 or np.isnan(best_score):
             best, best_score, best_epoch, since_best = flat.copy(), score, epoch, 0
         else:
             since_best += 1

@@ -104,3 +104,14 @@ def test_stats_table_appended(spark, data, tmpdir_fresh):
     assert set(r["run"] for r in st.collect()) == {"r1"}
     table = TR.epoch_table(res, spark).collect()
     assert [r["epoch"] for r in table] == [0, 1] and sum(r["is_best"] for r in table) == 1
+
+
+def test_evaluate_every_n_epochs(spark, data):
+    train, test = data.where(F.col("key") % 5 != 0), data.where(F.col("key") % 5 == 0)
+    cfg = TR.TrainConfig(n_workers=2, batch_size=32, averaging_frequency=2, max_epochs=5, learning_rate=0.05,
+                         patience=None, evaluate_every=2)
+    res = TR.fit(train, _model(), cfg, key_col="key", test=test)
+    assert sorted(res.scores) == [1, 3, 4]  # every 2nd epoch and the last one
+    empty = TR.fit(train, _model(), TR.TrainConfig(n_workers=1, batch_size=64, max_epochs=1, patience=None),
+                   key_col="key", test=test.where("key < 0"))
+    assert np.isnan(empty.scores[0]) and empty.best_epoch == 0
