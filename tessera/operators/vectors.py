@@ -61,9 +61,6 @@ def similarity(vectors: DataFrame, pairs: DataFrame, key_col: str, vec_col: str
 
 # ---------------------------------------------------------------- V2 top-k
 
-_CAND_SCHEMA = "query_key long, key long, score double"
-
-
 def _unit_rows(mat: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(mat, axis=1, keepdims=True)
     with np.errstate(invalid="ignore", divide="ignore"):
@@ -75,30 +72,30 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
 def _topk_candidates(q_keys: np.ndarray, q_unit: np.ndarray, v_keys: np.ndarray, v_mat: np.ndarray,
                      k: int, exclude_self: bool, max_cells: int = 1 << 24
                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query: all vectors scoring >= that query's k-th best score here.
+    """Per query: all vectors scoring >= that query's k-th best score here,
+    as (query position, vector position, score).
 
     The score matrix is built for slices of the queries so that one slice
     holds at most ``max_cells`` scores (128 MiB by default), whatever the
-    number of queries or the batch size."""
+    number of queries or the batch size. Keys may be of any type."""
     if len(v_keys) == 0 or len(q_keys) == 0:
-        e = np.empty(0)
-        return e.astype(np.int64), e.astype(np.int64), e
+        e = np.empty(0, dtype=np.int64)
+        return e, e, np.empty(0)
     v_unit = _unit_rows(v_mat).T  # (d, n)
     n = v_unit.shape[1]
     kk = min(k, n)
     step = max(1, max_cells // n)
     out_q, out_v, out_s = [], [], []
     for lo in range(0, len(q_keys), step):
-        qk = q_keys[lo:lo + step]
         sims = q_unit[lo:lo + step] @ v_unit  # (slice, n)
         sims = np.where(np.isnan(sims), -np.inf, sims)
         if exclude_self:
-            sims[qk[:, None] == v_keys[None, :]] = -np.inf
+            sims[np.asarray(q_keys[lo:lo + step])[:, None] == np.asarray(v_keys)[None, :]] = -np.inf
         kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
         keep = (sims >= kth[:, None]) & np.isfinite(sims)
         qi, vi = np.nonzero(keep)
-        out_q.append(qk[qi])
-        out_v.append(v_keys[vi])
+        out_q.append(qi + lo)
+        out_v.append(vi)
         out_s.append(sims[qi, vi])
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
@@ -109,6 +106,17 @@ def _stack(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
 
 
+def _refold(cands: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Keep, per query, the k best candidates plus any tied with the k-th
+    (order: score desc, key asc)."""
+    cands = cands.sort_values(["qi", "score", "key"], ascending=[True, False, True], kind="mergesort")
+    pos = cands.groupby("qi").cumcount()
+    kth = cands.loc[pos == k - 1].set_index("qi")["score"]
+    thr = cands["qi"].map(kth)
+    keep = (pos < k) | (cands["score"] >= thr)
+    return cands[keep.to_numpy()]
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "vec_id",
             vec_col: str = "embedding", query_key: str | None = None, query_vec: str | None = None,
             exclude_self: bool = True, broadcast_bytes: int = 64 << 20, n_blocks: int | None = None
@@ -116,14 +124,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "
     """V2: for each query row, the ``k`` nearest vectors by cosine similarity.
 
     Returns ``(query_key, key, score, rank)``; ``rank`` 1..k by score desc,
-    key asc. A vector with the query's own key is skipped when
-    ``exclude_self``.
+    key asc. Keys keep their type (ids or words). A vector with the query's
+    own key is skipped when ``exclude_self``.
     """
     query_key = query_key or key_col
     query_vec = query_vec or vec_col
     spark = vectors.sparkSession
-    q = queries.select(F.col(query_key).cast("long").alias("qk"), F.col(query_vec).alias("qv"))
-    v = vectors.select(F.col(key_col).cast("long").alias("vk"), F.col(vec_col).alias("vv"))
+    q = queries.select(F.col(query_key).alias("qk"), F.col(query_vec).alias("qv"))
+    v = vectors.select(F.col(key_col).alias("vk"), F.col(vec_col).alias("vv"))
+    schema = T.StructType([T.StructField("query_key", q.schema["qk"].dataType),
+                           T.StructField("key", v.schema["vk"].dataType),
+                           T.StructField("score", T.DoubleType())])
 
     # Size check without a separate pass: fetch at most the rows that fit the
     # broadcast budget (+1); more rows than that means the tiled plan.
@@ -132,29 +143,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "
     max_rows = max(1, broadcast_bytes // (8 * max(1, d)))
     qp = q.limit(max_rows + 1).toPandas()
     if len(qp) <= max_rows:
-        q_keys = qp["qk"].to_numpy(dtype=np.int64)
+        q_keys = qp["qk"].to_numpy()
         q_unit = _unit_rows(_stack(qp["qv"])) if len(qp) else np.zeros((0, 0))
         bc = spark.sparkContext.broadcast((q_keys, q_unit))
 
         def score_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             qk, qu = bc.value
-            best_q, best_v, best_s = [], [], []
+            held = None
             for pdf in batches:
                 if len(pdf) == 0 or len(qk) == 0:
                     continue
-                cq, cv, cs = _topk_candidates(qk, qu, pdf["vk"].to_numpy(np.int64), _stack(pdf["vv"]),
-                                              k, exclude_self)
-                best_q.append(cq)
-                best_v.append(cv)
-                best_s.append(cs)
-                # fold the running candidates down to top-k (+ties) per query
-                if sum(len(a) for a in best_q) > 4 * k * len(qk):
-                    best_q, best_v, best_s = _refold(best_q, best_v, best_s, k)
-            if best_q:
-                best_q, best_v, best_s = _refold(best_q, best_v, best_s, k)
-                yield pd.DataFrame({"query_key": best_q[0], "key": best_v[0], "score": best_s[0]})
-
-        cands = v.mapInPandas(score_partition, _CAND_SCHEMA)
+                vkeys = pdf["vk"].to_numpy()
+                qi, vi, sc = _topk_candidates(qk, qu, vkeys, _stack(pdf["vv"]), k, exclude_self)
+                part = pd.DataFrame({"qi": qi, "key": vkeys[vi], "score": sc})
+                held = part if held is None else pd.concat([held, part], ignore_index=True)
+                if len(held) > 4 * k * len(qk):  # fold the running candidates down to top-k (+ties)
+                    held = _refold(held, k)
+            if held is not None and len(held):
+                held = _refold(held, k)
+                yield pd.DataFrame({"query_key": qk[held["qi"].to_numpy()], "key": held["key"].to_numpy(),
+                                    "score": held["score"].to_numpy()})
+
+        cands = v.mapInPandas(score_partition, schema)
     else:
         # 2-D tiling: query blocks of broadcast size x vector blocks of bounded
         # rows; each (query block, vector block) tile is one co-grouped task.
@@ -173,29 +183,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "
         def score_block(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
             if len(qpdf) == 0 or len(vpdf) == 0:
                 return pd.DataFrame({"query_key": [], "key": [], "score": []})
-            cq, cv, cs = _topk_candidates(qpdf["qk"].to_numpy(np.int64), _unit_rows(_stack(qpdf["qv"])),
-                                          vpdf["vk"].to_numpy(np.int64), _stack(vpdf["vv"]), k, exclude_self)
-            return pd.DataFrame({"query_key": cq, "key": cv, "score": cs})
+            qkeys, vkeys = qpdf["qk"].to_numpy(), vpdf["vk"].to_numpy()
+            qi, vi, sc = _topk_candidates(qkeys, _unit_rows(_stack(qpdf["qv"])), vkeys, _stack(vpdf["vv"]),
+                                          k, exclude_self)
+            return pd.DataFrame({"query_key": qkeys[qi], "key": vkeys[vi], "score": sc})
 
-        cands = qb.groupBy("blk").cogroup(vb.groupBy("blk")).applyInPandas(score_block, _CAND_SCHEMA)
+        cands = qb.groupBy("blk").cogroup(vb.groupBy("blk")).applyInPandas(score_block, schema)
 
     w = Window.partitionBy("query_key").orderBy(F.col("score").desc(), F.col("key").asc())
     return (cands.withColumn("rank", F.row_number().over(w))
                  .where(F.col("rank") <= k))
 
 
-def _refold(qs, vs, ss, k):
-    cq, cv, cs = np.concatenate(qs), np.concatenate(vs), np.concatenate(ss)
-    order = np.lexsort((cv, -cs, cq))  # by query, score desc, key asc
-    cq, cv, cs = cq[order], cv[order], cs[order]
-    # position within each query group
-    starts = np.r_[0, np.nonzero(np.diff(cq))[0] + 1]
-    pos = np.arange(len(cq)) - np.repeat(starts, np.diff(np.r_[starts, len(cq)]))
-    kth_idx = np.minimum(starts + k - 1, np.r_[starts[1:], len(cq)] - 1)
-    kth = np.repeat(cs[kth_idx], np.diff(np.r_[starts, len(cq)]))
-    keep = (pos < k) | (cs >= kth)
-    return [cq[keep]], [cv[keep]], [cs[keep]]
-
-
 def vector_norms(vectors: DataFrame, key_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     return vectors.select(key_col, F.size(vec_col).alias("dim"), l2_norm(vec_col).alias("norm"))

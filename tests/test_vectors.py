@@ -67,3 +67,19 @@ def test_query_slicing_same_result(vecs):
     pb = sorted(zip(b[0].tolist(), b[1].tolist(), b[2].tolist()))
     assert [(q, v) for q, v, _ in pa] == [(q, v) for q, v, _ in pb]
     assert np.allclose([s for _, _, s in pa], [s for _, _, s in pb], atol=1e-12)
+
+
+@pytest.mark.parametrize("bbytes", [64 << 20, 100])
+def test_nearest_with_word_keys(spark, bbytes):
+    words = {"home": [1.0, 0.1, 0.0], "house": [0.9, 0.2, 0.0], "flat": [0.8, 0.3, 0.1],
+             "car": [0.0, 1.0, 0.0], "truck": [0.1, 0.9, 0.0], "tree": [0.0, 0.0, 1.0]}
+    df = spark.createDataFrame([(w, v) for w, v in words.items()], "word string, vector array<float>")
+    queries = df.where("word in ('home', 'car')")
+    got = {}
+    for r in V.nearest(df, queries, k=2, key_col="word", vec_col="vector", broadcast_bytes=bbytes).collect():
+        got.setdefault(r["query_key"], []).append((r["rank"], r["key"]))
+    assert sorted(got["home"]) == [(1, "house"), (2, "flat")]
+    assert sorted(got["car"])[0] == (1, "truck")
+    pairs = spark.createDataFrame([("home", "house"), ("home", "unknown")], "key1 string, key2 string")
+    sims = {r["key2"]: r["similarity"] for r in V.similarity(df, pairs, "word", "vector").collect()}
+    assert sims["unknown"] is None and sims["house"] > 0.9
