@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import cut_lineage
+
 ENTRY_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("entry", T.StringType()),
@@ -47,13 +49,43 @@ def _unsafe(name: str) -> bool:
     return name.startswith("/") or name.startswith("\\") or ".." in name.replace("\\", "/").split("/")
 
 
+def _kind(fh) -> str:
+    head = fh.read(262)
+    fh.seek(0)
+    if head[:2] == b"PK":
+        return "zip"
+    if head[:2] == b"\x1f\x8b":
+        return "tgz"
+    if head[257:262] == b"ustar":
+        return "tar"
+    return "tgz"  # let tarfile try its other compressions on the streaming path
+
+
+def iter_index(path: str) -> Iterator[tuple]:
+    """Entries of one archive without their bytes: (archive, entry, is_dir,
+    size, unsafe, kind, offset). Zip: central directory; plain tar: headers,
+    skipping content by seeking; compressed tar: streamed (kind 'tgz', offset
+    -1: content cannot be reached without reading what comes before)."""
+    with _open(path) as fh:
+        kind = _kind(fh)
+        if kind == "zip":
+            for info in zipfile.ZipFile(fh).infolist():
+                yield (path, info.filename, info.is_dir(), int(info.file_size), _unsafe(info.filename), kind,
+                       int(info.header_offset))
+        elif kind == "tar":
+            with tarfile.open(fileobj=fh, mode="r:") as tf:
+                for m in tf:
+                    yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), kind, int(m.offset_data))
+        else:
+            yield (path, None, None, None, None, kind, -1)
+
+
 def iter_entries(path: str, with_content: bool, max_entry_bytes: int) -> Iterator[tuple]:
+    """All entries of one archive with their bytes, streamed in archive order."""
     with _open(path) as fh:
-        head = fh.read(4)
-        fh.seek(0)
-        if head[:2] == b"PK":
-            data = fh.read() if not hasattr(fh, "seekable") else None
-            zf = zipfile.ZipFile(fh if data is None else io.BytesIO(data))
+        kind = _kind(fh)
+        if kind == "zip":
+            zf = zipfile.ZipFile(fh)
             for info in zf.infolist():
                 content, err = None, None
                 if with_content and not info.is_dir():
@@ -76,43 +108,104 @@ def iter_entries(path: str, with_content: bool, max_entry_bytes: int) -> Iterato
                 yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), content, err)
 
 
+def _batches(rows_iter, rows_per_batch: int, bytes_per_batch: int, columns, content_pos: int | None):
+    rows, held = [], 0
+    for row in rows_iter:
+        rows.append(row)
+        if content_pos is not None and row[content_pos] is not None:
+            held += len(row[content_pos])
+        if len(rows) >= rows_per_batch or held >= bytes_per_batch:
+            yield pd.DataFrame(rows, columns=columns)
+            rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=columns)
+
+
+_INDEX_SCHEMA = T.StructType([f for f in ENTRY_SCHEMA.fields if f.name not in ("content", "error")]
+                             + [T.StructField("kind", T.StringType()), T.StructField("offset", T.LongType()),
+                                T.StructField("error", T.StringType())])
+
+
 def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
                     max_entry_bytes: int = 256 << 20, rows_per_batch: int = 1024,
                     bytes_per_batch: int = 64 << 20) -> DataFrame:
     """One row per archive entry: ``(archive, entry, is_dir, size, unsafe,
     content, error)``. A broken archive yields one row with ``error``.
 
-    Entries are streamed out in batches of at most ``rows_per_batch`` rows or
-    ``bytes_per_batch`` content bytes, so a task holds one batch, not an
-    archive; an entry over ``max_entry_bytes`` keeps its row, without content
-    and with an ``error`` saying so."""
+    Two phases, so one huge archive is not one task: (1) index every archive
+    without reading entry bytes (zip central directory, tar headers); (2)
+    spread the entries over tasks by hash and read each entry's bytes by
+    seeking to it. Gzip-compressed tars cannot be entered at an offset; they
+    are streamed whole by one task each. Batches hold at most
+    ``rows_per_batch`` rows or ``bytes_per_batch`` content bytes; an entry
+    over ``max_entry_bytes`` keeps its row, without content and with an
+    ``error`` saying so.
+    """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
                     .select("path", "length"))
     cond = F.lit(False)
-    for s in ARCHIVE_SUFFIXES:
-        cond = cond | F.lower(F.col("path")).endswith(s)
-    listing = listing.where(cond)
-    # one archive per row; spread archives over tasks by path hash
+    for suffix in ARCHIVE_SUFFIXES:
+        cond = cond | F.lower(F.col("path")).endswith(suffix)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listing = listing.repartition(n, F.xxhash64("path"))
+    listing = listing.where(cond).repartition(n, F.xxhash64("path"))
+    cols_index = _INDEX_SCHEMA.names
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                rows, held = [], 0
-                try:
-                    for row in iter_entries(path, with_content, max_entry_bytes):
-                        rows.append(row)
-                        held += len(row[5]) if row[5] is not None else 0
-                        if len(rows) >= rows_per_batch or held >= bytes_per_batch:
-                            yield pd.DataFrame(rows, columns=ENTRY_SCHEMA.names)
-                            rows, held = [], 0
-                except Exception as e:  # noqa: BLE001 - broken archive is a row, not a job failure
-                    rows.append((path, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-                if rows:
-                    yield pd.DataFrame(rows, columns=ENTRY_SCHEMA.names)
-
-    return listing.mapInPandas(expand, ENTRY_SCHEMA)
+                def rows():
+                    try:
+                        for r in iter_index(path):
+                            yield r + (None,)
+                    except Exception as e:  # noqa: BLE001 - a broken archive is a row
+                        yield (path, None, None, None, None, None, -1, f"{type(e).__name__}: {e}")
+                yield from _batches(rows(), rows_per_batch, bytes_per_batch, cols_index, None)
+
+    # the index (no entry bytes) is used three times below: cut it once to the shared checkpoint folder
+    idx = cut_lineage(listing.mapInPandas(index, _INDEX_SCHEMA))
+
+    seekable = idx.where(F.col("kind").isin("zip", "tar") & F.col("entry").isNotNull())
+    streamed = idx.where(F.col("kind") == "tgz").select("archive").distinct()
+    broken = idx.where(F.col("error").isNotNull()).select(
+        "archive", "entry", "is_dir", "size", "unsafe", F.lit(None).cast("binary").alias("content"), "error")
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, grp in pdf.groupby("archive", sort=False):
+                def rows():
+                    fh = _open(path)
+                    try:
+                        zf = zipfile.ZipFile(fh) if grp["kind"].iloc[0] == "zip" else None
+                        for r in grp.itertuples(index=False):
+                            content, err = None, None
+                            if with_content and not r.is_dir:
+                                if r.size > max_entry_bytes:
+                                    err = f"content not read: {r.size} bytes > {max_entry_bytes}"
+                                elif zf is not None:
+                                    content = zf.read(r.entry)
+                                else:
+                                    fh.seek(int(r.offset))
+                                    content = fh.read(int(r.size))
+                            yield (path, r.entry, bool(r.is_dir), int(r.size), bool(r.unsafe), content, err)
+                    finally:
+                        fh.close()
+                yield from _batches(rows(), rows_per_batch, bytes_per_batch, ENTRY_SCHEMA.names, 5)
+
+    spread = seekable.repartition(n, F.xxhash64("archive", "entry"))
+    seek_rows = spread.mapInPandas(fetch, ENTRY_SCHEMA)
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["archive"]:
+                def rows():
+                    try:
+                        yield from iter_entries(path, with_content, max_entry_bytes)
+                    except Exception as e:  # noqa: BLE001 - a broken archive is a row
+                        yield (path, None, None, None, None, None, f"{type(e).__name__}: {e}")
+                yield from _batches(rows(), rows_per_batch, bytes_per_batch, ENTRY_SCHEMA.names, 5)
+
+    stream_rows = streamed.repartition(n, F.xxhash64("archive")).mapInPandas(stream, ENTRY_SCHEMA)
+    return seek_rows.unionByName(stream_rows).unionByName(broken)
 
 
 def entry_counts(entries: DataFrame) -> DataFrame:
