@@ -1,12 +1,14 @@
 """Archive entries (zip / jar / tar / tar.gz / tgz) as rows.
 
-Archives are listed with ``binaryFile`` (no content read on the driver),
-spread one per task group by a hash of their path, and each task streams
-its archive through Python's ``zipfile`` / ``tarfile`` from the Hadoop-style
-path via ``pyarrow.fs``. Nothing is written to disk: entries (with their
-bytes when asked) feed the image decoders directly. The format is detected
-from the content, not from the file name (a ``.tar.gz`` passed as ``.tar``
-still works). Entry names that are absolute or hold ``..`` are flagged.
+Archives are listed with ``binaryFile`` (no bytes read on the driver) and
+opened by executors through ``pyarrow.fs`` (local, HDFS, S3, GCS paths).
+An index pass reads only directories / headers; entry bytes are then read
+by tasks spread over (archive, entry), so one huge zip or tar is many tasks.
+Gzip-compressed tars are streamed, one task per archive. Nothing is written
+to disk: entries (with their bytes when asked) feed the decoders directly.
+The format is detected from the content, not the name (a ``.tar.gz`` named
+``.tar`` still works). Absolute entry names or names holding ``..`` are
+flagged ``unsafe``.
 """
 
 from __future__ import annotations
