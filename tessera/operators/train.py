@@ -70,6 +70,7 @@ class TrainConfig:
     target_accuracy: float | None = None
     min_improvement: float = 0.0
     evaluate_every: int = 1  # score the test set every N epochs (and after the last one)
+    keep_tables: bool = False  # keep the run's training / test tables in the scratch folder
 
     def rate(self, iteration: int) -> float:
         if isinstance(self.learning_rate, dict):
@@ -196,6 +197,7 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
     run = run or uuid.uuid4().hex[:8]
     path, n_rounds = prepare(train, key_col, features_col, label_col, cfg)
     table = spark.read.parquet(path)
+    test_path = None
     if test is not None:
         # score input written once: each epoch re-reads it instead of recomputing its lineage
         test_path = scratch_path(spark, "test-table")
@@ -252,6 +254,11 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
             break
     if cfg.cache:
         table.unpersist()
+    if not cfg.keep_tables:
+        from tessera.sources.sinks import delete_path
+        for p in (path, test_path):
+            if p:
+                delete_path(spark, p)
     result = TrainResult(model.with_flat(best), best_epoch, best_score, scores, reason, detail, epoch + 1, stats)
     if stats_path:
         from tessera.operators.stats import append_stats

@@ -64,6 +64,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder this library created in the scratch space (Hadoop FS,
+    so it works on any cluster filesystem)."""
+    fs, p = _hadoop_fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                 partition_by: list[str] | None = None) -> DataFrame:
     """K7: compute-if-absent. A table counts as present only when its

@@ -97,7 +97,12 @@ def test_transfer_head_freezes_and_replaces():
 def test_stats_table_appended(spark, data, tmpdir_fresh):
     cfg = TR.TrainConfig(n_workers=2, batch_size=32, averaging_frequency=2, max_epochs=2, learning_rate=0.05,
                          patience=None)
+    import glob
+    from tessera.session import ensure_checkpoint_dir
+    ckpt = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{ckpt}/train-table-*"))
     res = TR.fit(data, _model(), cfg, key_col="key", run="r1", stats_path=f"{tmpdir_fresh}/stats")
+    assert set(glob.glob(f"{ckpt}/train-table-*")) == before  # this run's table is removed afterwards
     st = spark.read.parquet(f"{tmpdir_fresh}/stats")
     n_rounds = max(r[2] for r in res.stats) + 1
     assert st.where("round >= 0").count() == 2 * n_rounds and st.where("round = -1").count() == 2
