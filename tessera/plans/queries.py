@@ -318,8 +318,7 @@ def q_extension_counts(spark, sf):
     p = table(spark, sf, "pages").select(L.base_name("url").alias("local"))
     ext = p.select(S.file_extension("local").alias("extension"))
     return ext.groupBy("extension").agg(F.count(F.lit(1)).alias("n_files")) \
-              .withColumn("allowed", S.has_extension(F.concat(F.lit("x."), F.col("extension")),
-                                                     S.ALLOWED_IMAGE_FORMATS))
+              .withColumn("allowed", F.coalesce(F.col("extension").isin(S.ALLOWED_IMAGE_FORMATS), F.lit(False)))
 
 
 # ------------------------------------------------------------------ text records
