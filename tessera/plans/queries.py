@@ -198,6 +198,24 @@ def q_path_labels(spark, sf):
                     L.base_name_label("url").alias("base_label"))
 
 
+@register("path_parent_label", f"""
+SELECT page_id, CASE WHEN len({_SQL_PARTS}) >= 2 THEN {_SQL_PARTS}[-2] END AS parent_label FROM pages
+""")
+def q_path_parent_label(spark, sf):
+    """label = name of the directory holding the file."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    return p.select("page_id", L.parent_dir_label("url").alias("parent_label"))
+
+
+@register("path_base_label", f"""
+SELECT page_id, TRY_CAST(split_part({_SQL_PARTS}[-1], '.', 1) AS INTEGER) AS base_label FROM pages
+""")
+def q_path_base_label(spark, sf):
+    """label = number before the first dot of the file's base name."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    return p.select("page_id", L.base_name_label("url").alias("base_label"))
+
+
 # ------------------------------------------------------------------ manifests
 
 MANIFEST_ROOT = "/data/images"
