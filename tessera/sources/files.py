@@ -52,7 +52,12 @@ def flag_small(df: DataFrame, size_col: str = "length", limit: int = SMALL_FILE_
 
 def skip_existing(plan: DataFrame, existing: DataFrame, on: str = "target_path",
                   existing_col: str | None = None) -> DataFrame:
-    """drop the planned items whose target already exists (left anti join)."""
+    """drop the planned items whose target already exists (left anti join).
+
+    Rows without a target (NULL key) can never match; they bypass the join
+    instead of all landing in one shuffle partition. The existing side is
+    de-duplicated first (a partial aggregate)."""
     existing_col = existing_col or on
-    ex = existing.select(F.col(existing_col).alias(on)).distinct()
-    return plan.join(ex, on=on, how="left_anti")
+    ex = existing.select(F.col(existing_col).alias(on)).where(F.col(on).isNotNull()).distinct()
+    keyed = plan.where(F.col(on).isNotNull()).join(ex, on=on, how="left_anti")
+    return keyed.unionByName(plan.where(F.col(on).isNull()))
