@@ -85,5 +85,8 @@ def index_labels(df: DataFrame, label_col: str, index_col: str | None = None,
         dictionary = global_index(distinct, [F.col(label_col)], index_col=index_col)
     dictionary = dictionary.select(label_col, F.col(index_col).cast("int").alias(index_col))
     if n <= broadcast_limit:
-        dictionary = F.broadcast(dictionary)
-    return df.join(dictionary, on=label_col, how="left")
+        return df.join(F.broadcast(dictionary), on=label_col, how="left")
+    # large dictionary: shuffle join; rows without a label bypass it
+    from tessera.operators.joins import left_join_nonnull
+    renamed = dictionary.withColumnRenamed(label_col, "_lab")
+    return left_join_nonnull(df, renamed, label_col, "_lab").drop("_lab")

@@ -34,9 +34,10 @@ def scan_vectors(vectors: DataFrame, vec_col: str = "embedding") -> DataFrame:
 def lookup_vectors(vectors: DataFrame, keys: DataFrame, key_col: str, vec_col: str = "embedding",
                    keys_key: str | None = None) -> DataFrame:
     """V3: the vector of each requested key (NULL for an unknown key)."""
+    from tessera.operators.joins import left_join_nonnull
     keys_key = keys_key or key_col
     right = vectors.select(F.col(key_col).alias("_k"), as_double_array(vec_col).alias("vector"))
-    return keys.join(right, keys[keys_key] == right["_k"], "left").drop("_k")
+    return left_join_nonnull(keys, right, keys_key, "_k").drop("_k")
 
 
 def vector_matrix(vec: Column | str) -> Column:
@@ -50,13 +51,11 @@ def similarity(vectors: DataFrame, pairs: DataFrame, key_col: str, vec_col: str
                left: str = "key1", right: str = "key2", out_col: str = "similarity") -> DataFrame:
     """V1: cosine similarity of two keys per row of ``pairs``; an unknown key
     (or a zero vector) gives NULL. Two equi-joins on the key."""
+    from tessera.operators.joins import left_join_nonnull
     a = vectors.select(F.col(key_col).alias("_ka"), F.col(vec_col).alias("_va"))
     b = vectors.select(F.col(key_col).alias("_kb"), F.col(vec_col).alias("_vb"))
-    out = (pairs.join(a, pairs[left] == a["_ka"], "left")
-                .join(b, F.col(right) == b["_kb"], "left")
-                .withColumn(out_col, cosine("_va", "_vb"))
-                .drop("_ka", "_va", "_kb", "_vb"))
-    return out
+    out = left_join_nonnull(left_join_nonnull(pairs, a, left, "_ka"), b, right, "_kb")
+    return out.withColumn(out_col, cosine("_va", "_vb")).drop("_ka", "_va", "_kb", "_vb")
 
 
 # ---------------------------------------------------------------- V2 top-k

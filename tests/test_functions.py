@@ -91,3 +91,10 @@ def test_label_index_alphabetical(spark):
 def test_imagenet_preprocess_chw(spark):
     df = spark.createDataFrame([([123.68, 123.68, 116.779, 116.779, 103.939, 103.939],)], "a array<double>")
     assert df.select(A.imagenet_preprocess("a", plane_size=2)).first()[0] == [0.0] * 6
+
+
+def test_large_dictionary_path_keeps_null_rows(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "lab string")
+    out = L.index_labels(df, "lab", broadcast_limit=1).collect()  # force the shuffle-join path
+    got = sorted(((r["lab"] or ""), r["lab_index"] if r["lab_index"] is not None else -1) for r in out)
+    assert got == [("", -1), ("a", 0), ("a", 0), ("b", 1)]
