@@ -197,3 +197,36 @@ def png_features(content: Column, height: int | None = None, width: int | None =
         return pd.Series(out)
 
     return dec(content)
+
+
+def image_batches(spark: SparkSession, folder: str, batch_size: int, height: int, width: int, channels: int,
+                  n_classes: int, seed: int = 123, scale: bool = True) -> DataFrame:
+    """Images under ``folder`` (class = parent directory, numeric) as
+    batches: one row per batch with the tensor ``[rows, channels, height,
+    width]`` (row-major ``values``), the one-hot label matrix (row-major),
+    the label names, and the paths in row order. Rows are ordered by a
+    seeded hash of the path (T2) and batched by the scalable global index
+    (T3); undecodable images and labels outside the class range are left
+    out of the tensors and kept in the ``error`` column of
+    ``labelled_images``."""
+    from tessera.functions.arrays import scale_pixels
+    from tessera.functions.labels import one_hot
+    from tessera.operators.sampling import assemble_batches, minibatches
+
+    imgs = labelled_images(spark, folder, height, width, channels)
+    imgs = imgs.withColumn("label", F.col("label_name").try_cast("int"))
+    ok = imgs.where(F.col("error").isNull() & (F.col("label") >= 0) & (F.col("label") < n_classes))
+    if scale:
+        ok = ok.withColumn("features", scale_pixels("features"))
+    ok = ok.withColumn("onehot", one_hot("label", n_classes))
+    b = minibatches(ok, "path", batch_size, seed=seed)
+    items = F.struct("row_in_batch", "features", "onehot", "label_name", "path")
+    g = b.groupBy("batch_id").agg(F.array_sort(F.collect_list(items)).alias("_it"))  # <= batch_size rows
+    return g.select(
+        "batch_id",
+        F.array(F.size("_it"), F.lit(channels), F.lit(height), F.lit(width)).alias("shape"),
+        F.flatten(F.transform("_it", lambda s: s["features"])).alias("values"),
+        F.array(F.size("_it"), F.lit(n_classes)).alias("label_shape"),
+        F.flatten(F.transform("_it", lambda s: s["onehot"])).alias("labels"),
+        F.transform("_it", lambda s: s["label_name"]).alias("label_names"),
+        F.transform("_it", lambda s: s["path"]).alias("paths"))

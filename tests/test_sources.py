@@ -162,3 +162,23 @@ def test_labelled_files_seeded_order(spark, tmpdir_fresh):
     from tessera.operators.sampling import first_n
     top = [r["path"] for r in first_n(df, 3, ["order_key", "path"]).collect()]
     assert top == [r["path"] for r in sorted(rows, key=lambda r: (r["order_key"], r["path"]))[:3]]
+
+
+def test_image_batches_tensor_layout(spark, tmpdir_fresh):
+    rng = np.random.default_rng(5)
+    imgs = {}
+    for cls in ("0", "1", "2"):
+        for i in range(3):
+            px = rng.integers(0, 256, size=(6, 4, 3), dtype=np.uint8)
+            imgs[f"{cls}/{i}.png"] = px
+            _write(f"{tmpdir_fresh}/{cls}/{i}.png", IM.encode_png(px))
+    batches = IM.image_batches(spark, tmpdir_fresh, batch_size=4, height=6, width=4, channels=3,
+                               n_classes=3).orderBy("batch_id").collect()
+    assert [b["shape"] for b in batches] == [[4, 3, 6, 4], [4, 3, 6, 4], [1, 3, 6, 4]]
+    b0 = batches[0]
+    t = np.asarray(b0["values"]).reshape(b0["shape"])
+    first = b0["paths"][0].split("/")
+    px = imgs[f"{first[-2]}/{first[-1]}"]
+    assert np.allclose(t[0], np.transpose(px, (2, 0, 1)) / 255.0)
+    onehot = np.asarray(b0["labels"]).reshape(b0["label_shape"])
+    assert [int(np.argmax(r)) for r in onehot] == [int(n) for n in b0["label_names"]]
