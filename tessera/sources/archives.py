@@ -221,3 +221,16 @@ def extraction_targets(entries: DataFrame, out_dir: str | None = None) -> DataFr
     the archive's parent folder; unsafe names get no target."""
     base = (F.lit(out_dir.rstrip("/")) if out_dir else F.regexp_replace(F.col("archive"), r"/[^/]*$", ""))
     return entries.withColumn("target", F.when(~F.col("unsafe"), F.concat(base, F.lit("/"), F.col("entry"))))
+
+
+def extract_entries(entries: DataFrame, out_dir: str) -> DataFrame:
+    """Write the file entries (with content, safe names only) under
+    ``out_dir`` with the distributed file writer; returns ``(path, bytes)``
+    after the writes ran. The folder can then be read by any file source,
+    e.g. the image source for formats only the JVM decoders handle."""
+    from tessera.sources.sinks import write_files
+    files = entries.where(~F.col("is_dir") & ~F.col("unsafe") & F.col("content").isNotNull()).select(
+        F.col("entry").alias("rel_path"), "content")
+    written = write_files(files, out_dir)
+    written = cut_lineage(written)  # runs the writes once; the result lists what was written
+    return written

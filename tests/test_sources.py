@@ -182,3 +182,20 @@ def test_image_batches_tensor_layout(spark, tmpdir_fresh):
     assert np.allclose(t[0], np.transpose(px, (2, 0, 1)) / 255.0)
     onehot = np.asarray(b0["labels"]).reshape(b0["label_shape"])
     assert [int(np.argmax(r)) for r in onehot] == [int(n) for n in b0["label_names"]]
+
+
+def test_extract_then_read_images(spark, tmpdir_fresh):
+    buf = io.BytesIO()
+    rng = np.random.default_rng(9)
+    with zipfile.ZipFile(buf, "w") as zf:
+        for cls in ("3", "5"):
+            for i in range(2):
+                zf.writestr(f"digits/{cls}/{i}.png", IM.encode_png(rng.integers(0, 256, (5, 5), dtype=np.uint8)))
+        zf.writestr("../escape.png", b"x")
+    _write(f"{tmpdir_fresh}/arch/a.zip", buf.getvalue())
+    ent = AR.archive_entries(spark, f"{tmpdir_fresh}/arch")
+    written = AR.extract_entries(ent, f"{tmpdir_fresh}/out")
+    assert written.count() == 4  # the unsafe name is not written
+    imgs = IM.labelled_images(spark, f"{tmpdir_fresh}/out").collect()
+    assert sorted(r["label_name"] for r in imgs) == ["3", "3", "5", "5"]
+    assert not os.path.exists(f"{tmpdir_fresh}/escape.png")
