@@ -236,8 +236,6 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     sum inside each partition (Arrow batches, state carried across batches).
     ``order_col`` must be unique.
     """
-    import pandas as pd  # executor-side helper below
-
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     value_cols = list(value_cols)

@@ -13,7 +13,6 @@ flagged ``unsafe``.
 
 from __future__ import annotations
 
-import io
 import tarfile
 import zipfile
 from collections.abc import Iterator

@@ -211,7 +211,7 @@ def image_batches(spark: SparkSession, folder: str, batch_size: int, height: int
     ``labelled_images``."""
     from tessera.functions.arrays import scale_pixels
     from tessera.functions.labels import one_hot
-    from tessera.operators.sampling import assemble_batches, minibatches
+    from tessera.operators.sampling import minibatches
 
     imgs = labelled_images(spark, folder, height, width, channels)
     imgs = imgs.withColumn("label", F.col("label_name").try_cast("int"))
