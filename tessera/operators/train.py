@@ -114,7 +114,9 @@ def prepare(df: DataFrame, key_col: str, features_col: str, label_col: str, cfg:
           .withColumn("batch_in_round", (((F.col("_r") - 1) % per_round) / cfg.batch_size).cast("int"))
           .withColumn("row_order", F.col("_r"))
           .drop("_u", "_r"))
-    x.write.mode("errorifexists").partitionBy("round_id").parquet(path)
+    # one shuffle by round: each round's rows land in one task, so the table has
+    # about one file per round instead of (writer tasks x rounds) small files
+    x.repartition(F.col("round_id")).write.mode("errorifexists").partitionBy("round_id").parquet(path)
     n_rounds = spark.read.parquet(path).agg(F.max("round_id")).first()[0]
     return path, (0 if n_rounds is None else int(n_rounds) + 1)
 
