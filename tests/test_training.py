@@ -120,3 +120,11 @@ def test_evaluate_every_n_epochs(spark, data):
     empty = TR.fit(train, _model(), TR.TrainConfig(n_workers=1, batch_size=64, max_epochs=1, patience=None),
                    key_col="key", test=test.where("key < 0"))
     assert np.isnan(empty.scores[0]) and empty.best_epoch == 0
+
+
+def test_target_accuracy_and_cache(spark, data):
+    train, test = data.where(F.col("key") % 5 != 0), data.where(F.col("key") % 5 == 0)
+    cfg = TR.TrainConfig(n_workers=2, batch_size=16, averaging_frequency=3, max_epochs=20, learning_rate=0.1,
+                         patience=None, target_accuracy=0.9, cache=True)
+    res = TR.fit(train, _model(), cfg, key_col="key", test=test)
+    assert res.termination_detail == "TargetAccuracy(0.9)" and res.total_epochs < 20
