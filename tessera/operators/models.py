@@ -80,9 +80,13 @@ class Model:
     def flat(self) -> np.ndarray:
         return nets.flatten_params(self.params)
 
-    def with_flat(self, vec: np.ndarray) -> "Model":
+    def with_flat(self, vec: np.ndarray, updater: np.ndarray | None = None) -> "Model":
+        """A copy with new parameters (and, when given, new updater state)."""
         m = copy.copy(self)
         m.params = nets.unflatten_params(np.asarray(vec, dtype=np.float64), self.shapes())
+        m.meta = dict(self.meta)
+        if updater is not None:
+            m.meta["updater"] = np.asarray(updater, dtype=np.float64)
         return m
 
     def shapes(self) -> list[dict]:
@@ -102,12 +106,19 @@ class Model:
                 for i, ly in enumerate(self.layers)]
 
     def param_rows(self) -> list[tuple]:
+        """Weights per layer, plus model-level rows (layer_pos -1): the input
+        shape and, when present, the updater state (momentum buffers) so a
+        saved model can resume training."""
         rows = []
         for i, p in enumerate(self.params):
             for k in ("W", "b"):
                 if k in p:
                     rows.append((self.name, i, k, [int(s) for s in p[k].shape],
                                  [float(v) for v in p[k].ravel()]))
+        rows.append((self.name, -1, "input_shape", [len(self.input_dims)], [float(d) for d in self.input_dims]))
+        upd = self.meta.get("updater")
+        if upd is not None:
+            rows.append((self.name, -1, "updater", [int(np.size(upd))], [float(v) for v in np.ravel(upd)]))
         return rows
 
     def to_tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -118,9 +129,9 @@ class Model:
         """K4: write the model as two tables; one ``model=`` partition per model
         (dynamic partition overwrite replaces only this model)."""
         layers, params = self.to_tables(spark)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        layers.write.mode("overwrite").partitionBy("model").parquet(f"{path}/model_layers")
-        params.write.mode("overwrite").partitionBy("model").parquet(f"{path}/model_params")
+        for df, sub in ((layers, "model_layers"), (params, "model_params")):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("model").parquet(f"{path}/{sub}"))
 
     @staticmethod
     def load(spark: SparkSession, path: str, name: str) -> "Model":
@@ -135,16 +146,26 @@ class Model:
         prows = params_df.where(F.col("model") == name).collect()  # bounded by the parameter count
         layers = [{k: r[k] for k in _LAYER_KEYS if r[k] is not None} for r in lrows]
         params = [dict() for _ in layers]
+        meta: dict = {}
+        dims = None
         for r in prows:
-            params[r["layer_pos"]][r["param"]] = np.asarray(r["values"], dtype=np.float64).reshape(r["shape"])
-        first = layers[0]
-        if first["kind"] in ("conv", "pool"):
-            c = int(first.get("channels_in") or 1)
-            side = int(round((int(first["n_in"]) / c) ** 0.5))
-            dims = (c, side, int(first["n_in"]) // (c * side))
-        else:
-            dims = (int(first["n_in"]),)
-        return Model(layers, params, dims, name)
+            values = np.asarray(r["values"], dtype=np.float64)
+            if r["layer_pos"] < 0:
+                if r["param"] == "input_shape":
+                    dims = tuple(int(v) for v in values)
+                else:
+                    meta[r["param"]] = values
+                continue
+            params[r["layer_pos"]][r["param"]] = values.reshape(r["shape"])
+        if dims is None:  # tables written without the input shape
+            first = layers[0]
+            if first["kind"] in ("conv", "pool"):
+                c = int(first.get("channels_in") or 1)
+                side = int(round((int(first["n_in"]) / c) ** 0.5))
+                dims = (c, side, int(first["n_in"]) // (c * side))
+            else:
+                dims = (int(first["n_in"]),)
+        return Model(layers, params, dims, name, meta)
 
 
 def _int(v):
@@ -167,7 +188,7 @@ def _next_shape(ly, shape):
 
 def summary(layers: DataFrame, params: DataFrame) -> DataFrame:
     """One row per layer with its parameter count (a join of two small tables)."""
-    counts = params.groupBy("model", F.col("layer_pos").alias("pos")).agg(
+    counts = params.where(F.col("layer_pos") >= 0).groupBy("model", F.col("layer_pos").alias("pos")).agg(
         F.sum(F.size("values")).cast("bigint").alias("n_params"))
     return (layers.join(counts, ["model", "pos"], "left")
                   .select("model", "pos", "name", "kind", "activation", "n_in", "n_out", "frozen",

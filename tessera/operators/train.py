@@ -209,7 +209,9 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
     if cfg.cache:
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
     flat = model.flat()
-    mom = np.zeros_like(flat)
+    upd = model.meta.get("updater")
+    mom = np.array(upd, dtype=np.float64) if upd is not None and np.size(upd) == flat.size else np.zeros_like(flat)
+    best_mom = mom.copy()
     best, best_score, best_epoch = flat.copy(), float("inf"), -1
     scores: dict[int, float] = {}
     stats: list[tuple] = []
@@ -244,6 +246,7 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
         stats.append((run, epoch, -1, 0, None, float(score), int((time.time() - t0) * 1000)))
         if score < best_score - cfg.min_improvement or best_epoch < 0 or np.isnan(best_score):
             best, best_score, best_epoch, since_best = flat.copy(), score, epoch, 0
+            best_mom = mom.copy()
         else:
             since_best += 1
         if stop:
@@ -261,7 +264,8 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
         for p in (path, test_path):
             if p:
                 delete_path(spark, p)
-    result = TrainResult(model.with_flat(best), best_epoch, best_score, scores, reason, detail, epoch + 1, stats)
+    result = TrainResult(model.with_flat(best, updater=best_mom), best_epoch, best_score, scores, reason, detail,
+                         epoch + 1, stats)
     if stats_path:
         from tessera.operators.stats import append_stats
         append_stats(result.stats_frame(spark), stats_path)

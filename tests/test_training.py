@@ -128,3 +128,28 @@ def test_target_accuracy_and_cache(spark, data):
                          patience=None, target_accuracy=0.9, cache=True)
     res = TR.fit(train, _model(), cfg, key_col="key", test=test)
     assert res.termination_detail == "TargetAccuracy(0.9)" and res.total_epochs < 20
+
+
+def test_saved_model_keeps_updater_and_input_shape(spark, data, tmpdir_fresh):
+    cfg = TR.TrainConfig(n_workers=1, batch_size=32, max_epochs=1, learning_rate=0.05, patience=None)
+    res = TR.fit(data, _model(), cfg, key_col="key")
+    assert np.any(res.model.meta["updater"] != 0)
+    res.model.name = "with_state"
+    res.model.save(spark, tmpdir_fresh)
+    back = Model.load(spark, tmpdir_fresh, "with_state")
+    assert np.allclose(back.meta["updater"], res.model.meta["updater"]) and back.input_dims == (4,)
+    conv = Model.build([{"kind": "conv", "activation": "relu", "n_out": 2, "kernel": 3, "channels_in": 3},
+                        {"kind": "output", "activation": "softmax", "n_out": 2}], (3, 6, 10), seed=1)
+    conv.name = "wide"
+    conv.save(spark, tmpdir_fresh)
+    assert Model.load(spark, tmpdir_fresh, "wide").input_dims == (3, 6, 10)
+
+
+def test_saving_one_model_keeps_the_others(spark, tmpdir_fresh):
+    a, b = _model(), _model()
+    a.name, b.name = "a", "b"
+    a.save(spark, tmpdir_fresh)
+    b.save(spark, tmpdir_fresh)
+    a.save(spark, tmpdir_fresh)  # overwrite only partition model=a
+    names = {r["model"] for r in spark.read.parquet(f"{tmpdir_fresh}/model_layers").select("model").collect()}
+    assert names == {"a", "b"}
