@@ -199,3 +199,13 @@ def test_extract_then_read_images(spark, tmpdir_fresh):
     imgs = IM.labelled_images(spark, f"{tmpdir_fresh}/out").collect()
     assert sorted(r["label_name"] for r in imgs) == ["3", "3", "5", "5"]
     assert not os.path.exists(f"{tmpdir_fresh}/escape.png")
+
+
+def test_non_recursive_listing_is_top_level_files(spark, tmpdir_fresh):
+    for p in ("a.png", "b.txt", "sub/c.png", "x.png/inner.png"):
+        _write(f"{tmpdir_fresh}/f/{p}", b"1")
+    top = sorted(os.path.basename(r["path"]) for r in FL.list_files(spark, f"{tmpdir_fresh}/f", ["png"],
+                                                                     recursive=False).collect())
+    assert top == ["a.png"]
+    deep = sorted(os.path.basename(r["path"]) for r in FL.list_files(spark, f"{tmpdir_fresh}/f", ["png"]).collect())
+    assert deep == ["a.png", "c.png", "inner.png"]
