@@ -46,3 +46,10 @@ def test_running_eval(spark):
     out = {r["batch_id"]: r for r in E.running_eval(df).collect()}
     assert out[9]["cum_n"] == 30 and out[9]["cum_correct"] == 15 and out[0]["cum_accuracy"] == 1.0
     assert out[1]["cum_accuracy"] == 0.5
+
+
+def test_counters(spark):
+    from tessera.operators.stats import counters
+    df = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "g string, small boolean")
+    got = {r["g"]: (r["n"], r["n_small"]) for r in counters(df, "g", ["small"]).collect()}
+    assert got == {"a": (2, 1), "b": (1, 1)}

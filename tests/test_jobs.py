@@ -77,3 +77,11 @@ def test_predict_images_first_n(spark, tmpdir_fresh):
     out = jobs.predict_images(spark, f"{tmpdir_fresh}/im", base, "fc2", head, 2, height=4, width=4,
                               means=[1.0, 2.0, 3.0], first=3).collect()
     assert len(out) == 3 and all(r["predicted_name"] in ("0", "1") for r in out)
+
+
+def test_named_class_folders_get_alphabetical_index(spark, tmpdir_fresh):
+    for cls in ("dog", "cat", "010.beer-mug"):
+        _write(f"{tmpdir_fresh}/n/{cls}/1.png", IM.encode_png(np.zeros((3, 3), dtype=np.uint8)))
+    rec = jobs.images_to_records(spark, f"{tmpdir_fresh}/n", n_classes=3, channels=1, label="index").collect()
+    got = {r["label_name"]: (r["label"], r["error"]) for r in rec}
+    assert got == {"010.beer-mug": (0, None), "cat": (1, None), "dog": (2, None)}
