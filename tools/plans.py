@@ -11,8 +11,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SHOW = ["nearest_topk", "split_train_test", "seeded_order", "confusion_matrix", "text_to_features",
-        "manifest_skip_existing", "vector_lookup", "running_eval"]
+SHOW = ["nearest_topk", "split_train_test", "balanced_sample", "seeded_order", "confusion_matrix",
+        "text_to_features", "manifest_skip_existing", "vector_lookup", "vector_similarity", "running_eval",
+        "archive_entries", "delimited_records"]
 
 
 def tree(df) -> str:
