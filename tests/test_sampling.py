@@ -96,3 +96,9 @@ def test_running_totals(spark):
     df = spark.createDataFrame([(i, i % 4) for i in range(200)], "b long, v long")
     got = {r["b"]: r["cum_v"] for r in SM.running_totals(df, "b", ["v"], num_partitions=5).collect()}
     assert [got[i] for i in range(200)] == list(np.cumsum([i % 4 for i in range(200)]))
+
+
+def test_split_without_classes(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    out = dict(SM.split_train_test(df, None, "k", 70, seed=3).groupBy("split").count().collect())
+    assert out == {"train": 700, "test": 300}

@@ -209,3 +209,12 @@ def test_non_recursive_listing_is_top_level_files(spark, tmpdir_fresh):
     assert top == ["a.png"]
     deep = sorted(os.path.basename(r["path"]) for r in FL.list_files(spark, f"{tmpdir_fresh}/f", ["png"]).collect())
     assert deep == ["a.png", "c.png", "inner.png"]
+
+
+def test_variable_width_lines(spark):
+    lines = spark.createDataFrame([("1,2,3,0",), ("4;5,1",), ("7,,8,1",), ("9",)], "value string")
+    out = {r["value"]: r for r in TX.parse_lines(lines, ",", keep=("value",)).collect()}
+    assert out["1,2,3,0"]["features"] == [1.0, 2.0, 3.0] and out["1,2,3,0"]["label"] == 0
+    assert out["7,,8,1"]["features"] == [7.0, 8.0]  # empty cell omitted
+    assert out["4;5,1"]["error"] == "non-numeric cell"
+    assert out["9"]["error"] == "too few cells"
