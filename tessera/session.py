@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Return the active session, or build a local one for tests / bench."""
     active = SparkSession.getActiveSession()
     if active is not None:
+        ship_package(active)
         return active
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -44,9 +46,40 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: dict[str, str] = {}  # application id -> zip shipped to its executors
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Make ``tessera`` importable in the executors' Python workers.
+
+    Arrow UDFs defined in this package are pickled by module reference, so
+    the workers must import it. The package is zipped once per process and
+    added with ``SparkContext.addPyFile`` once per application: Spark serves
+    it to every executor (local mode or cluster); tasks put it on their path.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return _SHIPPED[app]
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            if "__pycache__" in root:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zip_path)
+    _SHIPPED[app] = zip_path
+    return zip_path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared scratch folder: ``spark.checkpoint.dir`` when the cluster
     names one; otherwise (tests, local bench) a fresh local temp folder."""

@@ -14,7 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from tessera.session import ensure_checkpoint_dir
+    from tessera.session import ensure_checkpoint_dir, ship_package
     s = (SparkSession.builder.master("local[4]").appName("tessera-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
@@ -24,6 +24,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
+    ship_package(s)
     yield s
     s.stop()
 

@@ -15,3 +15,12 @@ def test_cut_lineage_is_reliable_checkpoint(spark):
     assert df.count() == 10
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" in plan  # reads the checkpointed data, not the original plan
+
+
+def test_package_shipped_once_per_application(spark):
+    from tessera.session import ship_package
+    a = ship_package(spark)
+    assert ship_package(spark) == a and a.endswith("tessera.zip")
+    import zipfile
+    names = zipfile.ZipFile(a).namelist()
+    assert "tessera/operators/vectors.py" in names and not any("__pycache__" in n for n in names)
