@@ -58,11 +58,11 @@ def global_index(df: DataFrame, order_cols: Sequence, index_col: str = "idx",
     into offsets, and add offset + local position. One range shuffle; the
     offset table is bounded by the partition count, not by the data.
     """
-    spark = df.sparkSession
     order = [_col(c) for c in order_cols]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+    # no explicit count: the shuffle-partition setting applies and AQE may
+    # coalesce small ranges, so tiny inputs do not become hundreds of tasks
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged.sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = cut_lineage(tagged)
@@ -236,10 +236,10 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     sum inside each partition (Arrow batches, state carried across batches).
     ``order_col`` must be unique.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     value_cols = list(value_cols)
-    tagged = (df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
+    ranged = (df.repartitionByRange(num_partitions, F.col(order_col)) if num_partitions
+              else df.repartitionByRange(F.col(order_col)))
+    tagged = (ranged.sortWithinPartitions(order_col)
                 .withColumn("_pid", F.spark_partition_id()))
     tagged = cut_lineage(tagged)
     totals = tagged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])

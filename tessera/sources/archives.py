@@ -147,8 +147,11 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
     cond = F.lit(False)
     for suffix in ARCHIVE_SUFFIXES:
         cond = cond | F.lower(F.col("path")).endswith(suffix)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listing = listing.where(cond).repartition(n, F.xxhash64("path"))
+    listing = listing.where(cond)
+    # archives are few rows but heavy work: one task each, up to the shuffle width
+    n_archives = listing.count()
+    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_archives))
+    listing = listing.repartition(n, F.xxhash64("path"))
     cols_index = _INDEX_SCHEMA.names
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,7 +195,10 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
                         fh.close()
                 yield from _batches(rows(), rows_per_batch, bytes_per_batch, ENTRY_SCHEMA.names, 5)
 
-    spread = seekable.repartition(n, F.xxhash64("archive", "entry"))
+    # entry reads spread by bytes: about 128 MiB of entries per task
+    total = seekable.agg(F.sum("size")).first()[0] or 0
+    n_fetch = max(1, int(-(-total // (128 << 20))))
+    spread = seekable.repartition(n_fetch, F.xxhash64("archive", "entry"))
     seek_rows = spread.mapInPandas(fetch, ENTRY_SCHEMA)
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,6 +212,7 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
                 yield from _batches(rows(), rows_per_batch, bytes_per_batch, ENTRY_SCHEMA.names, 5)
 
     stream_rows = streamed.repartition(n, F.xxhash64("archive")).mapInPandas(stream, ENTRY_SCHEMA)
+    # (gzip tars: one streaming task per archive, spread like the listing)
     return seek_rows.unionByName(stream_rows).unionByName(broken)
 
 
