@@ -6,8 +6,9 @@ Design rules (all hold at any table size):
   32-bit hash of the key (``hash_uniform``), with the key itself as
   tie-break, so results are the same for any partition count or rerun.
 * No window without ``partitionBy`` over the whole table (that is a single
-  task). The global position (T2/T3) uses range partitioning + per-partition
-  counts + offsets of a table with one row per partition.
+  task). The seeded position (T2/T3) is a bucketed rank over 2^20 hash
+  buckets; a general total order (``global_index``) uses range partitioning
+  + per-partition counts + offsets of a table with one row per partition.
 * Ranking inside a class (F4/T1) splits every class into 2^bits hash
   buckets first, so a class holding a third of all rows is spread over many
   tasks; the per-bucket counts are a partial aggregate.
@@ -170,21 +171,26 @@ def split_train_test(df: DataFrame, label_col: str | None, key_col: str, train_p
 
 
 def seeded_order(df: DataFrame, key_col: str, seed: int = 123, pos_col: str = "pos",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Seeded shuffle — each row's 0-based position in md5(seed:key) order."""
-    u = df.withColumn("_u", hash_uniform(seed, F.col(key_col)))
-    return global_index(u, ["_u", key_col], index_col=pos_col,
-                        num_partitions=num_partitions).drop("_u")
+                 bucket_bits: int = 20) -> DataFrame:
+    """Seeded shuffle — each row's 0-based position in md5(seed:key) order.
+
+    The order key is a uniform 32-bit hash, so the position is the bucketed
+    rank of one global group: per-bucket counts (a partial aggregate over at
+    most 2^bucket_bits buckets) give offsets, and a window per bucket numbers
+    the rows. No range sampling pass and no full-data checkpoint; a window
+    task holds about rows / 2^bucket_bits rows."""
+    u = df.withColumn("_u", hash_uniform(seed, F.col(key_col))).withColumn("_g", F.lit(0))
+    ranked = rank_within_groups(u, ["_g"], "_u", key_col, rank_col="_r", bucket_bits=bucket_bits)
+    return ranked.withColumn(pos_col, F.col("_r") - 1).drop("_u", "_g", "_r")
 
 
 def minibatches(df: DataFrame, key_col: str, batch_size: int, seed: int = 123,
-                batch_col: str = "batch_id", row_col: str = "row_in_batch",
-                num_partitions: int | None = None) -> DataFrame:
+                batch_col: str = "batch_id", row_col: str = "row_in_batch") -> DataFrame:
     """Consecutive batches of ``batch_size`` rows in seeded order; the
     last batch may be short."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    ordered = seeded_order(df, key_col, seed=seed, pos_col="_pos", num_partitions=num_partitions)
+    ordered = seeded_order(df, key_col, seed=seed, pos_col="_pos")
     return (ordered.withColumn(batch_col, F.floor(F.col("_pos") / batch_size).cast("bigint"))
                    .withColumn(row_col, (F.col("_pos") % batch_size).cast("int"))
                    .drop("_pos"))
