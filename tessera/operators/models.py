@@ -224,15 +224,22 @@ def class_mean_head(df: DataFrame, features_col: str, label_col: str, n_classes:
                     name: str = "class_mean_head") -> Model:
     """A fixed linear softmax head from the data: W[c] = mean feature vector of
     class c, b[c] = -0.5 * |W[c]|^2 (so the arg-max is the nearest class
-    mean). The means are one partial aggregate per (class, position); the
-    collected table is classes x dims, i.e. the model size."""
-    ex = df.select(F.col(label_col).alias("c"), F.posexplode(features_col).alias("pos", "v"))
-    means = ex.groupBy("c", "pos").agg(F.avg(F.col("v").cast("double")).alias("m")).collect()
-    dim = max(r["pos"] for r in means) + 1
+    mean). The means are one partial aggregate per class (``Summarizer``);
+    the collected table is classes x dims, i.e. the model size."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    vec = array_to_vector(F.col(features_col).cast("array<double>"))
+    means = (df.where(F.col(label_col).isNotNull() & F.col(features_col).isNotNull())
+               .groupBy(F.col(label_col).alias("c"))
+               .agg(Summarizer.mean(vec).alias("m"))  # partial aggregate, no row explosion
+               .select("c", vector_to_array("m").alias("m"))
+               .collect())  # one row per class: the model size
+    dim = max(len(r["m"]) for r in means)
     W = np.zeros((n_classes, dim))
     for r in means:
         if 0 <= r["c"] < n_classes:
-            W[r["c"], r["pos"]] = r["m"]
+            W[r["c"]] = np.asarray(r["m"], dtype=np.float64)
     b = -0.5 * (W * W).sum(axis=1)
     layers = [{"name": "head", "kind": "output", "activation": "softmax", "n_in": dim, "n_out": n_classes,
                "frozen": False}]
