@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
@@ -64,11 +64,15 @@ SELECT vec_id, CAST(pos AS BIGINT) AS pos, round(v - mean, 6) AS value FROM x JO
 def q_mean_subtract(spark, sf):
     """Subtract per-channel means (4 channels x 16, channel-first) taken
     from the table itself."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     e = _emb(spark, sf)
-    ex = e.select(F.posexplode("embedding").alias("pos", "v"))
-    means = ex.groupBy(F.floor(F.col("pos") / 16).alias("ch")).agg(F.avg(F.col("v").cast("double")).alias("m"))
-    m = dict(means.collect())  # one row per channel
-    vals = [m[i] for i in sorted(m)]
+    # per-position means in one partial aggregate (no row explosion); every row
+    # has all positions, so a channel's mean is the mean of its positions' means
+    pos_means = e.agg(vector_to_array(Summarizer.mean(array_to_vector(
+        F.col("embedding").cast("array<double>")))).alias("m")).first()["m"]
+    vals = [float(np.mean(pos_means[c * 16:(c + 1) * 16])) for c in range(len(pos_means) // 16)]
     sub = e.select("vec_id", A.subtract_channel_means("embedding", vals, channel_last=False,
                                                       plane_size=16).alias("v"))
     return _long_form(sub, "vec_id", "v")
