@@ -40,7 +40,7 @@ from tessera.constants import (AVERAGING_FREQUENCY_DEFAULT, BATCH_SIZE_DEFAULT,
                                LEARNING_RATE_SCHEDULE, MAX_EPOCHS_DEFAULT, MAX_MINUTES_DEFAULT, PATIENCE_DEFAULT)
 from tessera.operators import nets
 from tessera.operators.models import Model
-from tessera.operators.sampling import hash_uniform, rank_within_groups
+from tessera.operators.sampling import group_offsets, hash_uniform, rank_within_groups
 from tessera.session import scratch_path
 
 CHUNK = 4096
@@ -109,7 +109,9 @@ def prepare(df: DataFrame, key_col: str, features_col: str, label_col: str, cfg:
     x = x.withColumn("worker_id", F.pmod(hash_uniform(f"w{cfg.seed}", F.col("key")), F.lit(cfg.n_workers))
                      .cast("int"))
     x = x.withColumn("_u", hash_uniform(cfg.seed, F.col("key")))
-    x = rank_within_groups(x, ["worker_id"], "_u", "key", rank_col="_r")
+    offsets = group_offsets(x, ["worker_id"], "_u")  # small, cut to the checkpoint folder
+    largest = offsets.agg(F.max("_gsize")).first()[0] or 0
+    x = rank_within_groups(x, ["worker_id"], "_u", "key", rank_col="_r", offsets=offsets)
     x = (x.withColumn("round_id", ((F.col("_r") - 1) / per_round).cast("int"))
           .withColumn("batch_in_round", (((F.col("_r") - 1) % per_round) / cfg.batch_size).cast("int"))
           .withColumn("row_order", F.col("_r"))
@@ -117,8 +119,7 @@ def prepare(df: DataFrame, key_col: str, features_col: str, label_col: str, cfg:
     # one shuffle by round: each round's rows land in one task, so the table has
     # about one file per round instead of (writer tasks x rounds) small files
     x.repartition(F.col("round_id")).write.mode("errorifexists").partitionBy("round_id").parquet(path)
-    n_rounds = spark.read.parquet(path).agg(F.max("round_id")).first()[0]
-    return path, (0 if n_rounds is None else int(n_rounds) + 1)
+    return path, int(-(-int(largest) // per_round))  # rounds = ceil(largest worker / rows per round)
 
 
 # ---------------------------------------------------------------- one round
