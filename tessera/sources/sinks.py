@@ -100,19 +100,27 @@ def write_files(df: DataFrame, root: str, rel_path_col: str = "rel_path", conten
 
         import pyarrow.fs as pafs
         local = root.startswith("/") or root.startswith("file:")
-        fs = None if local else pafs.FileSystem.from_uri(root)[0]
+        # one filesystem handle per task; paths below the root are joined to its base
+        fs, base = (None, None) if local else pafs.FileSystem.from_uri(root)
+        made: set[str] = set()
         for pdf in batches:
             out = []
             for rel, data in zip(pdf[rel_path_col], pdf[content_col]):
                 full = f"{root}/{rel}"
                 if local:
                     p = urlparse(full).path if full.startswith("file:") else full
-                    os.makedirs(os.path.dirname(p), exist_ok=True)
+                    folder = os.path.dirname(p)
+                    if folder not in made:
+                        os.makedirs(folder, exist_ok=True)
+                        made.add(folder)
                     with open(p, "wb") as fh:
                         fh.write(bytes(data))
                 else:
-                    inner = pafs.FileSystem.from_uri(full)[1]
-                    fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                    inner = f"{base.rstrip('/')}/{rel}"
+                    folder = inner.rsplit("/", 1)[0]
+                    if folder not in made:
+                        fs.create_dir(folder, recursive=True)
+                        made.add(folder)
                     with fs.open_output_stream(inner) as fh:
                         fh.write(bytes(data))
                 out.append((full, len(data)))
