@@ -264,3 +264,21 @@ def q_eval_binary(spark, sf):
     st = class_stats(spark, confusion(j), 2)
     return st.select("class_id", "tp", "n_label", "n_pred",
                      *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("saved_model_predict", _SQL_HEAD + """
+SELECT vec_id, label, CAST(prediction AS INTEGER) AS prediction, round(max_prob, 6) AS max_prob FROM test
+""")
+def q_saved_model_predict(spark, sf):
+    """K4 + S15 + I1: the fitted head is written as model tables (one
+    ``model=`` partition), read back, and the reloaded model scores the test rows."""
+    from tessera.operators.infer import predict
+    from tessera.operators.models import Model
+    from tessera.session import scratch_path
+    sp, head = _head_pipeline(spark, sf)
+    path = scratch_path(spark, "models")
+    head.name = "class_mean_head"
+    head.save(spark, path)
+    loaded = Model.load(spark, path, "class_mean_head")
+    pred = predict(sp.where(F.col("split") == "test"), loaded, "features", keep=("vec_id", "label"))
+    return pred.select("vec_id", "label", "prediction", F.round(F.array_max("scores"), 6).alias("max_prob"))

@@ -147,3 +147,32 @@ def q_batch_assemble(spark, sf):
         F.round(F.aggregate(F.transform("values", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x),
                 4).alias("checksum"),
         F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("labels"))
+
+
+@register("saved_batches", f"""
+WITH u AS (SELECT vec_id, label, {_SQL_UE.format(seed=13)} AS u FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, vec_id) AS rn,
+             count(*) OVER (PARTITION BY label) AS n FROM u),
+sp AS (SELECT vec_id, label, CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split FROM r),
+b AS (SELECT vec_id, label, split,
+             (row_number() OVER (PARTITION BY split ORDER BY {_SQL_UE.format(seed=123)}, vec_id) - 1) // 20
+               AS batch_id FROM sp)
+SELECT vec_id, label, CAST(batch_id AS BIGINT) AS batch_id FROM b WHERE split = 'test'
+""")
+def q_saved_batches(spark, sf):
+    """T1 + T3 + K2 + K7 + S10/S11: each split cut into batches of 20 in seeded
+    order, saved once as a table partitioned by split (compute-if-absent),
+    then the test split read back in batch order."""
+    from tessera.session import scratch_path
+    from tessera.sources.sinks import materialize, read_batches_in_order
+
+    sp = SM.split_train_test(_emb(spark, sf).select("vec_id", "label"), "label", "vec_id", 80, seed=13)
+    path = scratch_path(spark, "batches")
+
+    def build():
+        parts = [SM.minibatches(sp.where(F.col("split") == s_), "vec_id", 20, seed=123)
+                 for s_ in ("train", "test")]
+        return parts[0].unionByName(parts[1])
+
+    materialize(spark, path, build, partition_by=["split"])
+    return read_batches_in_order(spark, path, "test").select("vec_id", "label", "batch_id")
