@@ -11,7 +11,7 @@ from tessera.functions import arrays as A
 from tessera.functions import labels as L
 from tessera.functions import strings as S
 from tessera.operators import sampling as SM
-from tessera.plans.queries._registry import _emb, register
+from tessera.plans.queries._registry import _SQL_U, _emb, register
 from tessera.session import table
 
 
@@ -147,3 +147,62 @@ def q_delimited_records(spark, sf):
     return rec.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.round(F.avg(F.col("features")[i]), 6).alias(f"avg_f{i}") for i in range(4)])
+
+
+@register("records_roundtrip", """
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_features,
+       round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS feature_sum,
+       array_to_string(list_transform(range(10), lambda i: CASE WHEN i = label THEN 1 ELSE 0 END), ',') AS one_hot
+FROM embeddings
+""")
+def q_records_roundtrip(spark, sf):
+    """K1 + S9: labelled records (features, label, one-hot) saved as parquet
+    and read back."""
+    from tessera.session import scratch_path
+    from tessera.sources.sinks import read_records, save_records
+    e = _emb(spark, sf)
+    rec = e.select("vec_id", A.as_double_array("embedding").alias("features"), "label",
+                   L.one_hot("label", 10).alias("label_onehot"))
+    path = scratch_path(spark, "records")
+    save_records(rec, path)
+    back = read_records(spark, path)
+    return back.select("vec_id", "label", F.size("features").alias("n_features"),
+                       F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"),
+                       F.array_join("label_onehot", ",").alias("one_hot"))
+
+
+@register("bundle_splits", f"""
+WITH u AS (SELECT page_id, url, {_SQL_U.format(seed=13, key="page_id")} AS u FROM pages),
+r AS (SELECT *, row_number() OVER (ORDER BY u, page_id) AS rn, count(*) OVER () AS n FROM u)
+SELECT CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n_items,
+       count(DISTINCT url) AS n_urls
+FROM r GROUP BY 1
+""")
+def q_bundle_splits(spark, sf):
+    """K3 + T1: the page listing split 80/20 in seeded order and shipped as
+    one table partitioned by split; counted back per split."""
+    from tessera.session import scratch_path
+    from tessera.sources.sinks import bundle
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    sp = SM.split_train_test(pages, None, "page_id", 80, seed=13)
+    path = scratch_path(spark, "bundle")
+    bundle({"train": sp.where(F.col("split") == "train").drop("split"),
+            "test": sp.where(F.col("split") == "test").drop("split")}, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_items"),
+                                     F.countDistinct("url").alias("n_urls"))
+
+
+@register("text_lines", r"""
+WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+SELECT count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM l WHERE line <> ''
+""")
+def q_text_lines(spark, sf):
+    """S5 + F6: every document's whole text written as text files, read back
+    as lines (newline-separated), empty lines dropped."""
+    from tessera.session import scratch_path
+    from tessera.sources.text import read_lines
+    path = scratch_path(spark, "text")
+    table(spark, sf, "documents").select("text").write.option("lineSep", "\n").text(path)
+    lines = read_lines(spark, path, line_sep="\n")
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).cast("bigint").alias("n_chars"))

@@ -14,13 +14,13 @@ from pyspark.sql import types as T
 from tessera.functions.labels import one_hot
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], keep_empty: bool = False) -> DataFrame:
-    """Text lines of a file or folder; empty lines dropped unless asked.
-
-    Adds the source file and the line's position inside its file (lines of
-    one file are in one or more splits; position is only used for header
-    skipping and is computed per file)."""
-    df = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file_path"))
+def read_lines(spark: SparkSession, path: str | Sequence[str], keep_empty: bool = False,
+               line_sep: str | None = None) -> DataFrame:
+    """Text lines of a file or folder with their source file; empty
+    lines dropped unless asked. ``line_sep`` fixes the separator (by default
+    \\n, \\r and \\r\\n all end a line)."""
+    reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+    df = reader.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file_path"))
     if not keep_empty:
         df = df.where(F.col("value") != "")
     return df
