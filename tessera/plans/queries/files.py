@@ -19,21 +19,12 @@ from tessera.session import table
 # The files are derived from the tables by Spark tasks and written to the
 # shared scratch folder, then read back through the file sources.
 
-@register("image_records", """
-WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
-           FROM embeddings),
-x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
-      FROM embeddings)
-SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS VARCHAR) AS label_name, CAST(pos AS BIGINT) AS pos,
-       round(floor((v - mn) / (mx - mn) * 255 + 0.5) / 255, 6) AS value
-FROM x, r
-""")
-def q_image_records(spark, sf):
-    """S1 + S6 + S8 + P1 + P2 + P6: every embedding row rendered as an 8x8
-    grey PNG under <label>/<vec_id>.png, then listed, decoded by the image
-    source, labelled by parent directory and scaled to [0, 1]."""
+def _embedding_pngs(spark, sf) -> str:
+    """Every embedding row rendered as an 8x8 grey PNG under
+    <label>/<vec_id>.png in a fresh scratch folder (pixel = the value scaled
+    to 0..255 over the table's range); returns the folder."""
     from tessera.session import scratch_path
-    from tessera.sources.images import encode_png, labelled_images
+    from tessera.sources.images import encode_png
     from tessera.sources.sinks import write_files
 
     e = _emb(spark, sf)
@@ -54,6 +45,25 @@ def q_image_records(spark, sf):
     files = e.select(F.concat(F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"),
                               F.lit(".png")).alias("rel_path"), to_png("embedding").alias("content"))
     write_files(files, root).write.format("noop").mode("overwrite").save()
+    return root
+
+
+@register("image_records", """
+WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+           FROM embeddings),
+x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS VARCHAR) AS label_name, CAST(pos AS BIGINT) AS pos,
+       round(floor((v - mn) / (mx - mn) * 255 + 0.5) / 255, 6) AS value
+FROM x, r
+""")
+def q_image_records(spark, sf):
+    """S1 + S6 + S8 + P1 + P2 + P6: every embedding row rendered as an 8x8
+    grey PNG under <label>/<vec_id>.png, then listed, decoded by the image
+    source, labelled by parent directory and scaled to [0, 1]."""
+    from tessera.sources.images import labelled_images
+
+    root = _embedding_pngs(spark, sf)
     imgs = labelled_images(spark, root, channels=1)
     imgs = imgs.select(L.base_name_label("path").cast("bigint").alias("vec_id"), "label_name",
                        A.scale_pixels("features").alias("v"))
@@ -61,6 +71,23 @@ def q_image_records(spark, sf):
         "vec_id", "label_name", F.col("pos").cast("bigint").alias("pos"), F.round("value", 6).alias("value"))
 
 
+@register("labelled_listing", """
+SELECT CAST(label AS VARCHAR) || '/' || CAST(vec_id AS VARCHAR) || '.png' AS rel_path,
+       CAST(label AS VARCHAR) AS label_name,
+       CAST(('0x' || substr(md5('123:' || CAST(label AS VARCHAR) || '/' || CAST(vec_id AS VARCHAR) || '.png'), 1, 8))
+            AS BIGINT) AS order_key
+FROM embeddings
+""")
+def q_labelled_listing(spark, sf):
+    """S2 + F1: the PNG files of every embedding row listed recursively with
+    an extension whitelist, labelled by class folder, with the seeded order
+    key of their dataset-relative path."""
+    from tessera.sources.files import labelled_files
+
+    root = _embedding_pngs(spark, sf)
+    return labelled_files(spark, root, ["png"], seed=123).select("rel_path", "label_name", "order_key")
+
+
 @register("archive_entries", """
 SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) || '/' || CAST(page_id AS VARCHAR) || '.html'
          AS entry,

@@ -38,10 +38,15 @@ def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str] | None
 def labelled_files(spark: SparkSession, folder: str, suffixes: Sequence[str] | None = None,
                    seed: int = 123, label: str = "parent") -> DataFrame:
     """Listing + label from the path (P1 parent dir or P2 base name) +
-    a seeded order column ``order_key`` (T2)."""
+    a seeded order column ``order_key`` (T2).
+
+    The order hashes ``rel_path`` (class folder / file name), not the full
+    path, so a dataset keeps its order wherever it is stored."""
     df = list_files(spark, folder, suffixes, recursive=True)
     lab = L.parent_dir_label("path") if label == "parent" else L.base_name_label("path")
-    return df.withColumn("label_name", lab).withColumn("order_key", hash_uniform(seed, F.col("path")))
+    rel = F.concat_ws("/", L.parent_dir_label("path"), L.base_name("path"))
+    return (df.withColumn("label_name", lab).withColumn("rel_path", rel)
+              .withColumn("order_key", hash_uniform(seed, F.col("rel_path"))))
 
 
 def flag_small(df: DataFrame, size_col: str = "length", limit: int = SMALL_FILE_BYTES,
