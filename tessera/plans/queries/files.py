@@ -88,6 +88,29 @@ def q_labelled_listing(spark, sf):
     return labelled_files(spark, root, ["png"], seed=123).select("rel_path", "label_name", "order_key")
 
 
+@register("image_to_records", """
+WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+           FROM embeddings),
+x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS INTEGER) AS label,
+       array_to_string(list_transform(range(10), lambda i: CASE WHEN i = label THEN 1 ELSE 0 END), ',') AS one_hot,
+       CAST(count(*) AS INTEGER) AS n_features,
+       round(sum(floor((v - mn) / (mx - mn) * 255 + 0.5) / 255), 6) AS feature_sum
+FROM x, r GROUP BY vec_id, label
+""")
+def q_image_to_records(spark, sf):
+    """U1 + U3 + P4 + P6: the image-folder job turning paths into labelled,
+    normalised records (numeric class folder -> label -> one-hot)."""
+    from tessera.plans.jobs import images_to_records
+
+    root = _embedding_pngs(spark, sf)
+    rec = images_to_records(spark, root, n_classes=10, channels=1)
+    return rec.where(F.col("error").isNull()).select(
+        L.base_name_label("key").cast("bigint").alias("vec_id"), "label",
+        F.array_join("label_onehot", ",").alias("one_hot"), F.size("features").alias("n_features"),
+        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"))
+
+
 @register("archive_entries", """
 SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) || '/' || CAST(page_id AS VARCHAR) || '.html'
          AS entry,
