@@ -40,3 +40,11 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint>" in plan
     plan = _plan(queries()["small_items"](spark, SF_SMALL))
     assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in plan
+
+
+def test_seeded_order_window_is_per_bucket(spark):
+    plan = _plan(queries()["seeded_order"](spark, SF_SMALL))
+    row_windows = [ln for ln in plan.split("\n") if ln.startswith("Arguments: [row_number()")]
+    assert row_windows and all("_bkt#" in ln.split("], [")[1] for ln in row_windows)
+    # the data side is shuffled by bucket; only the small offsets table is ever gathered
+    assert "hashpartitioning(_bkt#" in plan
