@@ -118,6 +118,29 @@ def q_confusion_dense(spark, sf):
     return confusion_dense(spark, confusion(pred), N_CLASSES)
 
 
+@register("confusion_wide", _SQL_HEAD + """
+SELECT label,
+       CAST(coalesce(sum(CASE WHEN prediction = 0 THEN n END), 0) AS BIGINT) AS p0,
+       CAST(coalesce(sum(CASE WHEN prediction = 1 THEN n END), 0) AS BIGINT) AS p1,
+       CAST(coalesce(sum(CASE WHEN prediction = 2 THEN n END), 0) AS BIGINT) AS p2,
+       CAST(coalesce(sum(CASE WHEN prediction = 3 THEN n END), 0) AS BIGINT) AS p3,
+       CAST(coalesce(sum(CASE WHEN prediction = 4 THEN n END), 0) AS BIGINT) AS p4,
+       CAST(coalesce(sum(CASE WHEN prediction = 5 THEN n END), 0) AS BIGINT) AS p5,
+       CAST(coalesce(sum(CASE WHEN prediction = 6 THEN n END), 0) AS BIGINT) AS p6,
+       CAST(coalesce(sum(CASE WHEN prediction = 7 THEN n END), 0) AS BIGINT) AS p7,
+       CAST(coalesce(sum(CASE WHEN prediction = 8 THEN n END), 0) AS BIGINT) AS p8,
+       CAST(coalesce(sum(CASE WHEN prediction = 9 THEN n END), 0) AS BIGINT) AS p9
+FROM conf GROUP BY label
+""")
+def q_confusion_wide(spark, sf):
+    """A1 (wide): one row per actual class present, one count column per
+    predicted class (pivot over the known class list)."""
+    from tessera.operators.evaluate import confusion, confusion_wide
+    pred, _ = _test_predictions(spark, sf)
+    wide = confusion_wide(confusion(pred), N_CLASSES)
+    return wide.select("label", *[F.col(str(i)).cast("bigint").alias(f"p{i}") for i in range(N_CLASSES)])
+
+
 @register("eval_stats", _SQL_HEAD + """
 SELECT class_id, tp, n_label, n_pred, round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(f1, 6) AS f1
