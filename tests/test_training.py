@@ -153,3 +153,12 @@ def test_saving_one_model_keeps_the_others(spark, tmpdir_fresh):
     a.save(spark, tmpdir_fresh)  # overwrite only partition model=a
     names = {r["model"] for r in spark.read.parquet(f"{tmpdir_fresh}/model_layers").select("model").collect()}
     assert names == {"a", "b"}
+
+
+def test_time_budget_stops_after_first_round(spark, data):
+    cfg = TR.TrainConfig(n_workers=2, batch_size=16, averaging_frequency=1, max_epochs=5, learning_rate=0.05,
+                         patience=None, max_minutes=1e-9)
+    res = TR.fit(data, _model(), cfg, key_col="key")
+    assert res.termination_reason == "IterationTerminationCondition"
+    assert res.termination_detail.startswith("MaxTime") and res.total_epochs == 1
+    assert sum(1 for r in res.stats if r[2] >= 0) == 1  # one round ran
