@@ -218,3 +218,10 @@ def test_variable_width_lines(spark):
     assert out["7,,8,1"]["features"] == [7.0, 8.0]  # empty cell omitted
     assert out["4;5,1"]["error"] == "non-numeric cell"
     assert out["9"]["error"] == "too few cells"
+
+
+def test_non_numeric_label_is_an_error_row(spark):
+    lines = spark.createDataFrame([("1.5,2.5,x",), ("1.5,2.5,1",)], "value string")
+    out = {r["value"]: r for r in TX.parse_lines(lines, ",", n_classes=2, expected_width=3, keep=("value",)).collect()}
+    assert out["1.5,2.5,x"]["error"] == "non-numeric cell" and out["1.5,2.5,x"]["features"] is None
+    assert out["1.5,2.5,1"]["error"] is None and out["1.5,2.5,1"]["label_onehot"] == [0, 1]
