@@ -83,3 +83,10 @@ def test_nearest_with_word_keys(spark, bbytes):
     pairs = spark.createDataFrame([("home", "house"), ("home", "unknown")], "key1 string, key2 string")
     sims = {r["key2"]: r["similarity"] for r in V.similarity(df, pairs, "word", "vector").collect()}
     assert sims["unknown"] is None and sims["house"] > 0.9
+
+
+def test_nearest_including_self(vecs):
+    df, _ = vecs
+    res = V.nearest(df, df.where("vec_id < 5"), k=1, exclude_self=False).collect()
+    assert sorted((r["query_key"], r["key"]) for r in res) == [(i, i) for i in range(5)]
+    assert all(abs(r["score"] - 1.0) < 1e-9 for r in res)
