@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.text import (NON_SPACE_CLASS, SPACE_CHARS, count_chars, only, text_or_empty, words_of)
+from tessera.llm.text import (NON_SPACE_CLASS, SPACE_CHARS, count_chars, filter_computed, only, text_or_empty, words_of)
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -154,8 +154,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None
     rules = default_rules() if rules is None else rules
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col(f"`{text_col}`").alias("_in"))
     order = order_rules(with_metrics(row, "_row", "_in", repeats=False), rules, sample_rows)
-    cheap = with_metrics(row, "_row", "_in", repeats=False) \
-        .filter((F.col("n_words") >= 20) & cascade(order))
+    cheap = filter_computed(with_metrics(row, "_row", "_in", repeats=False), (F.col("n_words") >= 20) & cascade(order))
     left = cheap.select("_row", "n_words", F.transform(words_of(F.col("_text")), lambda w: F.xxhash64(w)).alias("_hash"))
-    kept = repeat_words(left, "_hash", "n_repeat_words").filter(~base_failed())
+    kept = filter_computed(repeat_words(left, "_hash", "n_repeat_words"), ~base_failed())
     return kept.select(*[F.col("_row")[c].alias(c) for c in cols])

@@ -67,3 +67,14 @@ def bounded_batches(df: DataFrame, rows: int = 1024, size: int = 16 << 20) -> Da
 def strings(column) -> list[str]:
     """The texts of an Arrow column, null as ''."""
     return ["" if t is None else t for t in column.to_pylist()]
+
+
+def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter by derived columns, each computed once per row.
+
+    The optimizer moves a plain filter below the projection that derives its
+    columns and copies their expressions in, once per use (inside a lambda: once
+    per element). It does not move one that reads a row number.
+    """
+    return df.withColumn("_row_no", F.monotonically_increasing_id()) \
+        .filter(condition & (F.col("_row_no") >= 0)).drop("_row_no")
