@@ -106,20 +106,17 @@ def default_rules() -> list[Rule]:
 def order_rules(metrics: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Rules by rejections per cost on ``sample_rows`` rows, each against what the ones before it left.
 
-    The sample is folded to one row per combination of verdicts (at most
-    2^rules), with the row count and the summed cost of every rule.
+    The sample is the first rows Spark comes by, so only as many partitions are
+    read as hold them; the driver gets a flag and a number per rule and row.
     """
     flags = [F.coalesce(r.reject, F.lit(False)).alias(f"_r{i}") for i, r in enumerate(rules)]
     costs = [r.cost.cast("double").alias(f"_c{i}") for i, r in enumerate(rules)]
-    rows = (metrics.limit(sample_rows).select(*flags, *costs)
-            .groupBy(*[f"_r{i}" for i in range(len(rules))])
-            .agg(F.count("*").alias("n"), *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(rules))])
-            .collect())
+    rows = metrics.select(*flags, *costs).limit(sample_rows).collect()
     left, order = list(range(len(rules))), []
     while left:
         def gain(i):
             cost = sum(r[f"_c{i}"] or 0.0 for r in rows) or 1.0
-            return sum(r["n"] for r in rows if r[f"_r{i}"]) / cost
+            return sum(r[f"_r{i}"] for r in rows) / cost
         best = max(left, key=lambda i: (gain(i), -i))
         order.append(rules[best])
         left.remove(best)

@@ -89,3 +89,35 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.llm.exact_dedup import dedup_report
 
     return dedup_report(table(spark, sf, "documents"))
+
+
+@register("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 6: components of near copies (4-word shingles, similarity 0.8)."""
+    from tessera.llm.near_dedup import near_report
+
+    return near_report(table(spark, sf, "documents"), width=4, percent=80)
+
+
+@register("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 9: compression-based quality score of every document."""
+    from tessera.llm.quality_classifier import report
+
+    return report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 10: toxicity score of every document."""
+    from tessera.llm.toxicity import report
+
+    return report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op3_pii")
+def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 3: personal data and disclosing terms of every document."""
+    from tessera.llm.pii import report
+
+    return report(table(spark, sf, "documents"))
