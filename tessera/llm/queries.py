@@ -121,3 +121,11 @@ def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.llm.pii import report
 
     return report(table(spark, sf, "documents"))
+
+
+@register("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 7: main text of every page."""
+    from tessera.llm.html_extraction import extract
+
+    return extract(table(spark, sf, "pages"))
