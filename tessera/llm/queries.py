@@ -129,3 +129,11 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.llm.html_extraction import extract
 
     return extract(table(spark, sf, "pages"))
+
+
+@register("op8_licences")
+def op8_licences(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 8: licence notices of every document."""
+    from tessera.llm.licences import scan
+
+    return scan(table(spark, sf, "documents"))
