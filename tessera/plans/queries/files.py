@@ -114,7 +114,7 @@ def q_image_to_records(spark, sf):
 @register("archive_entries", """
 SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) || '/' || CAST(page_id AS VARCHAR) || '.html'
          AS entry,
-       CAST(strlen(html) AS BIGINT) AS size, false AS unsafe, true AS content_ok
+       CAST(strlen(html) AS BIGINT) AS size, false AS unsafe, md5(html) AS content_md5
 FROM pages
 """)
 def q_archive_entries(spark, sf):
@@ -127,7 +127,7 @@ def q_archive_entries(spark, sf):
     import zipfile
 
     from tessera.session import scratch_path
-    from tessera.sources.archives import archive_entries
+    from tessera.sources.archives import archive_entries, whole_entries
     from tessera.sources.sinks import write_files
 
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
@@ -162,9 +162,8 @@ def q_archive_entries(spark, sf):
     archives = pages.groupBy("host", "bucket").applyInPandas(pack, "rel_path string, content binary")
     root = scratch_path(spark, "archives")
     write_files(archives, root).write.format("noop").mode("overwrite").save()
-    ent = archive_entries(spark, root, with_content=True)
-    return ent.where(~F.col("is_dir")).select(
-        "entry", "size", "unsafe", (F.octet_length("content") == F.col("size")).alias("content_ok"))
+    ent = whole_entries(archive_entries(spark, root, with_content=True).where(~F.col("is_dir")))
+    return ent.select("entry", "size", "unsafe", F.md5("content").alias("content_md5"))
 
 
 # ------------------------------------------------------------------ more sources

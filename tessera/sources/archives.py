@@ -3,12 +3,13 @@
 Archives are listed with ``binaryFile`` (no bytes read on the driver) and
 opened by executors through ``pyarrow.fs`` (local, HDFS, S3, GCS paths).
 An index pass reads only directories / headers; entry bytes are then read
-by tasks spread over (archive, entry), so one huge zip or tar is many tasks.
-Gzip-compressed tars are streamed, one task per archive. Nothing is written
-to disk: entries (with their bytes when asked) feed the decoders directly.
-The format is detected from the content, not the name (a ``.tar.gz`` named
-``.tar`` still works). Absolute entry names or names holding ``..`` are
-flagged ``unsafe``.
+in offset order by tasks that each own a range of one archive, so one huge
+zip or tar is many tasks and each opens it once. Gzip-compressed tars are
+streamed, one task per archive. An entry of any size is read whole, in rows of
+at most ``CHUNK_BYTES`` each (``chunk_no`` 0, 1, ...), so no task holds more
+than a few chunks. The format is detected from the content, not the name (a
+``.tar.gz`` named ``.tar`` still works). Absolute entry names or names holding
+``..`` are flagged ``unsafe``.
 """
 
 from __future__ import annotations
@@ -30,10 +31,14 @@ ENTRY_SCHEMA = T.StructType([
     T.StructField("is_dir", T.BooleanType()),
     T.StructField("size", T.LongType()),
     T.StructField("unsafe", T.BooleanType()),
+    T.StructField("entry_no", T.LongType()),
+    T.StructField("chunk_no", T.LongType()),
     T.StructField("content", T.BinaryType()),
     T.StructField("error", T.StringType()),
 ])
 
+CHUNK_BYTES = 16 << 20  # content bytes per row
+RANGE_BYTES = 128 << 20  # archive bytes that one task reads
 ARCHIVE_SUFFIXES = (".zip", ".jar", ".tar", ".tar.gz", ".tgz")
 
 
@@ -64,57 +69,91 @@ def _kind(fh) -> str:
 
 def iter_index(path: str) -> Iterator[tuple]:
     """Entries of one archive without their bytes: (archive, entry, is_dir,
-    size, unsafe, kind, offset). Zip: central directory; plain tar: headers,
-    skipping content by seeking; compressed tar: streamed (kind 'tgz', offset
-    -1: content cannot be reached without reading what comes before)."""
+    size, unsafe, entry_no, kind, offset). Zip: central directory; plain tar:
+    headers, skipping content by seeking; compressed tar: streamed (kind 'tgz',
+    offset -1: content cannot be reached without reading what comes before)."""
     with _open(path) as fh:
         kind = _kind(fh)
         if kind == "zip":
-            for info in zipfile.ZipFile(fh).infolist():
-                yield (path, info.filename, info.is_dir(), int(info.file_size), _unsafe(info.filename), kind,
+            for i, info in enumerate(zipfile.ZipFile(fh).infolist()):
+                yield (path, info.filename, info.is_dir(), int(info.file_size), _unsafe(info.filename), i, kind,
                        int(info.header_offset))
         elif kind == "tar":
             with tarfile.open(fileobj=fh, mode="r:") as tf:
-                for m in tf:
-                    yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), kind, int(m.offset_data))
+                for i, m in enumerate(tf):
+                    yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), i, kind, int(m.offset_data))
         else:
-            yield (path, None, None, None, None, kind, -1)
-
-
-def iter_entries(path: str, with_content: bool, max_entry_bytes: int) -> Iterator[tuple]:
-    """All entries of one archive with their bytes, streamed in archive order."""
-    with _open(path) as fh:
-        kind = _kind(fh)
-        if kind == "zip":
-            zf = zipfile.ZipFile(fh)
-            for info in zf.infolist():
-                content, err = None, None
-                if with_content and not info.is_dir():
-                    if info.file_size <= max_entry_bytes:
-                        content = zf.read(info)
-                    else:
-                        err = f"content not read: {info.file_size} bytes > {max_entry_bytes}"
-                yield (path, info.filename, info.is_dir(), int(info.file_size), _unsafe(info.filename),
-                       content, err)
+            yield (path, None, None, None, None, 0, kind, -1)
+
+
+def _chunks(fh, size: int | None = None) -> Iterator[bytes]:
+    """The bytes of an open file (at most ``size``) in chunks; one empty chunk for an empty file."""
+    left, first = size, True
+    while True:
+        data = fh.read(CHUNK_BYTES if left is None else min(CHUNK_BYTES, left))
+        if data or first:
+            yield data
+        if not data:
+            if left:
+                raise EOFError(f"archive ends {left} bytes before the entry does")
+            return
+        first = False
+        if left is not None:
+            left -= len(data)
+            if not left:
+                return
+
+
+def _entry_rows(head: tuple, open_content) -> Iterator[tuple]:
+    """Rows of one entry: its chunks, then a row with ``error`` where reading breaks off."""
+    done = 0
+    try:
+        source = open_content()
+        if source is None:  # a directory, a link, or no content asked for
+            yield (*head, 0, None, None)
             return
-        with tarfile.open(fileobj=fh, mode="r|*") as tf:  # streaming: gzip or plain detected
-            for m in tf:
-                content, err = None, None
-                if with_content and m.isfile():
-                    if m.size <= max_entry_bytes:
-                        f = tf.extractfile(m)
-                        content = f.read() if f is not None else None
-                    else:
-                        err = f"content not read: {m.size} bytes > {max_entry_bytes}"
-                yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), content, err)
-
-
-def _batches(rows_iter, rows_per_batch: int, bytes_per_batch: int, columns, content_pos: int | None):
+        for data in source:
+            yield (*head, done, data, None)
+            done += 1
+    except Exception as e:  # noqa: BLE001 - a broken entry is a row
+        yield (*head, done, None, f"{type(e).__name__}: {e}")
+
+
+def iter_entries(path: str, with_content: bool) -> Iterator[tuple]:
+    """All entries of a tar with their bytes, streamed in archive order."""
+    with _open(path) as fh, tarfile.open(fileobj=fh, mode="r|*") as tf:  # streaming: gzip or plain detected
+        for i, m in enumerate(tf):
+            head = (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), i)
+            yield from _entry_rows(head, lambda: _chunks(tf.extractfile(m)) if with_content and m.isfile() else None)
+
+
+def _range_entries(path: str, kind: str, part: pd.DataFrame, with_content: bool) -> Iterator[tuple]:
+    """Entries of one range of a zip or plain tar, in offset order, by seeking; the archive is opened once."""
+    fh = _open(path)
+    try:
+        zf = zipfile.ZipFile(fh) if kind == "zip" else None
+        by_offset = {i.header_offset: i for i in zf.infolist()} if zf is not None else {}
+
+        def content(r):
+            if not with_content or r.is_dir:
+                return None
+            if zf is not None:  # by its own header, so entries of one name stay apart
+                return _chunks(zf.open(by_offset[int(r.offset)]))
+            fh.seek(int(r.offset))
+            return _chunks(fh, int(r.size))
+
+        for r in part.sort_values("offset").itertuples(index=False):
+            head = (path, r.entry, bool(r.is_dir), int(r.size), bool(r.unsafe), int(r.entry_no))
+            yield from _entry_rows(head, lambda: content(r))
+    finally:
+        fh.close()
+
+
+def _batches(rows_iter, columns, rows_per_batch: int = 1024, bytes_per_batch: int = 64 << 20):
     rows, held = [], 0
     for row in rows_iter:
         rows.append(row)
-        if content_pos is not None and row[content_pos] is not None:
-            held += len(row[content_pos])
+        held += sum(len(v) for v in row if isinstance(v, bytes))
         if len(rows) >= rows_per_batch or held >= bytes_per_batch:
             yield pd.DataFrame(rows, columns=columns)
             rows, held = [], 0
@@ -122,25 +161,21 @@ def _batches(rows_iter, rows_per_batch: int, bytes_per_batch: int, columns, cont
         yield pd.DataFrame(rows, columns=columns)
 
 
-_INDEX_SCHEMA = T.StructType([f for f in ENTRY_SCHEMA.fields if f.name not in ("content", "error")]
+_INDEX_SCHEMA = T.StructType([f for f in ENTRY_SCHEMA.fields if f.name not in ("chunk_no", "content", "error")]
                              + [T.StructField("kind", T.StringType()), T.StructField("offset", T.LongType()),
                                 T.StructField("error", T.StringType())])
+_NO_ENTRY = (None, None, None, None)
 
 
-def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
-                    max_entry_bytes: int = 256 << 20, rows_per_batch: int = 1024,
-                    bytes_per_batch: int = 64 << 20) -> DataFrame:
-    """One row per archive entry: ``(archive, entry, is_dir, size, unsafe,
-    content, error)``. A broken archive yields one row with ``error``.
-
-    Two phases, so one huge archive is not one task: (1) index every archive
-    without reading entry bytes (zip central directory, tar headers); (2)
-    spread the entries over tasks by hash and read each entry's bytes by
-    seeking to it. Gzip-compressed tars cannot be entered at an offset; they
-    are streamed whole by one task each. Batches hold at most
-    ``rows_per_batch`` rows or ``bytes_per_batch`` content bytes; an entry
-    over ``max_entry_bytes`` keeps its row, without content and with an
-    ``error`` saying so.
+def archive_entries(spark: SparkSession, folder: str, with_content: bool = True) -> DataFrame:
+    """``(archive, entry, is_dir, size, unsafe, entry_no, chunk_no, content, error)``:
+    one row per entry and content chunk (``whole_entries`` puts small ones
+    together). A broken archive or entry yields a row with ``error``.
+
+    (1) Index every archive without reading entry bytes (zip central directory,
+    tar headers); (2) give each task ranges of ``RANGE_BYTES`` of an archive and
+    read the entries in them by seeking. Gzip-compressed tars cannot be entered
+    at an offset; they are streamed by one task each.
     """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
                     .select("path", "length"))
@@ -152,72 +187,67 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True,
     n_archives = listing.count()
     n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_archives))
     listing = listing.repartition(n, F.xxhash64("path"))
-    cols_index = _INDEX_SCHEMA.names
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows(path):
+            try:
+                for r in iter_index(path):
+                    yield (*r, None)
+            except Exception as e:  # noqa: BLE001 - a broken archive is a row
+                yield (path, *_NO_ENTRY, 0, None, -1, f"{type(e).__name__}: {e}")
         for pdf in batches:
             for path in pdf["path"]:
-                def rows():
-                    try:
-                        for r in iter_index(path):
-                            yield r + (None,)
-                    except Exception as e:  # noqa: BLE001 - a broken archive is a row
-                        yield (path, None, None, None, None, None, -1, f"{type(e).__name__}: {e}")
-                yield from _batches(rows(), rows_per_batch, bytes_per_batch, cols_index, None)
+                yield from _batches(rows(path), _INDEX_SCHEMA.names)
 
     # the index (no entry bytes) is used three times below: cut it once to the shared checkpoint folder
     idx = cut_lineage(listing.mapInPandas(index, _INDEX_SCHEMA))
-
     seekable = idx.where(F.col("kind").isin("zip", "tar") & F.col("entry").isNotNull())
     streamed = idx.where(F.col("kind") == "tgz").select("archive").distinct()
     broken = idx.where(F.col("error").isNotNull()).select(
-        "archive", "entry", "is_dir", "size", "unsafe", F.lit(None).cast("binary").alias("content"), "error")
+        "archive", "entry", "is_dir", "size", "unsafe", "entry_no", F.lit(0).cast("long").alias("chunk_no"),
+        F.lit(None).cast("binary").alias("content"), "error")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, grp in pdf.groupby("archive", sort=False):
-                def rows():
-                    fh = _open(path)
-                    try:
-                        zf = zipfile.ZipFile(fh) if grp["kind"].iloc[0] == "zip" else None
-                        for r in grp.itertuples(index=False):
-                            content, err = None, None
-                            if with_content and not r.is_dir:
-                                if r.size > max_entry_bytes:
-                                    err = f"content not read: {r.size} bytes > {max_entry_bytes}"
-                                elif zf is not None:
-                                    content = zf.read(r.entry)
-                                else:
-                                    fh.seek(int(r.offset))
-                                    content = fh.read(int(r.size))
-                            yield (path, r.entry, bool(r.is_dir), int(r.size), bool(r.unsafe), content, err)
-                    finally:
-                        fh.close()
-                yield from _batches(rows(), rows_per_batch, bytes_per_batch, ENTRY_SCHEMA.names, 5)
-
-    # entry reads spread by bytes: about 128 MiB of entries per task
-    total = seekable.agg(F.sum("size")).first()[0] or 0
-    n_fetch = max(1, int(-(-total // (128 << 20))))
-    spread = seekable.repartition(n_fetch, F.xxhash64("archive", "entry"))
-    seek_rows = spread.mapInPandas(fetch, ENTRY_SCHEMA)
+            for (path, kind, _), part in pdf.groupby(["archive", "kind", "range"], sort=False):
+                yield from _batches(_range_entries(path, kind, part, with_content), ENTRY_SCHEMA.names)
+
+    seekable = seekable.withColumn("range", F.floor(F.col("offset") / RANGE_BYTES))
+    ranges = seekable.select("archive", "range").distinct().count()
+    seek_rows = (seekable.repartition(max(1, min(ranges, 1 << 16)), F.xxhash64("archive", "range"))
+                         .sortWithinPartitions("archive", "range", "offset").mapInPandas(fetch, ENTRY_SCHEMA))
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows(path):
+            try:
+                yield from iter_entries(path, with_content)
+            except Exception as e:  # noqa: BLE001 - a broken archive is a row
+                yield (path, *_NO_ENTRY, 0, 0, None, f"{type(e).__name__}: {e}")
         for pdf in batches:
             for path in pdf["archive"]:
-                def rows():
-                    try:
-                        yield from iter_entries(path, with_content, max_entry_bytes)
-                    except Exception as e:  # noqa: BLE001 - a broken archive is a row
-                        yield (path, None, None, None, None, None, f"{type(e).__name__}: {e}")
-                yield from _batches(rows(), rows_per_batch, bytes_per_batch, ENTRY_SCHEMA.names, 5)
+                yield from _batches(rows(path), ENTRY_SCHEMA.names)
 
     stream_rows = streamed.repartition(n, F.xxhash64("archive")).mapInPandas(stream, ENTRY_SCHEMA)
     # (gzip tars: one streaming task per archive, spread like the listing)
     return seek_rows.unionByName(stream_rows).unionByName(broken)
 
 
+def whole_entries(entries: DataFrame) -> DataFrame:
+    """One row per entry with its chunks joined in order, for decoders that need whole files. An entry that broke
+    off keeps its ``error`` and has no content."""
+    keys = ["archive", "entry", "is_dir", "size", "unsafe", "entry_no"]
+    joined = entries.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.when(F.col("content").isNotNull(), F.struct("chunk_no", "content")))).alias("_c"),
+        F.max("error").alias("error"))
+    content = F.aggregate("_c", F.lit(b"").cast("binary"), lambda acc, c: F.concat(acc, c["content"]))
+    return joined.withColumn("content", F.when(F.col("error").isNull() & (F.size("_c") > 0), content)) \
+                 .select(*keys, "content", "error")
+
+
 def entry_counts(entries: DataFrame) -> DataFrame:
-    """Files and directories per archive."""
+    """Files and directories per archive (entries, not chunks)."""
+    if "chunk_no" in entries.columns:
+        entries = entries.where(F.col("chunk_no") == 0)
     return entries.groupBy("archive").agg(F.count_if(~F.col("is_dir")).alias("n_files"),
                                           F.count_if(F.col("is_dir")).alias("n_dirs"))
 
@@ -230,13 +260,19 @@ def extraction_targets(entries: DataFrame, out_dir: str | None = None) -> DataFr
 
 
 def extract_entries(entries: DataFrame, out_dir: str) -> DataFrame:
-    """Write the file entries (with content, safe names only) under
-    ``out_dir`` with the distributed file writer; returns ``(path, bytes)``
-    after the writes ran. The folder can then be read by any file source,
-    e.g. the image source for formats only the JVM decoders handle."""
-    from tessera.sources.sinks import write_files
-    files = entries.where(~F.col("is_dir") & ~F.col("unsafe") & F.col("content").isNotNull()).select(
-        F.col("entry").alias("rel_path"), "content")
-    written = write_files(files, out_dir)
-    written = cut_lineage(written)  # runs the writes once; the result lists what was written
-    return written
+    """Write the file entries (safe names only) under ``out_dir``; returns
+    ``(path, bytes)`` after the writes ran. The folder can then be read by any
+    file source, e.g. the image source for formats only the JVM decoders
+    handle. An entry with an ``error`` is not written; it stays in ``entries``.
+
+    The chunks of one file meet in one task in order and are appended, so a
+    file of any size is written with a chunk in memory. Of several entries with
+    one name the last wins, as when an archive is unpacked."""
+    from tessera.sources.sinks import write_chunked_files
+    files = entries.where(F.col("entry").isNotNull() & ~F.col("is_dir") & ~F.col("unsafe"))
+    last = files.groupBy("entry").agg(F.max(F.struct("archive", "entry_no")).alias("_last"),
+                                      F.max("error").alias("_error"))
+    files = files.join(last, "entry").where(F.col("_error").isNull() & F.col("content").isNotNull()
+                                            & (F.struct("archive", "entry_no") == F.col("_last")))
+    return cut_lineage(write_chunked_files(
+        files.select(F.col("entry").alias("rel_path"), "chunk_no", "content"), out_dir))

@@ -127,3 +127,46 @@ def write_files(df: DataFrame, root: str, rel_path_col: str = "rel_path", conten
             yield pd.DataFrame(out, columns=["path", "bytes"])
 
     return df.select(rel_path_col, content_col).mapInPandas(write, _WRITE_SCHEMA)
+
+
+def write_chunked_files(df: DataFrame, root: str) -> DataFrame:
+    """Write files given as rows ``rel_path, chunk_no, content``: the chunks of
+    a file are sorted into one task and appended in order, one in memory at a
+    time. Lazy: returns ``(path, bytes)``, one row per file; a retried task
+    starts its files anew."""
+    root = root.rstrip("/")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+        from urllib.parse import urlparse
+
+        import pyarrow.fs as pafs
+        local = root.startswith("/") or root.startswith("file:")
+        fs, base = (None, None) if local else pafs.FileSystem.from_uri(root)
+        name, out, size = None, None, 0
+        for pdf in batches:
+            done = []
+            for rel, data in zip(pdf["rel_path"], pdf["content"]):
+                if rel != name:
+                    if out is not None:
+                        out.close()
+                        done.append((f"{root}/{name}", size))
+                    name, size = rel, 0
+                    if local:
+                        full = f"{root}/{rel}"
+                        p = urlparse(full).path if full.startswith("file:") else full
+                        os.makedirs(os.path.dirname(p), exist_ok=True)
+                        out = open(p, "wb")
+                    else:
+                        inner = f"{base.rstrip('/')}/{rel}"
+                        fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                        out = fs.open_output_stream(inner)
+                out.write(bytes(data))
+                size += len(data)
+            yield pd.DataFrame(done, columns=["path", "bytes"])
+        if out is not None:
+            out.close()
+            yield pd.DataFrame([(f"{root}/{name}", size)], columns=["path", "bytes"])
+
+    ordered = df.repartition("rel_path").sortWithinPartitions("rel_path", "chunk_no")
+    return ordered.select("rel_path", "content").mapInPandas(write, _WRITE_SCHEMA)
