@@ -1,22 +1,16 @@
 """Vector table operators: S14 scan, V1 similarity, V2 top-k nearest, V3/V4 lookup.
 
-V2 never materialises query x vector pairs as rows. Each task scores an
-Arrow batch of vectors against the query matrix with one matrix product and
-keeps only a running top-k per query (ties at the k-th score kept, so the
-final order by (score desc, key asc) is exact). Per-query candidates are
-then bounded by k x tasks and ranked with a window partitioned by query.
-
-Query side: broadcast as a NumPy matrix when its counted size is under
-``broadcast_bytes`` (64 MiB by default); otherwise both sides are cut into
-hash blocks and co-grouped block against block (each block pair is one
-bounded task). Either way a task builds scores for query slices of at most
-2^24 cells at a time, so its memory is bounded whatever the query count.
+V2 never materialises query x vector pairs as rows, and has one plan at every
+size: both sides are cut into hash blocks of a bounded number of bytes, and a
+co-grouped task scores one query block against one vector block with matrix
+products (slices of at most 2^24 scores). A task keeps the k best per query in
+the final order (score desc, key asc), so ties never add rows; at most
+k x vector blocks candidates per query are ranked by a window that Spark
+limits to k rows before its shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -71,8 +65,8 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
 def _topk_candidates(q_keys: np.ndarray, q_unit: np.ndarray, v_keys: np.ndarray, v_mat: np.ndarray,
                      k: int, exclude_self: bool, max_cells: int = 1 << 24
                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query: all vectors scoring >= that query's k-th best score here,
-    as (query position, vector position, score).
+    """Per query: its ``k`` best vectors here by (score desc, key asc), as
+    (query position, vector position, score).
 
     The score matrix is built for slices of the queries so that one slice
     holds at most ``max_cells`` scores (128 MiB by default), whatever the
@@ -80,6 +74,8 @@ def _topk_candidates(q_keys: np.ndarray, q_unit: np.ndarray, v_keys: np.ndarray,
     if len(v_keys) == 0 or len(q_keys) == 0:
         e = np.empty(0, dtype=np.int64)
         return e, e, np.empty(0)
+    by_key = np.argsort(np.asarray(v_keys), kind="stable")  # ties go to the smaller key
+    v_keys, v_mat = np.asarray(v_keys)[by_key], v_mat[by_key]
     v_unit = _unit_rows(v_mat).T  # (d, n)
     n = v_unit.shape[1]
     kk = min(k, n)
@@ -89,13 +85,14 @@ def _topk_candidates(q_keys: np.ndarray, q_unit: np.ndarray, v_keys: np.ndarray,
         sims = q_unit[lo:lo + step] @ v_unit  # (slice, n)
         sims = np.where(np.isnan(sims), -np.inf, sims)
         if exclude_self:
-            sims[np.asarray(q_keys[lo:lo + step])[:, None] == np.asarray(v_keys)[None, :]] = -np.inf
+            sims[np.asarray(q_keys[lo:lo + step])[:, None] == v_keys[None, :]] = -np.inf
         kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-        keep = (sims >= kth[:, None]) & np.isfinite(sims)
-        qi, vi = np.nonzero(keep)
-        out_q.append(qi + lo)
-        out_v.append(vi)
-        out_s.append(sims[qi, vi])
+        for i, (row, low) in enumerate(zip(sims, kth)):
+            at = np.flatnonzero((row >= low) & np.isfinite(row))
+            at = at[np.argsort(-row[at], kind="stable")[:k]]
+            out_q.append(np.full(len(at), lo + i))
+            out_v.append(by_key[at])
+            out_s.append(row[at])
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
@@ -105,90 +102,49 @@ def _stack(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
 
 
-def _refold(cands: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Keep, per query, the k best candidates plus any tied with the k-th
-    (order: score desc, key asc)."""
-    cands = cands.sort_values(["qi", "score", "key"], ascending=[True, False, True], kind="mergesort")
-    pos = cands.groupby("qi").cumcount()
-    kth = cands.loc[pos == k - 1].set_index("qi")["score"]
-    thr = cands["qi"].map(kth)
-    keep = (pos < k) | (cands["score"] >= thr)
-    return cands[keep.to_numpy()]
-
-
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 3, key_col: str = "vec_id",
             vec_col: str = "embedding", query_key: str | None = None, query_vec: str | None = None,
-            exclude_self: bool = True, broadcast_bytes: int = 64 << 20, n_blocks: int | None = None
-            ) -> DataFrame:
+            exclude_self: bool = True, block_bytes: int = 32 << 20) -> DataFrame:
     """V2: for each query row, the ``k`` nearest vectors by cosine similarity.
 
     Returns ``(query_key, key, score, rank)``; ``rank`` 1..k by score desc,
     key asc. Keys keep their type (ids or words). A vector with the query's
-    own key is skipped when ``exclude_self``.
+    own key is skipped when ``exclude_self``. Rows with a NULL or empty vector
+    take no part on either side, and only vectors of the query's length are
+    compared. ``block_bytes`` bounds the vectors of one block.
     """
     query_key = query_key or key_col
     query_vec = query_vec or vec_col
-    spark = vectors.sparkSession
-    q = queries.select(F.col(query_key).alias("qk"), F.col(query_vec).alias("qv"))
-    v = vectors.select(F.col(key_col).alias("vk"), F.col(vec_col).alias("vv"))
+
+    def side(df: DataFrame, key: str, vec: str, k_name: str, v_name: str) -> DataFrame:
+        return df.select(F.col(key).alias(k_name), as_double_array(vec).alias(v_name)).where(F.size(v_name) > 0) \
+                 .withColumn("d", F.size(v_name))
+
+    def blocks(df: DataFrame, name: str) -> int:
+        total = df.agg(F.sum(F.col("d").cast("long") * 8)).first()[0] or 0
+        return max(1, int(-(-total // block_bytes)))
+
+    q, v = side(queries, query_key, query_vec, "qk", "qv"), side(vectors, key_col, vec_col, "vk", "vv")
+    nq, nv = blocks(q, "qv"), blocks(v, "vv")
     schema = T.StructType([T.StructField("query_key", q.schema["qk"].dataType),
                            T.StructField("key", v.schema["vk"].dataType),
                            T.StructField("score", T.DoubleType())])
-
-    # Size check without a separate pass: fetch at most the rows that fit the
-    # broadcast budget (+1); more rows than that means the tiled plan.
-    first = q.select(F.size("qv").alias("d")).first()
-    d = int(first["d"]) if first is not None and first["d"] is not None else 1
-    max_rows = max(1, broadcast_bytes // (8 * max(1, d)))
-    qp = q.limit(max_rows + 1).toPandas()
-    if len(qp) <= max_rows:
-        q_keys = qp["qk"].to_numpy()
-        q_unit = _unit_rows(_stack(qp["qv"])) if len(qp) else np.zeros((0, 0))
-        bc = spark.sparkContext.broadcast((q_keys, q_unit))
-
-        def score_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            qk, qu = bc.value
-            held = None
-            for pdf in batches:
-                if len(pdf) == 0 or len(qk) == 0:
-                    continue
-                vkeys = pdf["vk"].to_numpy()
-                qi, vi, sc = _topk_candidates(qk, qu, vkeys, _stack(pdf["vv"]), k, exclude_self)
-                part = pd.DataFrame({"qi": qi, "key": vkeys[vi], "score": sc})
-                held = part if held is None else pd.concat([held, part], ignore_index=True)
-                if len(held) > 4 * k * len(qk):  # fold the running candidates down to top-k (+ties)
-                    held = _refold(held, k)
-            if held is not None and len(held):
-                held = _refold(held, k)
-                yield pd.DataFrame({"query_key": qk[held["qi"].to_numpy()], "key": held["key"].to_numpy(),
-                                    "score": held["score"].to_numpy()})
-
-        cands = v.mapInPandas(score_partition, schema)
-    else:
-        # 2-D tiling: query blocks of broadcast size x vector blocks of bounded
-        # rows; each (query block, vector block) tile is one co-grouped task.
-        del qp
-        n_q = q.count()
-        nq = n_blocks or max(2, int(np.ceil(n_q * d * 8 / broadcast_bytes)))
-        n_vec = vectors.count()
-        nv = max(1, int(np.ceil(n_vec / 200_000)))
-        qb = (q.withColumn("qb", F.pmod(F.xxhash64("qk"), F.lit(nq)))
-               .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(nv - 1))))
-               .withColumn("blk", F.col("qb") * nv + F.col("vb")).drop("qb", "vb"))
-        vb = (v.withColumn("vb", F.pmod(F.xxhash64("vk"), F.lit(nv)))
-               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-               .withColumn("blk", F.col("qb") * nv + F.col("vb")).drop("qb", "vb"))
-
-        def score_block(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
-            if len(qpdf) == 0 or len(vpdf) == 0:
-                return pd.DataFrame({"query_key": [], "key": [], "score": []})
-            qkeys, vkeys = qpdf["qk"].to_numpy(), vpdf["vk"].to_numpy()
-            qi, vi, sc = _topk_candidates(qkeys, _unit_rows(_stack(qpdf["qv"])), vkeys, _stack(vpdf["vv"]),
-                                          k, exclude_self)
-            return pd.DataFrame({"query_key": qkeys[qi], "key": vkeys[vi], "score": sc})
-
-        cands = qb.groupBy("blk").cogroup(vb.groupBy("blk")).applyInPandas(score_block, schema)
-
+    # a block pair is one task: its query block and its vector block, both bounded in bytes
+    qb = (q.withColumn("qb", F.pmod(F.xxhash64("qk"), F.lit(nq)))
+           .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(nv - 1)).cast("array<bigint>"))))
+    vb = (v.withColumn("vb", F.pmod(F.xxhash64("vk"), F.lit(nv)))
+           .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<bigint>"))))
+
+    def score_block(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qpdf) == 0 or len(vpdf) == 0:
+            return pd.DataFrame({"query_key": [], "key": [], "score": []})
+        qkeys, vkeys = qpdf["qk"].to_numpy(), vpdf["vk"].to_numpy()
+        qi, vi, sc = _topk_candidates(qkeys, _unit_rows(_stack(qpdf["qv"])), vkeys, _stack(vpdf["vv"]),
+                                      k, exclude_self)
+        return pd.DataFrame({"query_key": qkeys[qi], "key": vkeys[vi], "score": sc})
+
+    keys = ["d", "qb", "vb"]
+    cands = qb.groupBy(*keys).cogroup(vb.groupBy(*keys)).applyInPandas(score_block, schema)
     w = Window.partitionBy("query_key").orderBy(F.col("score").desc(), F.col("key").asc())
     return (cands.withColumn("rank", F.row_number().over(w))
                  .where(F.col("rank") <= k))

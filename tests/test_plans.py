@@ -23,7 +23,7 @@ def test_no_pairwise_joins(spark, name):
 def test_topk_limits_before_shuffle(spark):
     plan = _plan(queries()["nearest_topk"](spark, SF_SMALL))
     partial = plan.index("WindowGroupLimit")
-    assert "Partial" in plan and "MapInPandas" in plan
+    assert "Partial" in plan and "FlatMapCoGroupsInPandas" in plan
     assert plan.count("WindowGroupLimit") >= 2 and partial >= 0
 
 

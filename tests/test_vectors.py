@@ -28,10 +28,10 @@ def _brute(m, k):
     return out
 
 
-@pytest.mark.parametrize("bbytes", [256 << 20, 2000])  # broadcast path / tiled co-group path
+@pytest.mark.parametrize("bbytes", [256 << 20, 2000])  # one block / many blocks on either side
 def test_nearest_matches_brute_force(vecs, bbytes):
     df, m = vecs
-    res = V.nearest(df, df, k=3, broadcast_bytes=bbytes).collect()
+    res = V.nearest(df, df, k=3, block_bytes=bbytes).collect()
     got = {}
     for r in sorted(res, key=lambda r: (r["query_key"], r["rank"])):
         got.setdefault(r["query_key"], []).append(r["key"])
@@ -76,7 +76,7 @@ def test_nearest_with_word_keys(spark, bbytes):
     df = spark.createDataFrame([(w, v) for w, v in words.items()], "word string, vector array<float>")
     queries = df.where("word in ('home', 'car')")
     got = {}
-    for r in V.nearest(df, queries, k=2, key_col="word", vec_col="vector", broadcast_bytes=bbytes).collect():
+    for r in V.nearest(df, queries, k=2, key_col="word", vec_col="vector", block_bytes=bbytes).collect():
         got.setdefault(r["query_key"], []).append((r["rank"], r["key"]))
     assert sorted(got["home"]) == [(1, "house"), (2, "flat")]
     assert sorted(got["car"])[0] == (1, "truck")
@@ -90,3 +90,14 @@ def test_nearest_including_self(vecs):
     res = V.nearest(df, df.where("vec_id < 5"), k=1, exclude_self=False).collect()
     assert sorted((r["query_key"], r["key"]) for r in res) == [(i, i) for i in range(5)]
     assert all(abs(r["score"] - 1.0) < 1e-9 for r in res)
+
+
+def test_nearest_skips_null_and_short_vectors_and_cuts_ties(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(50)] + [(50, None), (51, []), (52, [1.0]), (53, [0.9, 0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for size in (1 << 20, 64):
+        got = V.nearest(df, df.where("vec_id in (0, 50, 51, 52)"), k=3, block_bytes=size).collect()
+        assert sorted((r["query_key"], r["rank"], r["key"]) for r in got) == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
+    x = np.ones((1000, 2))
+    keys = np.arange(1000)
+    assert len(V._topk_candidates(keys[:2], V._unit_rows(x[:2]), keys, x, 3, True)[0]) == 6
