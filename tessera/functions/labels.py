@@ -61,32 +61,19 @@ def label_names(spark: SparkSession, n_classes: int) -> DataFrame:
                                          F.col("id").cast("string").alias("label_name"))
 
 
-def index_labels(df: DataFrame, label_col: str, index_col: str | None = None,
-                 broadcast_limit: int = 1_000_000) -> DataFrame:
+def index_labels(df: DataFrame, label_col: str, index_col: str | None = None) -> DataFrame:
     """String label -> 0-based class index in alphabetical order.
 
     The dictionary is built from the distinct labels only (a partial
     aggregate, so a hot label costs nothing extra), ordered with the
-    scalable global index, and joined back; broadcast only when its counted
-    size is under ``broadcast_limit`` rows.
+    scalable global index, and joined back; Spark picks the join by the
+    dictionary's measured size. Rows without a label bypass the join.
     """
+    from tessera.operators.joins import left_join_nonnull
     from tessera.operators.sampling import global_index
-    from tessera.session import cut_lineage
 
     index_col = index_col or f"{label_col}_index"
-    # the distinct labels are computed once and cut; counting and indexing re-read that
-    distinct = cut_lineage(df.select(label_col).where(F.col(label_col).isNotNull()).distinct())
-    n = distinct.count()
-    if n <= broadcast_limit:
-        # counted small dictionary: one sorted task over n rows is enough
-        from pyspark.sql import Window
-        dictionary = distinct.withColumn(index_col, F.row_number().over(Window.orderBy(label_col)) - 1)
-    else:
-        dictionary = global_index(distinct, [F.col(label_col)], index_col=index_col)
-    dictionary = dictionary.select(label_col, F.col(index_col).cast("int").alias(index_col))
-    if n <= broadcast_limit:
-        return df.join(F.broadcast(dictionary), on=label_col, how="left")
-    # large dictionary: shuffle join; rows without a label bypass it
-    from tessera.operators.joins import left_join_nonnull
-    renamed = dictionary.withColumnRenamed(label_col, "_lab")
-    return left_join_nonnull(df, renamed, label_col, "_lab").drop("_lab")
+    distinct = df.select(label_col).where(F.col(label_col).isNotNull()).distinct()
+    dictionary = global_index(distinct, [F.col(label_col)], index_col=index_col)
+    dictionary = dictionary.select(F.col(label_col).alias("_lab"), F.col(index_col).cast("int").alias(index_col))
+    return left_join_nonnull(df, dictionary, label_col, "_lab").drop("_lab")

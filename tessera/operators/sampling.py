@@ -6,8 +6,8 @@ Design rules (all hold at any table size):
   32-bit hash of the key (``hash_uniform``), with the key itself as
   tie-break, so results are the same for any partition count or rerun.
 * No window without ``partitionBy`` over the whole table (that is a single
-  task). The seeded position (T2/T3) is a bucketed rank over 2^20 hash
-  buckets; a general total order (``global_index``) uses range partitioning
+  task). The seeded position (T2/T3) is a bucketed rank over hash buckets
+  whose number follows the row count; a general total order (``global_index``) uses range partitioning
   + per-partition counts + offsets of a table with one row per partition.
 * Ranking inside a class (F4/T1) splits every class into 2^bits hash
   buckets first, so a class holding a third of all rows is spread over many
@@ -17,6 +17,7 @@ Design rules (all hold at any table size):
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,16 +78,27 @@ def global_index(df: DataFrame, order_cols: Sequence, index_col: str = "idx",
     return out
 
 
-def group_offsets(df: DataFrame, group_cols: Sequence[str], hash_col: str, bucket_bits: int = 12
+#: rows aimed at per (group, bucket) window; the number of buckets follows the table
+ROWS_PER_BUCKET = 50_000
+
+
+def bucket_bits_for(n_rows: int) -> int:
+    """Bits of the hash that cut ``n_rows`` rows into buckets of about ``ROWS_PER_BUCKET``."""
+    return max(2, min(HASH_BITS - 2, (n_rows // ROWS_PER_BUCKET).bit_length() + 2))
+
+
+def group_offsets(df: DataFrame, group_cols: Sequence[str], hash_col: str, bucket_bits: int | None = None
                   ) -> DataFrame:
     """Per (group, hash bucket): rows before the bucket inside its group
     (``_before``) and the group size (``_gsize``).
 
     One partial aggregate over the data; the result has at most
-    groups x 2^bucket_bits rows and is cut to the shared checkpoint folder,
-    so later uses (its size check, the join, the smallest class) do not
-    scan the data again."""
+    groups x 2^bucket_bits rows (the bits follow the row count unless given)
+    and is cut to the shared checkpoint folder, so later uses (the join, the
+    smallest class) do not scan the data again."""
     group_cols = list(group_cols)
+    if bucket_bits is None:
+        bucket_bits = bucket_bits_for(df.count())
     shift = HASH_BITS - bucket_bits
     counts = (df.withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
                 .groupBy(*group_cols, "_bkt").agg(F.count(F.lit(1)).alias("_bn")))
@@ -96,40 +108,43 @@ def group_offsets(df: DataFrame, group_cols: Sequence[str], hash_col: str, bucke
                .withColumn("_before", F.coalesce(F.sum("_bn").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
                                                  F.lit(0)))
                .withColumn("_gsize", F.sum("_bn").over(Window.partitionBy(*group_cols)))
+               .withColumn("_shift", F.lit(shift))
                .drop("_bn"))
     return cut_lineage(offsets)
 
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], hash_col: str, key_col: str,
                        rank_col: str = "rank", size_col: str | None = None,
-                       bucket_bits: int = 12, broadcast_limit: int = 2_000_000,
-                       offsets: DataFrame | None = None) -> DataFrame:
+                       bucket_bits: int | None = None, offsets: DataFrame | None = None) -> DataFrame:
     """Exact 1-based rank of each row inside its group, ordered by
     (``hash_col``, ``key_col``), without putting a whole group in one task.
 
-    ``hash_col`` must be uniform in [0, 2^32). Rows are split into 2^bucket_bits
-    buckets by the top bits of the hash; per-(group, bucket) counts (partial
-    aggregate, ``group_offsets``) give each bucket its offset inside the
-    group; the final row_number runs per (group, bucket). ``size_col`` adds
-    the group size.
+    ``hash_col`` must be uniform in [0, 2^32) and may be NULL (such rows come
+    first in their group). Rows are split into 2^bucket_bits buckets by the top
+    bits of the hash; per-(group, bucket) counts (partial aggregate,
+    ``group_offsets``) give each bucket its offset inside the group; the final
+    row_number runs per (group, bucket). NULL groups are groups of their own.
+    ``size_col`` adds the group size. Spark picks the join by the measured size
+    of the written offsets.
     """
     group_cols = list(group_cols)
-    shift = HASH_BITS - bucket_bits
-    with_bucket = df.withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
-    keys = group_cols + ["_bkt"]
     if offsets is None:
         offsets = group_offsets(df, group_cols, hash_col, bucket_bits)
-    offsets = offsets.withColumnRenamed("_gsize", size_col) if size_col else offsets.drop("_gsize")
-    if offsets.count() <= broadcast_limit:  # counted on the checkpointed table
-        offsets = F.broadcast(offsets)
-    joined = with_bucket.join(offsets, on=keys, how="inner")
+    first = offsets.select("_shift").first()
+    shift = first["_shift"] if first is not None else HASH_BITS - 2
+    with_bucket = df.withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
+    keys = group_cols + ["_bkt"]
+    side = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(keys)], "_before",
+                          *([F.col("_gsize").alias(size_col)] if size_col else []))
+    same = reduce(lambda a, b: a & b, [with_bucket[c].eqNullSafe(side[f"_o{i}"]) for i, c in enumerate(keys)])
+    joined = with_bucket.join(side, same, "inner").drop(*[f"_o{i}" for i in range(len(keys))])
     wb = Window.partitionBy(*keys).orderBy(F.col(hash_col), F.col(key_col))
     return (joined.withColumn(rank_col, (F.col("_before") + F.row_number().over(wb)).cast("bigint"))
                   .drop("_bkt", "_before"))
 
 
 def balanced_sample(df: DataFrame, label_col: str, key_col: str, seed: int = 13,
-                    bucket_bits: int = 12) -> DataFrame:
+                    bucket_bits: int | None = None) -> DataFrame:
     """keep the same number of rows from every class — the size of the
     smallest class — choosing rows by seeded hash order. Rows without a
     class take no part."""
@@ -145,7 +160,7 @@ def balanced_sample(df: DataFrame, label_col: str, key_col: str, seed: int = 13,
 
 def split_train_test(df: DataFrame, label_col: str | None, key_col: str, train_percent: int = 80,
                      seed: int = 13, exact: bool = True, split_col: str = "split",
-                     bucket_bits: int = 12) -> DataFrame:
+                     bucket_bits: int | None = None) -> DataFrame:
     """Deterministic train/test split.
 
     ``exact=True``: per class, the first floor(train% of the class) rows by
@@ -171,14 +186,14 @@ def split_train_test(df: DataFrame, label_col: str | None, key_col: str, train_p
 
 
 def seeded_order(df: DataFrame, key_col: str, seed: int = 123, pos_col: str = "pos",
-                 bucket_bits: int = 20) -> DataFrame:
+                 bucket_bits: int | None = None) -> DataFrame:
     """Seeded shuffle — each row's 0-based position in md5(seed:key) order.
 
     The order key is a uniform 32-bit hash, so the position is the bucketed
-    rank of one global group: per-bucket counts (a partial aggregate over at
-    most 2^bucket_bits buckets) give offsets, and a window per bucket numbers
+    rank of one global group: per-bucket counts (a partial aggregate over
+    buckets of about ``ROWS_PER_BUCKET`` rows) give offsets, and a window per bucket numbers
     the rows. No range sampling pass and no full-data checkpoint; a window
-    task holds about rows / 2^bucket_bits rows."""
+    task holds about one bucket."""
     u = df.withColumn("_u", hash_uniform(seed, F.col(key_col))).withColumn("_g", F.lit(0))
     ranked = rank_within_groups(u, ["_g"], "_u", key_col, rank_col="_r", bucket_bits=bucket_bits)
     return ranked.withColumn(pos_col, F.col("_r") - 1).drop("_u", "_g", "_r")

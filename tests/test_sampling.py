@@ -102,3 +102,17 @@ def test_split_without_classes(spark):
     df = spark.range(1000).select(F.col("id").alias("k"))
     out = dict(SM.split_train_test(df, None, "k", 70, seed=3).groupBy("split").count().collect())
     assert out == {"train": 700, "test": 300}
+
+
+def test_null_labels_are_a_group_of_their_own(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 2) for i in range(200)], "k long, lab int")
+    out = SM.split_train_test(df, "lab", "k", 80).collect()
+    assert len(out) == 200
+    n = {lab: sum(r["split"] == "train" for r in out if r["lab"] == lab) for lab in (None, 0, 1)}
+    assert n == {None: 40, 0: 40, 1: 80}
+    assert SM.seeded_order(df.withColumn("k", F.when(F.col("k") < 190, F.col("k"))), "k").count() == 200
+
+
+def test_bucket_count_follows_the_table():
+    assert SM.bucket_bits_for(1000) < SM.bucket_bits_for(10**7) < SM.bucket_bits_for(10**11) <= 30
+    assert 10**11 / 2 ** SM.bucket_bits_for(10**11) <= SM.ROWS_PER_BUCKET
