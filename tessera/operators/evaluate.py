@@ -19,29 +19,49 @@ def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "predicti
               .agg(F.count(F.lit(1)).alias("n")))
 
 
+#: class id that stands for every label or prediction outside 0..n_classes-1
+OUT_OF_RANGE = -1
+
+
+def _in_range(conf: DataFrame, n_classes: int) -> DataFrame:
+    """The counts with labels and predictions outside the classes gathered under ``OUT_OF_RANGE``."""
+    fold = lambda c: F.when(F.col(c).between(0, n_classes - 1), F.col(c)).otherwise(OUT_OF_RANGE).alias(c)
+    return conf.select(fold("label"), fold("prediction"), "n").groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+
+
 def confusion_dense(spark: SparkSession, conf: DataFrame, n_classes: int) -> DataFrame:
     """A1 (dense): all n_classes^2 cells, zeros included. The grid comes from a
-    generator over the class range (n_classes^2 rows), then an equi-join with
-    the sparse counts (at most n_classes^2 rows, so broadcast is bounded)."""
+    generator over the class range (n_classes^2 rows). Counts outside the classes
+    are extra cells under class ``OUT_OF_RANGE``, present only when there are any."""
     grid = (spark.range(n_classes).select(F.col("id").cast("int").alias("label"))
                  .withColumn("prediction", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1)))))
-    return (grid.join(F.broadcast(conf), ["label", "prediction"], "left")
+    return (grid.join(_in_range(conf, n_classes), ["label", "prediction"], "full")
                 .select("label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
 def confusion_wide(conf: DataFrame, n_classes: int) -> DataFrame:
-    """A1 (wide): one row per actual class, one column per predicted class."""
-    return (conf.groupBy("label").pivot("prediction", list(range(n_classes))).agg(F.sum("n"))
-                .na.fill(0))
+    """A1 (wide): one row per actual class, one column per predicted class.
+
+    A prediction outside the classes has no column and is an error."""
+    checked = conf.withColumn("prediction", F.when(F.col("prediction").between(0, n_classes - 1), F.col("prediction"))
+                              .otherwise(F.raise_error(F.concat(F.lit("prediction out of range: "),
+                                                                F.col("prediction").cast("string")))))
+    return (checked.groupBy("label").pivot("prediction", list(range(n_classes))).agg(F.sum("n"))
+                   .na.fill(0))
 
 
 def class_stats(spark: SparkSession, conf: DataFrame, n_classes: int) -> DataFrame:
     """A2 per class: tp, support, predicted, precision, recall, f1.
 
     Precision (recall) is 0 when nothing was predicted as (labelled) the
-    class; f1 is 0 when precision + recall is 0."""
-    classes = spark.range(n_classes).select(F.col("id").cast("int").alias("class_id"))
-    tp = conf.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("class_id"),
+    class; f1 is 0 when precision + recall is 0. Labels and predictions outside
+    the classes are counted in a row of class ``OUT_OF_RANGE`` (present only when
+    there are any; its tp is 0), so they lower the accuracy instead of vanishing."""
+    conf = _in_range(conf, n_classes)
+    outside = conf.where((F.col("label") == OUT_OF_RANGE) | (F.col("prediction") == OUT_OF_RANGE)) \
+        .select(F.lit(OUT_OF_RANGE).alias("class_id")).distinct()
+    classes = spark.range(n_classes).select(F.col("id").cast("int").alias("class_id")).unionByName(outside)
+    tp = conf.where((F.col("label") == F.col("prediction")) & (F.col("label") != OUT_OF_RANGE)).select(F.col("label").alias("class_id"),
                                                                    F.col("n").alias("tp"))
     sup = conf.groupBy(F.col("label").alias("class_id")).agg(F.sum("n").alias("n_label"))
     prd = conf.groupBy(F.col("prediction").alias("class_id")).agg(F.sum("n").alias("n_pred"))
@@ -60,8 +80,8 @@ def class_stats(spark: SparkSession, conf: DataFrame, n_classes: int) -> DataFra
 
 def summary_stats(stats: DataFrame) -> DataFrame:
     """A2 overall: accuracy and macro averages over the classes present in
-    the labels (n_label > 0)."""
-    present = F.col("n_label") > 0
+    the labels (n_label > 0). Rows labelled outside the classes count as wrong."""
+    present = (F.col("n_label") > 0) & (F.col("class_id") != OUT_OF_RANGE)
     return stats.agg(
         F.sum("n_label").cast("bigint").alias("n"),
         (F.sum("tp") / F.sum("n_label")).alias("accuracy"),

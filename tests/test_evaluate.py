@@ -53,3 +53,16 @@ def test_counters(spark):
     df = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "g string, small boolean")
     got = {r["g"]: (r["n"], r["n_small"]) for r in counters(df, "g", ["small"]).collect()}
     assert got == {"a": (2, 1), "b": (1, 1)}
+
+
+def test_out_of_range_classes_stay_counted(spark):
+    conf = E.confusion(spark.createDataFrame([(5, 1)] * 90 + [(0, 0)] * 6 + [(1, 0)] * 3 + [(1, 7)], "label int, prediction int"))
+    stats = E.class_stats(spark, conf, 2)
+    rows = {r["class_id"]: r for r in stats.collect()}
+    assert rows[E.OUT_OF_RANGE]["n_label"] == 90 and rows[E.OUT_OF_RANGE]["n_pred"] == 1 and rows[E.OUT_OF_RANGE]["tp"] == 0
+    total = E.summary_stats(stats).first()
+    assert total["n"] == 100 and abs(total["accuracy"] - 0.06) < 1e-12 and total["n_classes_present"] == 2
+    cells = {(r["label"], r["prediction"]): r["n"] for r in E.confusion_dense(spark, conf, 2).collect()}
+    assert cells == {(0, 0): 6, (0, 1): 0, (1, 0): 3, (1, 1): 0, (-1, 1): 90, (1, -1): 1}
+    with pytest.raises(Exception, match="out of range"):
+        E.confusion_wide(conf, 2).collect()
