@@ -91,27 +91,35 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], n_features: i
 
     ``label_index`` defaults to the last column. ``skip_lines`` drops the
     first lines of each file (like a header). Output: features ARRAY<DOUBLE>,
-    label INT (+ label_onehot when ``n_classes``)."""
+    label INT (+ label_onehot when ``n_classes``) and ``error``: a row with too
+    few cells (or an empty last one) or with cells too many is kept, with the
+    reason and without features or label. ``strict`` makes a cell that is no number an error of the job."""
     width = n_features + 1
     label_index = width - 1 if label_index is None else label_index
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    # one column more than a record has: what lands there is a cell too many
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
     reader = spark.read.schema(schema).option("sep", delimiter).option("mode", "PERMISSIVE")
-    df = reader.csv(path)
-    if skip_lines > 0:
-        # Skipped lines can only sit in a file's first block: number the rows of
-        # first blocks only (a window bounded by the block size), keep the rest.
-        from pyspark.sql import Window
+    if skip_lines == 1:
+        df = reader.option("header", "true").option("enforceSchema", "true").csv(path)
+    else:
+        df = reader.csv(path)
+    if skip_lines > 1:
+        # Skipped lines can only sit in a file's first block, whose rows one task reads in order: they are the ones
+        # with the smallest row ids there. The ids to skip are an aggregate of skip_lines rows per file, no sort.
         df = (df.withColumn("_file", F.col("_metadata.file_path"))
                 .withColumn("_first", F.col("_metadata.file_block_start") == 0)
                 .withColumn("_row", F.monotonically_increasing_id()))
-        head = df.where("_first")
-        w = Window.partitionBy("_file").orderBy("_row")
-        head = head.withColumn("_ln", F.row_number().over(w)).where(F.col("_ln") > skip_lines).drop("_ln")
-        df = head.unionByName(df.where(~F.col("_first"))).drop("_file", "_first", "_row")
+        start = df.where("_first").groupBy("_file").agg(F.min("_row").alias("_row0"))
+        df = df.join(start, "_file", "left") \
+               .where(~F.col("_first") | (F.col("_row") >= F.col("_row0") + skip_lines)) \
+               .drop("_file", "_first", "_row", "_row0")
     feat_cols = [f"c{i}" for i in range(width) if i != label_index]
+    many, few = F.col(f"c{width}").isNotNull(), F.col(f"c{width - 1}").isNull()
+    bad = many | few
+    error = F.when(many, F.lit(f"more than {width} cells")).when(few, F.lit(f"fewer than {width} cells"))
     out = df.select(
-        F.array(*[coerce(F.trim(F.col(c)), "double", strict) for c in feat_cols]).alias("features"),
-        coerce(F.trim(F.col(f"c{label_index}")), "int", strict).alias("label"))
+        F.when(~bad, F.array(*[coerce(F.trim(F.col(c)), "double", strict) for c in feat_cols])).alias("features"),
+        F.when(~bad, coerce(F.trim(F.col(f"c{label_index}")), "int", strict)).alias("label"), error.alias("error"))
     if n_classes is not None:
-        out = out.withColumn("label_onehot", one_hot("label", n_classes))
+        out = out.withColumn("label_onehot", F.when(F.col("error").isNull(), one_hot("label", n_classes)))
     return out

@@ -1,8 +1,10 @@
 """File-based sources and sinks on fixtures generated into a fresh folder."""
 
+import gzip
 import io
 import os
 import tarfile
+import warnings
 import zipfile
 
 import numpy as np
@@ -225,3 +227,50 @@ def test_non_numeric_label_is_an_error_row(spark):
     out = {r["value"]: r for r in TX.parse_lines(lines, ",", n_classes=2, expected_width=3, keep=("value",)).collect()}
     assert out["1.5,2.5,x"]["error"] == "non-numeric cell" and out["1.5,2.5,x"]["features"] is None
     assert out["1.5,2.5,1"]["error"] is None and out["1.5,2.5,1"]["label_onehot"] == [0, 1]
+
+
+def test_archive_chunks_repeated_names_and_bad_entries(spark, tmpdir_fresh, monkeypatch):
+    buf = io.BytesIO()
+    with warnings.catch_warnings(), zipfile.ZipFile(buf, "w") as zf:
+        warnings.simplefilter("ignore")
+        zf.writestr("a.txt", b"first")
+        zf.writestr("a.txt", b"second!!")
+        zf.writestr("bad.txt", b"to be broken")
+        zf.writestr("empty.txt", b"")
+    raw = buf.getvalue()
+    at = raw.index(b"to be broken")
+    _write(f"{tmpdir_fresh}/x/z.zip", raw[:at] + b"TO" + raw[at + 2:])  # wrong checksum
+    tb = io.BytesIO()
+    with tarfile.open(fileobj=tb, mode="w") as tf:
+        info = tarfile.TarInfo("big.bin")
+        info.size = AR.CHUNK_BYTES + 5
+        tf.addfile(info, io.BytesIO(b"q" * info.size))
+    _write(f"{tmpdir_fresh}/x/t.tar", tb.getvalue())
+    _write(f"{tmpdir_fresh}/x/g.tar.gz", gzip.compress(tb.getvalue()))
+    _write(f"{tmpdir_fresh}/x/cut.tar", tb.getvalue()[:1 << 20])
+    ent = AR.archive_entries(spark, f"{tmpdir_fresh}/x").cache()
+    rows = [(os.path.basename(r["archive"]), r["entry"], r["chunk_no"], r["n"], r["error"] is None) for r in ent.select(
+        "archive", "entry", "chunk_no", F.length("content").alias("n"), "error").collect()]
+    for name in ("t.tar", "g.tar.gz"):
+        assert sorted(r[2:] for r in rows if r[0] == name) == [(0, AR.CHUNK_BYTES, True), (1, 5, True)]
+    whole = AR.whole_entries(ent).collect()
+    texts = sorted(bytes(r["content"]) for r in whole if r["entry"] in ("a.txt", "empty.txt"))
+    assert texts == [b"", b"first", b"second!!"]
+    bad = {r["entry"]: r for r in whole if r["entry"] == "bad.txt"}["bad.txt"]
+    assert bad["content"] is None and "CRC" in bad["error"]
+    assert any(r["error"] for r in whole if r["archive"].endswith("cut.tar"))
+    AR.extract_entries(ent.where(~F.col("archive").endswith("cut.tar")), f"{tmpdir_fresh}/out").collect()
+    assert os.path.getsize(f"{tmpdir_fresh}/out/big.bin") == AR.CHUNK_BYTES + 5
+    assert open(f"{tmpdir_fresh}/out/a.txt", "rb").read() == b"second!!" and not os.path.exists(f"{tmpdir_fresh}/out/bad.txt")
+
+
+def test_delimited_rows_of_a_wrong_width_are_errors(spark, tmpdir_fresh):
+    for skip in (0, 1, 2):
+        head = b"h\n" * skip
+        for name in ("a", "b"):
+            _write(f"{tmpdir_fresh}/d{skip}/{name}.csv", head + b"1,2,0\n1,2\n1,2,0,9\n3,4,1\n")
+        df = TX.read_delimited(spark, f"{tmpdir_fresh}/d{skip}", 2, skip_lines=skip, strict=True)
+        out = [(r["features"], r["label"], r["error"] is None) for r in df.collect()]
+        assert sorted(out, key=str) == sorted([([1.0, 2.0], 0, True), (None, None, False), (None, None, False),
+                                               ([3.0, 4.0], 1, True)] * 2, key=str)
+        assert df.where("error IS NOT NULL").select("label").count() == 4
