@@ -6,12 +6,14 @@ Plan of one run
 1. ``prepare``: every training row gets ``worker_id`` (seeded hash of the
    key), an exact seeded rank inside its worker, ``round_id`` =
    rank // (averaging_frequency * batch_size) and its mini-batch inside the
-   round. The table is written once to the shared scratch folder,
-   partitioned by ``round_id``: lineage is cut (executor loss costs one
-   partition re-read) and each round reads only its own partition.
-2. Each round is one Spark job: ``groupBy(worker_id).applyInPandas`` runs
+   round. The table is written once to the shared scratch folder, in folders
+   of ``ROUNDS_PER_FOLDER`` rounds with one file per worker sorted by round:
+   lineage is cut (executor loss costs one re-read) and each round reads only
+   its folder's row groups.
+2. Each round is one Spark job of ``n_workers`` tasks: the round's rows are
+   dealt out by worker id, one worker to a partition, and each task runs
    ``averaging_frequency`` mini-batches of SGD from the broadcast parameters
-   (one group = at most freq * batch rows, whatever the table size). Each
+   (at most freq * batch rows, whatever the table size). Each
    worker emits its parameters + momentum, weighted by rows seen, in chunks.
 3. Averaging is a partial aggregate: ``Summarizer.sum`` per chunk id (map-side
    combined, JVM-side). The driver receives one averaged vector per round —
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -98,14 +101,19 @@ class TrainResult:
 
 # ---------------------------------------------------------------- data layout
 
+ROUNDS_PER_FOLDER = 64
+
+
 def prepare(df: DataFrame, key_col: str, features_col: str, label_col: str, cfg: TrainConfig,
             path: str | None = None) -> tuple[str, int]:
-    """Write the training table partitioned by round; returns (path, n_rounds)."""
+    """Write the training table by folders of rounds; returns (path, n_rounds).
+
+    Rows without a key, features or a label cannot be trained on and are left out."""
     spark = df.sparkSession
     path = path or scratch_path(spark, "train-table")
     per_round = cfg.averaging_frequency * cfg.batch_size
     x = df.select(F.col(key_col).alias("key"), F.col(features_col).cast("array<double>").alias("features"),
-                  F.col(label_col).cast("int").alias("label"))
+                  F.col(label_col).cast("int").alias("label")).dropna()
     x = x.withColumn("worker_id", F.pmod(hash_uniform(f"w{cfg.seed}", F.col("key")), F.lit(cfg.n_workers))
                      .cast("int"))
     x = x.withColumn("_u", hash_uniform(cfg.seed, F.col("key")))
@@ -115,10 +123,11 @@ def prepare(df: DataFrame, key_col: str, features_col: str, label_col: str, cfg:
     x = (x.withColumn("round_id", ((F.col("_r") - 1) / per_round).cast("int"))
           .withColumn("batch_in_round", (((F.col("_r") - 1) % per_round) / cfg.batch_size).cast("int"))
           .withColumn("row_order", F.col("_r"))
+          .withColumn("folder", F.floor(F.col("round_id") / ROUNDS_PER_FOLDER).cast("int"))
           .drop("_u", "_r"))
-    # one shuffle by round: each round's rows land in one task, so the table has
-    # about one file per round instead of (writer tasks x rounds) small files
-    x.repartition(F.col("round_id")).write.mode("errorifexists").partitionBy("round_id").parquet(path)
+    # one shuffle: about one file per folder and worker, its rounds in order
+    (x.repartition("folder", "worker_id").sortWithinPartitions("folder", "worker_id", "round_id")
+      .write.mode("errorifexists").partitionBy("folder").parquet(path))
     return path, int(-(-int(largest) // per_round))  # rounds = ceil(largest worker / rows per round)
 
 
@@ -131,8 +140,12 @@ def _round(spark: SparkSession, table: DataFrame, model: Model, flat: np.ndarray
     bc = spark.sparkContext.broadcast((layers, shapes, dims, flat, mom, rates))
     mu, nesterov, l2 = cfg.momentum, cfg.nesterov, cfg.l2
 
-    def worker(pdf: pd.DataFrame) -> pd.DataFrame:
+    def worker(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ls, shp, dm, w0, m0, rts = bc.value
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)  # one worker's share of one round
         w = np.array(w0, dtype=np.float64)
         v = np.array(m0, dtype=np.float64)
         pdf = pdf.sort_values(["batch_in_round", "row_order"])
@@ -155,12 +168,13 @@ def _round(spark: SparkSession, table: DataFrame, model: Model, flat: np.ndarray
         vec = np.concatenate([w, v]) * n_rows
         rows = [(i // CHUNK, vec[i:i + CHUNK].tolist()) for i in range(0, len(vec), CHUNK)]
         rows.append((-1, [loss_sum, float(n_rows), 1.0]))
-        return pd.DataFrame(rows, columns=["chunk_id", "values"])
+        yield pd.DataFrame(rows, columns=["chunk_id", "values"])
 
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    chunks = table.groupBy("worker_id").applyInPandas(worker, _CHUNK_SCHEMA)
+    # partition i holds worker i, so a round is n_workers tasks
+    chunks = table.repartitionById(cfg.n_workers, F.col("worker_id")).mapInPandas(worker, _CHUNK_SCHEMA)
     summed = (chunks.groupBy("chunk_id")
                     .agg(Summarizer.sum(array_to_vector("values")).alias("s"))
                     .select("chunk_id", vector_to_array("s").alias("s"))
@@ -225,7 +239,7 @@ def fit(train: DataFrame, model: Model, cfg: TrainConfig, key_col: str = "key",
     for epoch in range(cfg.max_epochs):
         for r in range(n_rounds):
             rt = time.time()
-            part = table.where(F.col("round_id") == r)
+            part = table.where((F.col("folder") == r // ROUNDS_PER_FOLDER) & (F.col("round_id") == r))
             flat, mom, loss, n_rows, _ = _round(spark, part, model, flat, mom, iteration, cfg)
             iteration += cfg.averaging_frequency
             stats.append((run, epoch, r, int(n_rows), float(loss), None, int((time.time() - rt) * 1000)))

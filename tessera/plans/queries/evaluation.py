@@ -62,9 +62,11 @@ def _head_pipeline(spark, sf):
     """(split rows, fitted head) — the head is the model table of the train split."""
     from tessera.operators.models import class_mean_head
     e = _emb(spark, sf)
-    sp = SM.split_train_test(e, "label", "vec_id", train_percent=80, seed=13)
-    sp = sp.withColumn("features", A.as_double_array("embedding")).drop("embedding")
-    sp = sp.persist()
+    from tessera.session import scratch_path
+    from tessera.sources.sinks import materialize
+    split = SM.split_train_test(e, "label", "vec_id", train_percent=80, seed=13)
+    split = split.withColumn("features", A.as_double_array("embedding")).drop("embedding")
+    sp = materialize(spark, scratch_path(spark, "split"), lambda: split)  # written once: read by fit and scoring
     head = class_mean_head(sp.where(F.col("split") == "train"), "features", "label", N_CLASSES)
     return sp, head
 

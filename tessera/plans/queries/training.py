@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays as A
 from tessera.operators import sampling as SM
 from tessera.plans.queries._registry import N_CLASSES, _emb, register
+from tessera.session import scratch_path
+from tessera.sources.sinks import materialize
 
 
 # ------------------------------------------------------------------ training (rows-only: iterative)
 
 def _train_split(spark, sf):
     e = _emb(spark, sf)
-    sp = SM.split_train_test(e, "label", "vec_id", train_percent=80, seed=13)
-    sp = sp.withColumn("features", A.as_double_array("embedding")).drop("embedding").persist()
+    split = SM.split_train_test(e, "label", "vec_id", train_percent=80, seed=13)
+    split = split.withColumn("features", A.as_double_array("embedding")).drop("embedding")
+    sp = materialize(spark, scratch_path(spark, "split"), lambda: split)
     return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
 
 
@@ -62,8 +65,8 @@ def q_train_transfer_head(spark, sf):
                        init_std=0.2 * 2.0 / (N_CLASSES + N_CLASSES))
     n_frozen = sum(1 for ly in tl.layers if ly.get("frozen"))
     trainable = Model(tl.layers[n_frozen:], tl.params[n_frozen:], (N_CLASSES,), "head")
-    f_tr = featurize(tr, base, "fc2", "features", keep=("vec_id", "label"))
-    f_te = featurize(te, base, "fc2", "features", keep=("vec_id", "label"))
+    f_tr, f_te = (materialize(spark, scratch_path(spark, "featurized"), lambda part=part: featurize(
+        part, base, "fc2", "features", keep=("vec_id", "label"))) for part in (tr, te))
     cfg = TrainConfig(n_workers=2, batch_size=16, averaging_frequency=5, max_epochs=3, learning_rate=0.01,
                       momentum=0.9, l2=1e-4, patience=None)
     return epoch_table(fit(f_tr, trainable, cfg, key_col="vec_id", test=f_te), spark)

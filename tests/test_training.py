@@ -162,3 +162,15 @@ def test_time_budget_stops_after_first_round(spark, data):
     assert res.termination_reason == "IterationTerminationCondition"
     assert res.termination_detail.startswith("MaxTime") and res.total_epochs == 1
     assert sum(1 for r in res.stats if r[2] >= 0) == 1  # one round ran
+
+
+def test_a_round_runs_one_task_per_worker_and_skips_null_rows(spark, monkeypatch):
+    rows = [(i, [float(i % 3), 1.0], i % 2) for i in range(400)] + [(900, None, 1), (901, [1.0, 2.0], None)]
+    data = spark.createDataFrame(rows, "key long, features array<double>, label int")
+    cfg = TR.TrainConfig(n_workers=4, batch_size=8, averaging_frequency=2, max_epochs=1, patience=None)
+    path, n_rounds = TR.prepare(data, "key", "features", "label", cfg)
+    table = spark.read.parquet(path)
+    assert table.count() == 400 and n_rounds > 1
+    part = table.where("round_id = 0").repartitionById(cfg.n_workers, "worker_id")
+    where = part.selectExpr("worker_id", "spark_partition_id() AS p").distinct().collect()
+    assert sorted((r["worker_id"], r["p"]) for r in where) == [(i, i) for i in range(4)]
