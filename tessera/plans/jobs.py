@@ -138,10 +138,13 @@ def predict_images(spark: SparkSession, folder: str, base: Model, layer: str, he
                    means: list[float] | None = None, first: int | None = None) -> DataFrame:
     """Featurize raw images with the frozen ``base`` up to ``layer`` (after
     per-channel mean subtraction, P7) and score them with ``head``; the
-    first ``first`` images by path when asked (F5)."""
+    first ``first`` images by path when asked (F5). Images that cannot be decoded
+    keep their row with the ``error``."""
     from tessera.functions.arrays import subtract_channel_means
     from tessera.functions.labels import label_names
-    imgs = IM.labelled_images(spark, folder, height, width, channels).where(F.col("error").isNull())
+    imgs = IM.labelled_images(spark, folder, height, width, channels)
+    bad = imgs.where(F.col("error").isNotNull()).select("path", "label_name", "error")
+    imgs = imgs.where(F.col("error").isNull())
     if first:
         imgs = SM.first_n(imgs, first, ["path"])
     if means:
@@ -150,7 +153,8 @@ def predict_images(spark: SparkSession, folder: str, base: Model, layer: str, he
             raise ValueError("height and width are needed for mean subtraction")
         imgs = imgs.withColumn("features", subtract_channel_means("features", means, plane_size=plane))
     feats = featurize(imgs, base, layer, "features", keep=("path", "label_name"))
-    return predict(feats, head, "features", keep=("path", "label_name"), names=label_names(spark, n_classes))
+    pred = predict(feats, head, "features", keep=("path", "label_name"), names=label_names(spark, n_classes))
+    return pred.withColumn("error", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
 
 
 def evaluate_saved_batches(spark: SparkSession, batches_path: str, model: Model, n_classes: int,

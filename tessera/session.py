@@ -82,12 +82,16 @@ def ship_package(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared scratch folder: ``spark.checkpoint.dir`` when the cluster
-    names one; otherwise (tests, local bench) a fresh local temp folder."""
+    names one; otherwise (tests, local bench) a fresh local temp folder. A
+    cluster without the setting is an error: its executors do not see the
+    driver's local folders."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
