@@ -2,7 +2,8 @@
 
 ``model_layers(model, pos, name, kind, activation, n_in, n_out, kernel,
 stride, channels_in, frozen)`` and ``model_params(model, layer_pos, param,
-shape ARRAY<INT>, values ARRAY<DOUBLE>)``. A model is small next to the
+shape ARRAY<INT>, chunk_id, values ARRAY<DOUBLE>)``, rows of at most
+``PARAM_CHUNK`` values. A model is small next to the
 data (its size is the parameter count, not the row count); the driver holds
 one copy and ships it to tasks as a broadcast.
 """
@@ -10,9 +11,11 @@ one copy and ships it to tasks as a broadcast.
 from __future__ import annotations
 
 import copy
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +33,10 @@ LAYER_SCHEMA = T.StructType([
 PARAM_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("layer_pos", T.IntegerType()),
     T.StructField("param", T.StringType()), T.StructField("shape", T.ArrayType(T.IntegerType())),
-    T.StructField("values", T.ArrayType(T.DoubleType())),
+    T.StructField("chunk_id", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType())),
 ])
+#: values per row of the parameter table, so that a large layer is many small rows
+PARAM_CHUNK = 1 << 16
 _LAYER_KEYS = ["name", "kind", "activation", "n_in", "n_out", "kernel", "stride", "channels_in", "frozen"]
 
 
@@ -105,25 +110,24 @@ class Model:
                  _int(ly.get("channels_in")), bool(ly.get("frozen", False)))
                 for i, ly in enumerate(self.layers)]
 
-    def param_rows(self) -> list[tuple]:
-        """Weights per layer, plus model-level rows (layer_pos -1): the input
-        shape and, when present, the updater state (momentum buffers) so a
+    def param_chunks(self) -> Iterator[tuple]:
+        """(model, layer, param, shape, chunk, values): weights per layer in chunks of ``PARAM_CHUNK`` values, plus
+        model-level rows (layer_pos -1): the input shape and, when present, the updater state (momentum buffers) so a
         saved model can resume training."""
-        rows = []
-        for i, p in enumerate(self.params):
-            for k in ("W", "b"):
-                if k in p:
-                    rows.append((self.name, i, k, [int(s) for s in p[k].shape],
-                                 [float(v) for v in p[k].ravel()]))
-        rows.append((self.name, -1, "input_shape", [len(self.input_dims)], [float(d) for d in self.input_dims]))
-        upd = self.meta.get("updater")
-        if upd is not None:
-            rows.append((self.name, -1, "updater", [int(np.size(upd))], [float(v) for v in np.ravel(upd)]))
-        return rows
+        parts = [(i, k, p[k]) for i, p in enumerate(self.params) for k in ("W", "b") if k in p]
+        parts.append((-1, "input_shape", np.asarray(self.input_dims, dtype=np.float64)))
+        if self.meta.get("updater") is not None:
+            parts.append((-1, "updater", np.ravel(self.meta["updater"])))
+        for pos, name, values in parts:
+            flat = np.asarray(values, dtype=np.float64).ravel()
+            for c, at in enumerate(range(0, max(1, flat.size), PARAM_CHUNK)):
+                yield self.name, pos, name, [int(n) for n in np.shape(values)], c, flat[at:at + PARAM_CHUNK]
 
     def to_tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.float64())]
+        columns = [pa.array(list(c), k) for c, k in zip(zip(*self.param_chunks()), kinds)]
         return (spark.createDataFrame(self.layer_rows(), LAYER_SCHEMA),
-                spark.createDataFrame(self.param_rows(), PARAM_SCHEMA))
+                spark.createDataFrame(pa.table(columns, names=PARAM_SCHEMA.names), PARAM_SCHEMA))
 
     def save(self, spark: SparkSession, path: str) -> None:
         """K4: write the model as two tables; one ``model=`` partition per model
@@ -143,20 +147,27 @@ class Model:
     @staticmethod
     def from_tables(layers_df: DataFrame, params_df: DataFrame, name: str) -> "Model":
         lrows = sorted(layers_df.where(F.col("model") == name).collect(), key=lambda r: r["pos"])
-        prows = params_df.where(F.col("model") == name).collect()  # bounded by the parameter count
+        # the model itself, in chunks: arrays of doubles, not Python floats
+        table = params_df.where(F.col("model") == name).select(
+            "layer_pos", "param", "shape", "chunk_id", "values").toArrow().combine_chunks()
+        pieces: dict[tuple, dict] = {}
+        for r in range(table.num_rows):
+            pos, param, shape, chunk = (table[c][r].as_py() for c in ("layer_pos", "param", "shape", "chunk_id"))
+            values = table["values"][r].values.to_numpy(zero_copy_only=False)
+            pieces.setdefault((pos, param, tuple(shape)), {})[chunk] = values
         layers = [{k: r[k] for k in _LAYER_KEYS if r[k] is not None} for r in lrows]
         params = [dict() for _ in layers]
         meta: dict = {}
         dims = None
-        for r in prows:
-            values = np.asarray(r["values"], dtype=np.float64)
-            if r["layer_pos"] < 0:
-                if r["param"] == "input_shape":
+        for (pos, param, shape), chunks in pieces.items():
+            values = np.concatenate([chunks[c] for c in sorted(chunks)])
+            if pos < 0:
+                if param == "input_shape":
                     dims = tuple(int(v) for v in values)
                 else:
-                    meta[r["param"]] = values
+                    meta[param] = values
                 continue
-            params[r["layer_pos"]][r["param"]] = values.reshape(r["shape"])
+            params[pos][param] = values.reshape(shape)
         if dims is None:  # tables written without the input shape
             first = layers[0]
             if first["kind"] in ("conv", "pool"):

@@ -174,3 +174,15 @@ def test_a_round_runs_one_task_per_worker_and_skips_null_rows(spark, monkeypatch
     part = table.where("round_id = 0").repartitionById(cfg.n_workers, "worker_id")
     where = part.selectExpr("worker_id", "spark_partition_id() AS p").distinct().collect()
     assert sorted((r["worker_id"], r["p"]) for r in where) == [(i, i) for i in range(4)]
+
+
+def test_large_layers_are_stored_in_chunks(spark, tmpdir_fresh, monkeypatch):
+    from tessera.operators import models
+    monkeypatch.setattr(models, "PARAM_CHUNK", 7)
+    m = _model()
+    m.name = "chunked"
+    m.save(spark, tmpdir_fresh)
+    rows = spark.read.parquet(f"{tmpdir_fresh}/model_params")
+    assert rows.selectExpr("max(size(values))").first()[0] == 7 and rows.count() > 6
+    back = Model.load(spark, tmpdir_fresh, "chunked")
+    assert np.array_equal(back.flat(), m.flat()) and back.input_dims == m.input_dims
