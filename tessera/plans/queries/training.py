@@ -21,6 +21,46 @@ def _train_split(spark, sf):
     return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
 
 
+_LR, _MU = 0.5, 0.9
+
+
+@register("train_softmax_params", f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+x AS (SELECT vec_id, label, generate_subscripts(f, 1) - 1 AS d, unnest(f) AS v FROM e
+      UNION ALL SELECT vec_id, label, -1, 1.0 FROM e),
+k AS (SELECT unnest(range({N_CLASSES})) AS k),
+g1 AS (SELECT d, k, avg((1.0 / {N_CLASSES} - CASE WHEN label = k THEN 1 ELSE 0 END) * v) AS g
+       FROM x, k GROUP BY d, k),
+s1 AS (SELECT d, k, -{_LR} * g AS v, (1 + {_MU}) * -{_LR} * g AS w FROM g1),
+z AS (SELECT vec_id, label, k, sum(x.v * s1.w) AS z FROM x JOIN s1 USING (d) GROUP BY vec_id, label, k),
+m AS (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z),
+p AS (SELECT vec_id, k, ez / sum(ez) OVER (PARTITION BY vec_id) AS p FROM m),
+g2 AS (SELECT d, k, avg((p - CASE WHEN label = k THEN 1 ELSE 0 END) * v) AS g
+       FROM x JOIN p USING (vec_id) GROUP BY d, k)
+SELECT CAST(d AS INTEGER) AS feature, CAST(k AS INTEGER) AS class_id,
+       round(s1.w - {_MU} * s1.v + (1 + {_MU}) * ({_MU} * s1.v - {_LR} * g2.g), 6) AS weight
+FROM s1 JOIN g2 USING (d, k)
+""")
+def q_train_softmax_params(spark, sf):
+    """M1 + A6 + M6 + M9 + T4: a softmax head from zero weights, two averaging rounds over md5-assigned workers with
+    Nesterov momentum; the averaged parameters themselves (feature -1: the bias).
+
+    Each worker takes its rows (about 4096) as one batch, so the row-weighted average of the workers is the step of the
+    whole table, which SQL can unroll."""
+    from tessera.operators.models import Model
+    from tessera.operators.train import TrainConfig, fit
+    e = _emb(spark, sf).select("vec_id", "label", A.as_double_array("embedding").alias("features"))
+    model = Model.build([{"kind": "output", "activation": "softmax", "n_out": N_CLASSES, "name": "output"}], (64,))
+    model = model.with_flat(0.0 * model.flat())
+    cfg = TrainConfig(n_workers=max(4, -(-e.count() // 4096)), batch_size=8192, averaging_frequency=1, max_epochs=2,
+                      learning_rate=_LR, momentum=_MU, l2=0.0, patience=None, max_minutes=None)
+    layer = fit(e, model, cfg, key_col="vec_id").model.params[0]
+    rows = [(d, k, float(layer["W"][k, d]) if d >= 0 else float(layer["b"][k]))
+            for d in range(-1, layer["W"].shape[1]) for k in range(N_CLASSES)]
+    out = spark.createDataFrame(rows, "feature int, class_id int, weight double")
+    return out.withColumn("weight", F.round("weight", 6))
+
+
 @register("train_param_avg")
 def q_train_param_avg(spark, sf):
     """M1 + A6 + M6 + M7: 4 workers, batch 16, averaging every 5 batches,
