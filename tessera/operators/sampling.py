@@ -200,12 +200,18 @@ def seeded_order(df: DataFrame, key_col: str, seed: int = 123, pos_col: str = "p
 
 
 def minibatches(df: DataFrame, key_col: str, batch_size: int, seed: int = 123,
-                batch_col: str = "batch_id", row_col: str = "row_in_batch") -> DataFrame:
+                batch_col: str = "batch_id", row_col: str = "row_in_batch", within: Sequence[str] = ()) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows in seeded order; the
-    last batch may be short."""
+    last batch may be short. With ``within`` each value of those columns (e.g.
+    the split) has its own batches, from one pass."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    ordered = seeded_order(df, key_col, seed=seed, pos_col="_pos")
+    if within:
+        u = df.withColumn("_u", hash_uniform(seed, F.col(key_col)))
+        ordered = rank_within_groups(u, within, "_u", key_col, rank_col="_r") \
+            .withColumn("_pos", F.col("_r") - 1).drop("_u", "_r")
+    else:
+        ordered = seeded_order(df, key_col, seed=seed, pos_col="_pos")
     return (ordered.withColumn(batch_col, F.floor(F.col("_pos") / batch_size).cast("bigint"))
                    .withColumn(row_col, (F.col("_pos") % batch_size).cast("int"))
                    .drop("_pos"))

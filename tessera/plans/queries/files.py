@@ -221,25 +221,22 @@ def q_records_roundtrip(spark, sf):
 
 
 @register("bundle_splits", f"""
-WITH u AS (SELECT page_id, url, {_SQL_U.format(seed=13, key="page_id")} AS u FROM pages),
+WITH u AS (SELECT page_id, html, {_SQL_U.format(seed=13, key="page_id")} AS u FROM pages),
 r AS (SELECT *, row_number() OVER (ORDER BY u, page_id) AS rn, count(*) OVER () AS n FROM u)
-SELECT CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n_items,
-       count(DISTINCT url) AS n_urls
-FROM r GROUP BY 1
+SELECT page_id, CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split, md5(html) AS content_md5 FROM r
 """)
 def q_bundle_splits(spark, sf):
-    """K3 + T1: the page listing split 80/20 in seeded order and shipped as
-    one table partitioned by split; counted back per split."""
+    """K3 + T1: the pages split 80/20 in seeded order and shipped with their
+    content as one table partitioned by split; read back."""
     from tessera.session import scratch_path
     from tessera.sources.sinks import bundle
-    pages = table(spark, sf, "pages").select("page_id", "url")
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
     sp = SM.split_train_test(pages, None, "page_id", 80, seed=13)
     path = scratch_path(spark, "bundle")
     bundle({"train": sp.where(F.col("split") == "train").drop("split"),
             "test": sp.where(F.col("split") == "test").drop("split")}, path)
-    back = spark.read.parquet(path)
-    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_items"),
-                                     F.countDistinct("url").alias("n_urls"))
+    return spark.read.parquet(path).select("page_id", F.col("split").cast("string").alias("split"),
+                                           F.md5(F.col("html").cast("binary")).alias("content_md5"))
 
 
 @register("text_lines", r"""

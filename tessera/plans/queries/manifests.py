@@ -131,3 +131,23 @@ def q_extension_counts(spark, sf):
     ext = p.select(S.file_extension("local").alias("extension"))
     return ext.groupBy("extension").agg(F.count(F.lit(1)).alias("n_files")) \
               .withColumn("allowed", F.coalesce(F.col("extension").isin(S.ALLOWED_IMAGE_FORMATS), F.lit(False)))
+
+
+@register("manifest_files", _SQL_MANIFEST + """
+SELECT file_name, url, class_index, class_dir, local_name, target_path FROM targets
+""")
+def q_manifest_files(spark, sf):
+    """S13 over files: one manifest file per host, written line by line (a hot
+    host is one long file, never held whole), then read and planned."""
+    from tessera.session import scratch_path
+    from tessera.sources.manifest import read_manifest
+    from tessera.sources.sinks import write_chunked_files
+
+    p = table(spark, sf, "pages").select("page_id", "url")
+    lines = p.select(F.concat(S.url_host("url"), F.lit(".txt")).alias("rel_path"), F.col("page_id").alias("chunk_no"),
+                     F.encode(F.concat(F.col("page_id").cast("string"), F.lit("  "), F.col("url"), F.lit("\n")), "UTF-8")
+                     .alias("content"))
+    root = scratch_path(spark, "manifests")
+    write_chunked_files(lines, root).write.format("noop").mode("overwrite").save()
+    return read_manifest(spark, root, MANIFEST_ROOT).select(
+        "file_name", "url", "class_index", "class_dir", "local_name", "target_path")

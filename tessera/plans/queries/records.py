@@ -150,29 +150,59 @@ def q_batch_assemble(spark, sf):
 
 
 @register("saved_batches", f"""
-WITH u AS (SELECT vec_id, label, {_SQL_UE.format(seed=13)} AS u FROM embeddings),
+WITH u AS (SELECT vec_id, label, embedding, {_SQL_UE.format(seed=13)} AS u FROM embeddings),
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, vec_id) AS rn,
              count(*) OVER (PARTITION BY label) AS n FROM u),
-sp AS (SELECT vec_id, label, CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split FROM r),
-b AS (SELECT vec_id, label, split,
+sp AS (SELECT vec_id, label, embedding, CASE WHEN rn * 100 <= n * 80 THEN 'train' ELSE 'test' END AS split FROM r),
+b AS (SELECT vec_id, label, embedding, split,
              (row_number() OVER (PARTITION BY split ORDER BY {_SQL_UE.format(seed=123)}, vec_id) - 1) // 20
                AS batch_id FROM sp)
-SELECT vec_id, label, CAST(batch_id AS BIGINT) AS batch_id FROM b WHERE split = 'test'
+SELECT vec_id, label, CAST(batch_id AS BIGINT) AS batch_id, CAST(len(embedding) AS INTEGER) AS n_features,
+       round(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda v, i: v * i)), 6) AS checksum
+FROM b WHERE split = 'test'
 """)
 def q_saved_batches(spark, sf):
-    """T1 + T3 + K2 + K7 + S10/S11: each split cut into batches of 20 in seeded
-    order, saved once as a table partitioned by split (compute-if-absent),
-    then the test split read back in batch order."""
+    """T1 + T3 + K2 + K7 + S10/S11: each split, with its features, cut into
+    batches of 20 in seeded order, saved once as a table partitioned by split
+    (compute-if-absent), then the test split read back in batch order."""
     from tessera.session import scratch_path
     from tessera.sources.sinks import materialize, read_batches_in_order
 
-    sp = SM.split_train_test(_emb(spark, sf).select("vec_id", "label"), "label", "vec_id", 80, seed=13)
+    e = _emb(spark, sf).select("vec_id", "label", A.as_double_array("embedding").alias("features"))
+    sp = SM.split_train_test(e, "label", "vec_id", 80, seed=13)
     path = scratch_path(spark, "batches")
-
-    def build():
-        parts = [SM.minibatches(sp.where(F.col("split") == s_), "vec_id", 20, seed=123)
-                 for s_ in ("train", "test")]
-        return parts[0].unionByName(parts[1])
-
-    materialize(spark, path, build, partition_by=["split"])
-    return read_batches_in_order(spark, path, "test").select("vec_id", "label", "batch_id")
+    materialize(spark, path, lambda: SM.minibatches(sp, "vec_id", 20, seed=123, within=["split"]), partition_by=["split"])
+    weighted = F.transform("features", lambda v, i: v * (i + 1))
+    return read_batches_in_order(spark, path, "test").select(
+        "vec_id", "label", "batch_id", F.size("features").alias("n_features"),
+        F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 6).alias("checksum"))
+
+
+@register("predict_text_lines", """
+WITH x AS (SELECT CAST(l_linenumber - 1 AS INTEGER) AS label, l_quantity AS q FROM lineitem),
+z AS (SELECT label, q, k, 0.1 * k * q - 0.35 * k * k AS z FROM x, (SELECT unnest(range(7)) AS k)),
+p AS (SELECT label, arg_max(k, z) AS prediction, q, count(*) // 7 AS n FROM z GROUP BY label, q)
+SELECT label, CAST(prediction AS INTEGER) AS prediction, CAST(prediction AS VARCHAR) AS predicted_name,
+       CAST(sum(n) AS BIGINT) AS n
+FROM p GROUP BY ALL
+""")
+def q_predict_text_lines(spark, sf):
+    """S5 + S4 + I1 + P5: lineitem written as text lines, read back, parsed into
+    features and label, scored by a fixed linear head and named; counted per
+    (label, prediction)."""
+    import numpy as np
+
+    from tessera.operators.models import Model
+    from tessera.plans.jobs import predict_text_lines
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "lines")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    table(spark, sf, "lineitem").select(F.concat_ws(
+        ",", *[F.col(c).cast("string") for c in cols], (F.col("l_linenumber") - 1).cast("string"))).write.text(path)
+    head = Model.build([{"kind": "output", "activation": "softmax", "n_out": 7, "name": "output"}], (4,))
+    w = np.zeros((7, 4))
+    w[:, 0] = 0.1 * np.arange(7)
+    head.params = [{"W": w, "b": -0.35 * np.arange(7.0) ** 2}]
+    pred = predict_text_lines(spark, path, head, n_classes=7, expected_width=5)
+    return pred.where(F.col("error").isNull()).groupBy("label", "prediction", "predicted_name") \
+               .agg(F.count(F.lit(1)).alias("n"))
