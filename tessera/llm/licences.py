@@ -161,6 +161,12 @@ def _margin(logits: Column) -> Column:
     return F.array_max(F.slice(logits, 2, 1 << 20)) - F.get(logits, F.lit(0))
 
 
+def _literal_rows(spark: SparkSession, rows: list[tuple[int, int, str]]) -> DataFrame:
+    """``label, k, text`` rows of a fixed list, as literals of the plan."""
+    structs = [F.struct(F.lit(a).alias("label"), F.lit(k).alias("k"), F.lit(t).alias("text")) for a, k, t in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def training_rows(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``label, present, part``: varied templates, and paragraphs of the corpus and fixed sentences as no licence.
 
@@ -169,17 +175,15 @@ def training_rows(docs: DataFrame, text_col: str = "text", sample_docs: int = SA
     """
     spark = docs.sparkSession
     classes = families()
-    known = spark.createDataFrame([(classes.index(f) + 1, k, t) for k, (f, t) in enumerate(TEMPLATES)],
-                                  "label int, k int, text string")
+    known = _literal_rows(spark, [(classes.index(f) + 1, k, t) for k, (f, t) in enumerate(TEMPLATES)])
     known = known.select("label", "k", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("v"), "text") \
         .withColumn("t", words(F.col("text")))
     filler = words(F.element_at(_array(OTHER, "string"), (F.pmod(F.hash("k", "v"), F.lit(len(OTHER))) + 1).cast("int")))
     known = known.withColumn("t", F.when(F.col("v") % 3 == 0, F.col("t")).otherwise(F.filter(
         "t", lambda x, i: F.pmod(F.hash("k", "v", i), F.lit(10)) != 0))) \
         .withColumn("t", F.when(F.col("v") % 2 == 1, F.concat(filler, F.col("t"))).otherwise(F.col("t")))
-    fixed = spark.createDataFrame([(0, k, v, t) for k, t in enumerate(OTHER) for v in range(6)],
-                                  "label int, k int, v int, text string") \
-        .select("label", "k", "v", words(F.col("text")).alias("t"))
+    fixed = _literal_rows(spark, [(0, k, t) for k, t in enumerate(OTHER)]) \
+        .select("label", "k", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("v"), words(F.col("text")).alias("t"))
     lines = docs.select(F.explode(F.split(text_or_empty(text_col), "\n")).alias("text"))
     # lines of the corpus that hold half the pairs of a template may be notices and teach nothing about others
     lines = lines.limit(sample_docs * 8).select(F.lit(0).alias("label"), F.xxhash64("text").alias("k"), F.lit(0).alias("v"),
