@@ -9,15 +9,18 @@ choice of positions to leave out, and such a pair shares a key. At similarity
 0.8 a pair lies beyond the distance with a chance of about 1e-7. Links are
 confirmed on the full sets.
 
-Work that does not grow with the square of a group:
+Groups of near copies are not expanded into their pairs:
 * equal sets are one class, found by a partial aggregate; only classes are indexed;
-* in a key's group every member is compared with the smallest one first (a
-  star); links are folded into components;
-* only groups whose members are still in different components are looked at
-  again: pairs across components, under the distance, first the nearest few of
-  each member and then all that are left. They are enumerated as numpy tiles
-  inside tasks, a large group cut into tiles of bounded size; only pairs under
-  the distance leave a task.
+* in a key's group every member is compared with the smallest one (a star);
+  confirmed links are folded into components, and all star pairs within the
+  distance, linked or not, into families;
+* a family that still holds several components is compared within itself: its
+  members' sets travel once to tiles of bounded size, where only pairs across
+  components and within the distance are looked at, nearest first, and only
+  links that join two components leave the task;
+* what is left are pairs of one key's group that lie in different families.
+  They are found on the signatures in tiles, each pair under the first key it
+  shares, and confirmed like the others.
 
 All tables between the steps are written to the shared folder. Null, empty and
 word-less texts have the empty set and are linked with nothing; texts shorter
@@ -40,9 +43,10 @@ POSITIONS, CHUNK, ERRORS, BITS = 64, 4, 1, 16
 CHUNKS = POSITIONS // CHUNK
 #: largest distance for which the index loses no pair
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: nearest partners per member in the first look across components
-NEAREST = 8
-TILE = 2048
+#: members of a family or a key's group that one tile side holds
+TILE = 512
+#: rows aimed at in one task of tiles
+TILE_ROWS = 4096
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -262,55 +266,139 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(buckets: DataFrame, classes: DataFrame, percent: int, nearest: int | None) -> DataFrame:
-    """Pairs under the distance between members of one key's group that are in different components.
+def _tiled(rows: DataFrame, group: str) -> DataFrame:
+    """Rows dealt to tiles: ``i <= j`` number the two sides, ``side`` says which one a row is on; ``g`` is the task.
 
-    ``buckets``: key, rep, comp of the groups to look at. ``nearest`` keeps that
-    many closest partners of each member per tile (None: all).
+    A group of n rows has n / TILE sides; every pair of its rows meets in exactly one tile.
     """
+    n = rows.groupBy(group).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    rows = rows.join(n, group).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")) \
+        .withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
+        .withColumns({"i": F.least("side", "u"), "j": F.greatest("side", "u")}).drop("u", "tiles")
+    total = rows.count()
+    return rows.withColumn("g", F.pmod(F.xxhash64(group, "i", "j"), F.lit(max(1, -(-total // TILE_ROWS)))))
+
+
+def _tiles(table, group: str):
+    """(rows, partners) of each tile of a task: row numbers, and for each the numbers of those it is compared with."""
+    cols = [table[c].to_numpy() for c in (group, "i", "j", "rep")]
+    order = np.lexsort(cols[::-1])
+    k, i, j, _ = (c[order] for c in cols)
+    side = table["side"].to_numpy()[order]
+    cut = np.flatnonzero((np.diff(k) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+    for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(k)]):
+        rows, own = order[lo:hi], side[lo:hi]
+        if i[lo] == j[lo]:
+            yield rows, [(x, np.arange(x + 1, hi - lo)) for x in range(hi - lo - 1)]
+        else:
+            other = np.flatnonzero(own == j[lo])
+            yield rows, [(x, other) for x in np.flatnonzero(own == i[lo])]
+
+
+def _signature_rows(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, POSITIONS)
+
+
+def _candidates(sig, size, apart, tiles, percent):
+    """(x, y, distance) of the pairs of one tile that are apart, within the distance and of fitting sizes."""
+    rows, work = tiles
+    out = []
+    for x, y in work:
+        a, b = rows[x], rows[y]
+        keep = apart(a, b) & (100 * size[b] >= percent * size[a]) & (100 * size[a] >= percent * size[b])
+        b = b[keep]
+        d = (sig[b] != sig[a]).sum(axis=1)
+        b, d = b[d <= DISTANCE], d[d <= DISTANCE]
+        out.append(np.stack([np.full(len(b), a), b, d], axis=1))
+    return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+
+
+def _inside(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components of one family: ``a, b``. ``members``: family, rep, comp."""
     import pyarrow as pa
 
-    n = buckets.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    rows = buckets.join(n, "key").withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")) \
-        .withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
-        .select("key", F.least("t", "u").alias("i"), F.greatest("t", "u").alias("j"), "t", "rep", "comp") \
-        .join(classes.select("rep", "sig", "n"), "rep")
-    parts = max(1, -(-buckets.count() // 20000))
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("key", "i", "j"), F.lit(parts))) \
-        .select("g", "key", "i", "j", "t", "rep", "comp", "n", "sig")
+    rows = members.join(classes.select("rep", "sig", "n"), "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
+    rows = _tiled(rows, "family")
 
     def compare(key, table):
-        if not len(table):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        cols = [table[c].to_numpy() for c in ("key", "i", "j", "t", "rep", "comp", "n")]
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(table), POSITIONS)
-        order = np.lexsort((cols[4], cols[2], cols[1], cols[0]))
-        cols, sig = [c[order] for c in cols], sig[order]
-        k, i, j, t, rep, comp, size = cols
-        cut = np.flatnonzero((np.diff(k) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        found = []
-        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(k)]):
-            s, side = sig[lo:hi], t[lo:hi]
-            diagonal = i[lo] == j[lo]
-            for x in range(hi - lo):
-                if not diagonal and side[x] != i[lo]:
-                    continue
-                y = np.arange(x + 1, hi - lo) if diagonal else np.flatnonzero(side == j[lo])
-                y = y[comp[lo:hi][y] != comp[lo + x]]
-                ny, nx = size[lo:hi][y], size[lo + x]
-                y = y[(100 * ny >= percent * nx) & (100 * nx >= percent * ny)]
-                if not len(y):
-                    continue
-                d = (s[y] != s[x]).sum(axis=1)
-                y, d = y[d <= DISTANCE], d[d <= DISTANCE]
-                if nearest is not None and len(y) > nearest:
-                    y = y[np.argsort(d, kind="stable")[:nearest]]
-                found += [(rep[lo + x], rep[lo + z]) for z in y]
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        rep, comp, size = (table[c].to_numpy() for c in ("rep", "comp", "n"))
+        sig, raw, links = _signature_rows(table["sig"]), table["set"].to_pylist(), []
+        sets_ = [np.frombuffer(r, np.uint64) for r in raw]
+        for tile in _tiles(table, "family"):
+            found = _candidates(sig, size, lambda a, b: comp[b] != comp[a], tile, percent)
+            top: dict[int, int] = {}
+
+            def root(c):
+                while c in top:
+                    c = top[c]
+                return c
+            for x, y, _ in found[np.argsort(found[:, 2], kind="stable")].tolist():
+                a, b = root(comp[x]), root(comp[y])
+                if a == b:
+                    continue  # joined by a nearer pair
+                u, v = sets_[x], sets_[y]
+                if len(u) > len(v):
+                    u, v = v, u
+                at = np.searchsorted(v, u)
+                both = int((v[np.minimum(at, len(v) - 1)] == u).sum())
+                if 100 * both >= percent * (len(u) + len(v) - both):
+                    top[max(a, b)] = min(a, b)
+                    links.append((rep[x], rep[y]))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return rows.groupBy("g").applyInArrow(compare, "a long, b long").distinct()
+    cols = ["g", "family", "i", "j", "side", "rep", "comp", "n", "sig", "set"]
+    return rows.select(*cols).groupBy("g").applyInArrow(compare, "a long, b long")
+
+
+def _across(groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one key's group within the distance, in different families and components: ``a, b``.
+
+    ``groups``: key, rep, comp, family. A pair is given under the first key it shares only.
+    """
+    import pyarrow as pa
+
+    rows = _tiled(groups.join(classes.select("rep", "sig", "n"), "rep"), "key")
+
+    def compare(key, table):
+        rep, comp, family, size, k = (table[c].to_numpy() for c in ("rep", "comp", "family", "n", "key"))
+        sig, out = _signature_rows(table["sig"]), []
+        for tile in _tiles(table, "key"):
+            found = _candidates(sig, size, lambda a, b: (comp[b] != comp[a]) & (family[b] != family[a]), tile, percent)
+            x, y = found[:, 0], found[:, 1]
+            first = (index_keys(sig[x]) == index_keys(sig[y])).argmax(axis=1) if len(x) else x
+            x, y = (c[first == k[tile[0][0]] >> 48] for c in (x, y))
+            out.append(np.stack([rep[x], rep[y]], axis=1))
+        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return rows.select("g", "key", "i", "j", "side", "rep", "comp", "family", "n", "sig") \
+        .groupBy("g").applyInArrow(compare, "a long, b long")
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (id, comp) after links that may join whole components or bring in new ids."""
+    known = comps.unionByName(links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+                              .join(comps, "id", "left_anti").withColumn("comp", F.col("id")))
+    of = lambda x: comps.select(F.col("id").alias(x), F.col("comp").alias(f"c{x}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left") \
+        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct()
+    top = components(between).select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+    return _write(known.join(top, "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")), "labels")
+
+
+def _label(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the label of their rep; a rep without one is its own."""
+    labels = labels.select(F.col("id").alias("rep"), F.col("comp").alias(name))
+    return rows.join(labels, "rep", "left").withColumn(name, F.coalesce(name, "rep"))
+
+
+def _several(rows: DataFrame, group: str, *names: str) -> DataFrame:
+    """The rows of groups in which every named label takes more than one value."""
+    spans = rows.groupBy(group).agg(*[F.min(c).alias(f"_a{c}") for c in names], *[F.max(c).alias(f"_b{c}") for c in names])
+    for c in names:
+        spans = spans.filter(F.col(f"_a{c}") != F.col(f"_b{c}"))
+    return rows.join(spans.select(group), group, "left_semi")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -331,23 +419,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = _write(_sets_of(docs, id_col, text_col, wanted, width), "sets")
     comps = components(_linked(pairs, sets, percent))
 
-    groups = buckets.filter("c > 2").select("key", "rep")
-    for nearest in (NEAREST, None):
-        now = groups.join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
-            .withColumn("comp", F.coalesce("comp", "rep"))
-        mixed = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-        left = _write(now.join(mixed, "key", "left_semi").select("key", "rep", "comp"), "mixed")
-        more = _write(_linked(_across(left, classes, percent, nearest), sets, percent), "links")
-        if not more.isEmpty():
-            # new links join whole components
-            of = lambda x: comps.select(F.col("id").alias(x), F.col("comp").alias(f"c{x}"))
-            linked = more.join(of("a"), "a", "left").join(of("b"), "b", "left") \
-                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct()
-            joined = components(linked).select(F.col("id").alias("comp"), F.col("comp").alias("top"))
-            known = comps.unionByName(more.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-                                      .join(comps, "id", "left_anti").withColumn("comp", F.col("id")))
-            comps = _write(known.join(joined, "comp", "left")
-                           .select("id", F.coalesce("top", "comp").alias("comp")), "labels")
+    families = components(pairs)
+    members = _label(_label(families.select(F.col("id").alias("rep")), families, "family"), comps, "comp")
+    members = _write(_several(members, "family", "comp"), "members")
+    comps = _joined(comps, _write(_inside(members, classes, sets, percent), "links"))
+
+    groups = _label(_label(buckets.filter("c > 2").select("key", "rep"), families, "family"), comps, "comp")
+    groups = _write(_several(groups, "key", "family", "comp"), "groups")
+    more = _write(_across(groups, classes, percent), "more")
+    comps = _joined(comps, _write(_linked(more, sets, percent), "links"))
     named = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("n", "h1", "h2", F.coalesce("comp", "rep").alias("component"))
     return signed.join(named, ["n", "h1", "h2"], "left") \
