@@ -43,8 +43,9 @@ POSITIONS, CHUNK, ERRORS, BITS = 64, 4, 1, 16
 CHUNKS = POSITIONS // CHUNK
 #: largest distance for which the index loses no pair
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: members of a family or a key's group that one tile side holds
-TILE = 512
+#: rows of one tile side: family members come with their sets (kilobytes), members of a key's group with their
+#: signature only (128 bytes)
+SET_TILE, SIGNATURE_TILE = 512, 4096
 #: rows aimed at in one task of tiles
 TILE_ROWS = 4096
 
@@ -266,12 +267,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _tiled(rows: DataFrame, group: str) -> DataFrame:
+def _tiled(rows: DataFrame, group: str, tile: int) -> DataFrame:
     """Rows dealt to tiles: ``i <= j`` number the two sides, ``side`` says which one a row is on; ``g`` is the task.
 
-    A group of n rows has n / TILE sides; every pair of its rows meets in exactly one tile.
+    A group of n rows has n / ``tile`` sides; every pair of its rows meets in exactly one tile.
     """
-    n = rows.groupBy(group).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    n = rows.groupBy(group).agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     rows = rows.join(n, group).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")) \
         .withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
         .withColumns({"i": F.least("side", "u"), "j": F.greatest("side", "u")}).drop("u", "tiles")
@@ -318,7 +319,7 @@ def _inside(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     import pyarrow as pa
 
     rows = members.join(classes.select("rep", "sig", "n"), "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
-    rows = _tiled(rows, "family")
+    rows = _tiled(rows, "family", SET_TILE)
 
     def compare(key, table):
         rep, comp, size = (table[c].to_numpy() for c in ("rep", "comp", "n"))
@@ -358,7 +359,7 @@ def _across(groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """
     import pyarrow as pa
 
-    rows = _tiled(groups.join(classes.select("rep", "sig", "n"), "rep"), "key")
+    rows = _tiled(groups.join(classes.select("rep", "sig", "n"), "rep"), "key", SIGNATURE_TILE)
 
     def compare(key, table):
         rep, comp, family, size, k = (table[c].to_numpy() for c in ("rep", "comp", "family", "n", "key"))
