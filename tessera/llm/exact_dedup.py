@@ -55,8 +55,9 @@ def copy_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hashed = _written(
         rows.join(prefixes, ["_len", "_prefix"], "left_semi")
         .select(id_col, F.unhex(F.sha2(lower_ascii(F.col("_text")), 256)).alias("_sha")), "dedup-hash")
-    groups = hashed.groupBy("_sha").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")) \
-        .filter("group_size > 1")
+    # written as well, so that the join shuffles either side for itself and AQE may split a hot class
+    groups = _written(hashed.groupBy("_sha").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
+                      .filter("group_size > 1"), "dedup-classes")
     return hashed.join(groups, "_sha").select(id_col, "keep_id", "group_size")
 
 
