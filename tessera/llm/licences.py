@@ -1,13 +1,21 @@
 """Operator 8: licence notices by a trained paragraph classifier (DataFrame functions only).
 
-A paragraph is a line of text; its features are the words and word pairs of it
-that occur in the licence templates. A sparse multinomial logistic regression
+A paragraph is a line of text, or a run of adjacent lines (no blank line between
+them) whose line breaks count as spaces, so that hard-wrapped notices are found as
+well as one-line notices amid prose. Its features are the words and word pairs of
+it that occur in the licence templates. A sparse multinomial logistic regression
 (Spark ML), trained on varied templates and on other paragraphs of the corpus,
 gives a log-odds per licence family and for "no licence". A second, one-column
 regression on paragraphs the first has not seen calibrates the margin between
 the best family and "no licence"; below one half the paragraph is unknown. A
 prediction is confirmed when the paragraph also holds most of the word pairs of
-one of the family's templates.
+one of the family's templates. Of confirmed paragraphs that overlap, the one that
+holds most pairs counts, then the one of fewest lines, then the first; a line inside
+a confirmed run is no paragraph of its own.
+
+Every line is scored. Runs are scored in blocks (lines between blank lines) that
+hold most pairs of some template, as no run of another block can be confirmed; a run
+goes on until it has ``RUN_WORDS`` words, however short its lines are.
 
 Scoring is expressions over the rows of the table: no shuffle, no Python. Every
 feature holds an anchor word (a template word that is no function word); a text
@@ -105,6 +113,11 @@ def _pairs(tokens: list[str]) -> list[str]:
     return [f"{a} {b}" for a, b in zip(tokens, tokens[1:])]
 
 
+#: words after which a run of lines is not carried on: twice the longest template
+RUN_WORDS = 2 * max(len(_tokens(t)) for _, t in TEMPLATES)
+BLANK_LINES = r"\n[\x20\x09-\x0D]*\n"
+
+
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(1))
 
@@ -184,14 +197,18 @@ def training_rows(docs: DataFrame, text_col: str = "text", sample_docs: int = SA
         .withColumn("t", F.when(F.col("v") % 2 == 1, F.concat(filler, F.col("t"))).otherwise(F.col("t")))
     fixed = _literal_rows(spark, [(0, k, t) for k, t in enumerate(OTHER)]) \
         .select("label", "k", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("v"), words(F.col("text")).alias("t"))
-    lines = docs.select(F.explode(F.split(text_or_empty(text_col), "\n")).alias("text"))
+    lines = docs.select(F.explode(F.split(text_or_empty(text_col), BLANK_LINES)).alias("block")) \
+        .select("block", F.explode(F.split("block", "\n")).alias("text"))
     # lines of the corpus that hold half the pairs of a template may be notices and teach nothing about others
     lines = lines.limit(sample_docs * 8).select(F.lit(0).alias("label"), F.xxhash64("text").alias("k"), F.lit(0).alias("v"),
-                                                words(F.col("text")).alias("t"))
+                                                words(F.col("text")).alias("t"), words(F.col("block")).alias("block"))
     lines = lines.filter(F.size("t") > 0)
-    lines = lines.filter(~reduce(lambda a, b: a | b, [
-        F.size(F.array_intersect(grams(F.col("t")), _array(p, "string"))) >= 0.5 * len(p)
-        for p in (_pairs(_tokens(t)) for _, t in TEMPLATES)]))
+    # so may lines with template pairs in a block that holds half a template: pieces of a wrapped notice
+    notice = lambda t: _let(grams(t), lambda g: reduce(lambda a, b: a | b, [
+        F.size(F.array_intersect(g, _array(p, "string"))) >= 0.5 * len(p) for p in (_pairs(_tokens(t)) for _, t in TEMPLATES)]))
+    pairs = _array([v for v in vocabulary() if " " in v], "string")
+    lines = lines.filter(~F.when(F.arrays_overlap(grams(F.col("t")), pairs), notice(F.col("t")) | notice(F.col("block")))
+                         .otherwise(F.lit(False))).drop("block")
     rows = known.select("label", F.col("k").cast("long"), "v", "t") \
         .unionByName(fixed.withColumn("k", F.col("k").cast("long"))).unionByName(lines)
     return rows.select("label", F.array_intersect(grams(F.col("t")), _array(vocabulary(), "string")).alias("present"),
@@ -223,44 +240,108 @@ def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS)
         rows.unpersist()
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _held(g: Column, name: str | None = None) -> Column:
+    """Most pairs of one template (of the family ``name``, or of any) that a paragraph's features confirm; 0: none."""
+    def confirmed(pairs: list[str]) -> Column:
+        return _let(F.size(F.array_intersect(g, _array(pairs, "string"))),
+                    lambda n: F.when(n >= CONFIRM * len(pairs), n).otherwise(F.lit(0)))
+
+    return F.array_max(F.array(*map(confirmed, _template_pairs(name))))
+
+
+def _template_pairs(name: str | None) -> list[list[str]]:
+    return [sorted(set(_pairs(_tokens(t)))) for f, t in TEMPLATES if name in (None, f)]
+
+
+def _best(g: Column, model: Model) -> Column:
+    """The best class of a paragraph's features, and its calibrated chance."""
+    known = _array(model.weights or [""], "string")
+    return _let(_logits(F.array_intersect(g, known), model), lambda x: F.struct(
+        (1 / (1 + F.exp(-(F.lit(model.slope) * _margin(x) + F.lit(model.offset))))).alias("p"),
+        (F.array_position(F.slice(x, 2, 1 << 20), F.array_max(F.slice(x, 2, 1 << 20)))).cast("int").alias("k")))
+
+
+def _judged(toks: Column, model: Model) -> Column:
+    """``p, k, held`` of one paragraph: best class, its chance, and the template pairs that confirm it."""
+    def held(g: Column, k: Column) -> Column:
+        out = F.lit(0)
+        for i, name in enumerate(model.names[1:]):
+            out = F.when(k == i + 1, _held(g, name)).otherwise(out)
+        return out
+
+    return _let(grams(toks), lambda g: _let(_best(g, model), lambda b: F.struct(
+        b["p"].alias("p"), b["k"].alias("k"), F.when(b["p"] >= 0.5, held(g, b["k"])).otherwise(F.lit(0)).alias("held"))))
+
+
+def _runs(lines: Column, first: Column) -> Column:
+    """Words of the runs of lines that begin at line ``first`` (from 0): of the line alone, with the next line, and so on.
+
+    A longer run needs only the end of its first line and the beginning of the others.
+    """
+    tail = lambda t: F.when(F.size(t) > RUN_WORDS, F.slice(t, -RUN_WORDS, RUN_WORDS)).otherwise(t)
+    line = F.get(lines, first)
+    rest = F.aggregate(
+        F.slice(lines, first + 2, F.size(lines)), F.array(tail(line)),
+        lambda acc, x: F.when(F.size(F.element_at(acc, -1)) >= 2 * RUN_WORDS, acc).otherwise(
+            F.concat(acc, F.array(F.concat(F.element_at(acc, -1), F.slice(x, 1, RUN_WORDS))))))
+    return F.concat(F.array(line), F.slice(rest, 2, 1 << 30))
+
+
+def _confirmed(lines: Column, model: Model) -> Column:
+    """``first, last, k, p`` of the confirmed paragraphs of a block, no two of which overlap."""
+    def of_line(s: Column) -> Column:
+        judged = F.transform(_runs(lines, s), lambda toks, j: F.struct(
+            j.alias("more"), _judged(toks, model).alias("x")))
+        # a run that holds no more than a shorter one of the same beginning is never chosen
+        return _let(F.filter(judged, lambda r: r["x"]["held"] > 0), lambda found: F.transform(
+            F.filter(found, lambda r: ~F.exists(found, lambda q: (q["more"] < r["more"]) & (q["x"]["held"] >= r["x"]["held"]))),
+            lambda r: F.struct((-r["x"]["held"]).alias("rank"), r["more"].alias("more"), s.alias("first"),
+                               (s + r["more"]).alias("last"), r["x"]["k"].alias("k"), r["x"]["p"].alias("p"))))
+
+    found = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size(lines) - 1), of_line)))
+    none = F.array().cast("array<struct<rank:int,more:int,first:int,last:int,k:int,p:double>>")
+    return F.aggregate(found, none, lambda acc, c: F.when(
+        F.exists(acc, lambda x: (x["first"] <= c["last"]) & (c["first"] <= x["last"])), acc).otherwise(
+            F.concat(acc, F.array(c))))
+
+
 def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_paragraphs, n_licence, n_confirmed, families, unconfirmed, score`` of every document.
 
-    ``families`` lists the confirmed licence families, ``unconfirmed`` the predicted
-    ones that no template confirms (sorted, comma-joined); ``score`` is the best
-    paragraph's calibrated chance of being a licence notice.
+    ``n_paragraphs`` counts the lines that are not blank; ``n_licence`` and
+    ``n_confirmed`` count notices, a wrapped one once. ``families`` lists the confirmed
+    licence families, ``unconfirmed`` those of predicted lines that no template confirms
+    (sorted, comma-joined); ``score`` is the best paragraph's calibrated chance of being
+    a licence notice.
     """
     model = fit(docs, text_col) if model is None else model
     rows = only(docs, id_col, text_col).select(F.col(f"`{id_col}`"), text_or_empty(text_col).alias("_text"))
-    rows = rows.select(id_col, F.filter(F.split("_text", "\n"), lambda x: x.rlike(NON_SPACE_CLASS)).alias("_lines"),
+    filled = lambda a: F.filter(a, lambda x: x.rlike(NON_SPACE_CLASS))
+    rows = rows.select(id_col, "_text", F.size(filled(F.split("_text", "\n"))).cast("long").alias("n_paragraphs"),
                        F.arrays_overlap(words(F.col("_text")), _array(anchors(), "string")).alias("_any"))
-    none = F.array().cast("array<array<string>>")
-    rows = rows.withColumn("_grams", F.when(F.col("_any"), F.transform(
-        F.transform("_lines", lambda x: words(x)), grams)).otherwise(none))
-    known = _array(model.weights or [""], "string")
-    rows = rows.withColumn("_logits", F.transform("_grams", lambda g: _logits(F.array_intersect(g, known), model)))
-    # the best class of each paragraph, with its calibrated chance
-    rows = rows.withColumn("_best", F.transform("_logits", lambda x: F.struct(
-        (1 / (1 + F.exp(-(F.lit(model.slope) * _margin(x) + F.lit(model.offset))))).alias("p"),
-        (F.array_position(F.slice(x, 2, 1 << 20), F.array_max(F.slice(x, 2, 1 << 20)))).cast("int").alias("k"))))
+    none = F.array().cast("array<array<array<string>>>")
+    rows = rows.withColumn("_blocks", F.when(F.col("_any"), F.transform(
+        filled(F.split("_text", BLANK_LINES)), lambda b: F.transform(filled(F.split(b, "\n")), words))).otherwise(none))
+    rows = rows.withColumn("_lines", F.transform("_blocks", lambda b: F.transform(
+        b, lambda toks: _best(grams(toks), model))))
+    empty = F.array().cast("array<struct<rank:int,more:int,first:int,last:int,k:int,p:double>>")
+    rows = rows.withColumn("_sure", F.transform("_blocks", lambda b: F.when(
+        _let(grams(F.flatten(b)), lambda g: _held(g)) > 0, _confirmed(b, model)).otherwise(empty)))
+    rows = rows.withColumn("_unsure", F.flatten(F.zip_with("_lines", "_sure", lambda lines, sure: F.filter(
+        F.transform(lines, lambda x, i: F.when((x["p"] >= 0.5) & ~F.exists(
+            sure, lambda c: (c["first"] <= i) & (i <= c["last"])), x)), lambda x: x.isNotNull())))) \
+        .withColumn("_sure", F.flatten("_sure"))
     names = _array(model.names[1:], "string")
-
-    def held(g: Column, k: Column) -> Column:
-        """Whether the paragraph holds most pairs of a template of family number k."""
-        test = F.lit(False)
-        for i, name in enumerate(model.names[1:]):
-            parts = [sorted(set(_pairs(_tokens(t)))) for f, t in TEMPLATES if f == name]
-            hit = reduce(lambda a, b: a | b, [F.size(F.array_intersect(g, _array(p, "string"))) >= CONFIRM * len(p) for p in parts])
-            test = F.when(k == i + 1, hit).otherwise(test)
-        return test
-
-    rows = rows.withColumn("_found", F.filter(F.zip_with("_best", "_grams", lambda b, g: F.struct(
-        F.get(names, b["k"] - 1).alias("family"), b["p"].alias("p"),
-        F.when(b["p"] >= 0.5, held(g, b["k"])).otherwise(F.lit(False)).alias("sure"))), lambda x: x["p"] >= 0.5))
-    pick = lambda sure: F.array_join(F.array_sort(F.array_distinct(F.transform(
-        F.filter("_found", lambda x: x["sure"] == sure), lambda x: x["family"]))), ",")
+    pick = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(
+        found, lambda x: F.get(names, x["k"] - 1)))), ",")
+    chances = F.concat(F.transform(F.flatten("_lines"), lambda x: x["p"]), F.transform("_sure", lambda x: x["p"]))
     return rows.select(
-        id_col, F.size("_lines").cast("long").alias("n_paragraphs"), F.size("_found").cast("long").alias("n_licence"),
-        F.size(F.filter("_found", lambda x: x["sure"])).cast("long").alias("n_confirmed"),
-        pick(True).alias("families"), pick(False).alias("unconfirmed"),
-        F.coalesce(F.array_max(F.transform("_best", lambda b: b["p"])), F.lit(0.0)).alias("score"))
+        id_col, "n_paragraphs", (F.size("_sure") + F.size("_unsure")).cast("long").alias("n_licence"),
+        F.size("_sure").cast("long").alias("n_confirmed"),
+        pick(F.col("_sure")).alias("families"), pick(F.col("_unsure")).alias("unconfirmed"),
+        F.coalesce(F.array_max(chances), F.lit(0.0)).alias("score"))

@@ -1,6 +1,7 @@
 """Operators 8, 9 and 10: held-out accuracy, the methods' own properties, awkward rows."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -115,6 +116,27 @@ def test_licences(spark, licence_model):
     assert L.scan(docs.limit(0), licence_model).count() == 0
 
 
+def test_wrapped_notices(spark, licence_model):
+    """Notices wrapped at 30, 72 and 79 columns, plain or in a comment, alone or amid lines of prose, and side by side."""
+    full = {f: max((t for g, t in L.TEMPLATES if g == f), key=len) for f in ("MIT", "GPL-3.0", "BSD", "ISC")}
+    rows, want = [], {}
+    for f, text in full.items():
+        for width in (30, 72, 79):
+            wrapped = textwrap.wrap(text, width)
+            for lines in (wrapped, [f" * {x}" for x in wrapped], ["prose of the day", *wrapped, "more prose"]):
+                want[len(rows)] = (f, 1)
+                rows.append((len(rows), "Title\n\n" + "\n".join(lines) + "\n\nthe end"))
+    both = textwrap.wrap(full["MIT"], 72) + textwrap.wrap(full["BSD"], 72) + ["All rights reserved."]
+    want[len(rows)] = ("BSD,MIT,Proprietary", 3)
+    rows.append((len(rows), "\n".join(both)))
+    want[len(rows)] = ("GPL-3.0", 1)  # the first line alone would be a notice of either version
+    rows.append((len(rows), "This work is licensed under the GNU General Public License,\nversion 3."))
+    want[len(rows)] = ("", 0)  # a blank line ends a notice
+    rows.append((len(rows), "\n\n".join(textwrap.wrap(full["MIT"], 72))))
+    got = L.scan(spark.createDataFrame(rows, "doc_id long, text string"), licence_model).collect()
+    assert {r["doc_id"]: (r["families"], r["n_confirmed"]) for r in got} == want
+
+
 def test_licence_lines_of_the_corpus(tables, licence_model):
     docs, _ = tables
     notices = {"GNU General Public License, version 3": "GPL-3.0", "Licensed under CC BY-NC 4.0": "CC-BY-NC",
