@@ -11,7 +11,10 @@ split. The two key tables are written to the shared folder between the levels:
 Spark then knows their size and broadcasts them only under its own limit.
 
 Null text counts as empty; rows with a null id keep their row but form no id for
-others; of equal texts the largest id stays; an empty table gives no rows.
+others; of equal texts the largest id stays; an empty table gives no rows. Ids may
+repeat: results are told apart by id and text hash. Of rows with one id and equal
+texts, ``drop_copies`` keeps the one with the smallest text, then with the smallest
+hash of all columns; rows with a null id all stay.
 """
 
 from __future__ import annotations
@@ -36,12 +39,8 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def copy_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """Rows of documents that share their text with another: ``id_col, keep_id, group_size``.
-
-    Documents with no copy are left out, and their whole text is never hashed.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int) -> tuple[DataFrame, DataFrame]:
+    """Rows that passed both counts, as ``id_col, _sha``, and the classes of two rows or more: ``_sha, keep_id, group_size``."""
     rows = only(docs, id_col, text_col).select(F.col(id_col), text_or_empty(text_col).alias("_text"))
     rows = rows.withColumns({
         "_len": F.octet_length("_text"),
@@ -58,6 +57,16 @@ def copy_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # written as well, so that the join shuffles either side for itself and AQE may split a hot class
     groups = _written(hashed.groupBy("_sha").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
                       .filter("group_size > 1"), "dedup-classes")
+    return hashed, groups
+
+
+def copy_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 prefix_chars: int = PREFIX_CHARS) -> DataFrame:
+    """Rows of documents that share their text with another: ``id_col, keep_id, group_size``.
+
+    Documents with no copy are left out, and their whole text is never hashed.
+    """
+    hashed, groups = _classes(docs, id_col, text_col, prefix_chars)
     return hashed.join(groups, "_sha").select(id_col, "keep_id", "group_size")
 
 
@@ -65,13 +74,12 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``id_col, keep_id, group_size, kept, text_sha256``.
 
     The report carries a hash of every text, so this function hashes what the
-    operator did not need to; the classes come from ``copy_classes``. Ids are
-    taken to be unique.
+    operator did not need to, and meets the classes by that hash.
     """
-    copies = copy_classes(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "keep_id", "group_size")
+    groups = _classes(docs, id_col, text_col, PREFIX_CHARS)[1]
     digest = only(docs, id_col, text_col).select(
         F.col(id_col), F.sha2(normalised(text_col), 256).alias("text_sha256"))
-    joined = digest.join(copies, digest[id_col] == copies["_id"], "left")
+    joined = digest.join(groups, F.unhex(digest["text_sha256"]) == groups["_sha"], "left")
     keep = F.coalesce(F.col("keep_id"), F.col(id_col))
     return joined.select(id_col, keep.alias("keep_id"),
                          F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
@@ -80,6 +88,18 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the copies that go, all columns kept."""
-    gone = copy_classes(docs, id_col, text_col).filter(F.col("keep_id") != F.col(id_col)) \
-        .select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    hashed, groups = _classes(docs, id_col, text_col, PREFIX_CHARS)
+    counts = hashed.groupBy(F.col(id_col).alias("_gone"), "_sha").agg(F.count("*").alias("_n"))
+    gone = _written(counts.join(groups, "_sha").filter((F.col("keep_id") != F.col("_gone")) | (F.col("_n") > 1))
+                    .select("_gone", "_sha", (F.col("keep_id") == F.col("_gone")).alias("_repeated")), "dedup-gone")
+    sha = F.unhex(F.sha2(normalised(docs[text_col]), 256))
+    same = lambda pairs: (docs[id_col] == pairs["_gone"]) & (sha == pairs["_sha"])
+    left = docs.join(gone, same(gone), "left_anti")
+    repeated = gone.filter("_repeated")
+    if repeated.isEmpty():
+        return left
+    rows = docs.join(repeated, same(repeated), "left_semi")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    first = rows.groupBy(F.col(f"`{id_col}`").alias("_id"), F.sha2(normalised(F.col(f"`{text_col}`")), 256).alias("_key")) \
+        .agg(F.min_by(F.struct(*cols), F.struct(text_or_empty(F.col(f"`{text_col}`")), F.xxhash64(*cols))).alias("_row"))
+    return left.unionByName(first.select("_row.*"))

@@ -92,3 +92,18 @@ def test_many_copies_are_one_class(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(PROSE).alias("text"))
     got = dedup_report(rows).groupBy("keep_id", "group_size").count().collect()
     assert [tuple(r) for r in got] == [(2999, 3000, 3000)]
+
+
+def test_repeated_rows_and_ids(spark):
+    """Repeated rows, and one id with different texts."""
+    rows = [(1, "same", "b")] * 3 + [(1, "other", "x"), (2, "Same", "c"), (2, "Same", "c"), (2, "same", "d"),
+            (3, "alone", "e"), (3, "alone", "e"), (1, "alone!", "f"), (None, "same", "g"), (None, "same", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra string")
+    got = sorted((r["doc_id"] or 0, r["keep_id"], r["group_size"], r["kept"]) for r in dedup_report(docs).collect())
+    assert got == sorted([(1, 2, 8, False)] * 3 + [(2, 2, 8, True)] * 3 + [(0, 2, 8, False)] * 2
+                         + [(3, 3, 2, True)] * 2 + [(1, 1, 1, True)] * 2)
+    left = drop_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.filter("doc_id IS NOT NULL").collect())) == \
+        [(1, "alone!", "f"), (1, "other", "x"), (2, "Same", "c"), (3, "alone", "e")]
+    assert left.filter("doc_id IS NULL").count() == 2
