@@ -6,8 +6,8 @@ entity e and a term t near it, in how many documents e, t and both occur; the
 share of e's information that t gives away is
     PMI(e; t) / IC(e) = log(n_et N / (n_e n_t)) / log(N / n_e).
 A term that gives away at least ``DISCLOSURE`` of it, seen near e in at least
-``SUPPORT`` different contexts (copies of a passage count once), is a span of
-its own: knowing the term would be nearly knowing the entity. Spans are
+``SUPPORT`` different contexts, in as many different documents (copies count once),
+is a span of its own: knowing the term would be nearly knowing the entity. Spans are
 generalised to the name of their kind in ``sanitise``.
 
 One pass over the texts yields base spans, the terms near them and each task's
@@ -193,13 +193,18 @@ def disclosing(scan: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     """``entity, term`` pairs whose term gives the entity away."""
     rows = scan.filter("key IS NOT NULL")
     n_rows = rows.agg(F.count(F.lit(1)).alias("n_all"))
-    hits = rows.filter(F.size("near") > 0).select(
-        F.struct("id", "key").alias("doc"), F.explode("near").alias("x")) \
-        .select(F.monotonically_increasing_id().alias("no"), F.xxhash64("doc").alias("doc"), "x.entity", "x.term", "x.context")
-    # every near term of a row; copies of a row count as documents of their own
-    pair = hits.groupBy("entity", "term", "context").agg(F.count("*").alias("k")) \
-        .groupBy("entity", "term").agg(F.sum("k").alias("n_et"), F.count("*").alias("contexts")) \
-        .filter(F.col("contexts") >= support)
+    # every row is a document of its own, copies too; its terms and contexts count once
+    hits = rows.filter(F.size("near") > 0).select(F.monotonically_increasing_id().alias("doc"), "near") \
+        .select("doc", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(
+            x["entity"].alias("entity"), x["term"].alias("term"), x["context"].alias("context"))))).alias("x")) \
+        .select("doc", "x.entity", "x.term", "x.context")
+    contexts = hits.groupBy("entity", "term", "context").agg(F.count("*").alias("k")) \
+        .groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= support)
+    # documents with the same contexts are copies: one document with many contexts is one support
+    pair = hits.groupBy("entity", "term", "doc").agg(F.bit_xor("context").alias("all")) \
+        .groupBy("entity", "term", "all").agg(F.count("*").alias("k")) \
+        .groupBy("entity", "term").agg(F.sum("k").alias("n_et"), F.count("*").alias("different")) \
+        .filter(F.col("different") >= support).join(contexts, ["entity", "term"])
     with_entity = rows.filter(F.size("near") > 0) \
         .select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")) \
         .groupBy("entity").agg(F.count("*").alias("n_e"))

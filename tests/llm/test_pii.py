@@ -78,3 +78,12 @@ def test_sanitise(docs):
 
 def test_overlapping_spans_are_one():
     assert pii.generalise("ab12345cd", [(2, 2, 6), (4, 3, 7), (7, 0, 9)]) == "ab[CARD][EMAIL]"
+
+
+def test_occurrences_in_one_document_count_once(spark):
+    """A word beside an address many times in one log is together with it in one document only."""
+    log = " ".join(f"a{i} harmless 10.0.0.1 b{i} c{i} d{i} e{i} f{i} g{i} h{i} i{i}" for i in range(200))
+    rows = [(0, log)] + [(i, f"x{i} 10.0.0.1 y{i}") for i in range(1, 20)]
+    rows += [(i, f"harmless words {i}") for i in range(20, 40)] + [(i, f"nothing {i}") for i in range(40, 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert pii.report(docs).filter("n_term > 0").isEmpty()
