@@ -267,12 +267,18 @@ def extract_entries(entries: DataFrame, out_dir: str) -> DataFrame:
 
     The chunks of one file meet in one task in order and are appended, so a
     file of any size is written with a chunk in memory. Of several entries with
-    one name the last wins, as when an archive is unpacked."""
+    one name in an archive the last counts, as when it is unpacked. A name that
+    several archives hold is written for each of them: below ``out_dir`` for the
+    last archive, and for the others below ``clashes/<hash>-<archive>`` in it."""
     from tessera.sources.sinks import write_chunked_files
     files = entries.where(F.col("entry").isNotNull() & ~F.col("is_dir") & ~F.col("unsafe"))
-    last = files.groupBy("entry").agg(F.max(F.struct("archive", "entry_no")).alias("_last"),
-                                      F.max("error").alias("_error"))
-    files = files.join(last, "entry").where(F.col("_error").isNull() & F.col("content").isNotNull()
-                                            & (F.struct("archive", "entry_no") == F.col("_last")))
+    each = files.groupBy("archive", "entry", "entry_no").agg(F.max("error").alias("_error"))
+    last = each.groupBy("archive", "entry").agg(F.max(F.struct("entry_no", "_error")).alias("_last")) \
+        .where(F.col("_last._error").isNull()).select("archive", "entry", F.col("_last.entry_no").alias("entry_no"))
+    plain = last.groupBy("entry").agg(F.max("archive").alias("_plain"))
+    files = files.join(last, ["archive", "entry", "entry_no"]).join(plain, "entry").where(F.col("content").isNotNull())
+    folder = F.concat(F.lit("clashes/"), F.hex(F.xxhash64("archive")), F.lit("-"),
+                      F.element_at(F.split("archive", "/"), -1), F.lit("/"))
+    path = F.concat(F.when(F.col("archive") == F.col("_plain"), F.lit("")).otherwise(folder), F.col("entry"))
     return cut_lineage(write_chunked_files(
-        files.select(F.col("entry").alias("rel_path"), "chunk_no", "content"), out_dir))
+        files.select(path.alias("rel_path"), "chunk_no", "content"), out_dir))

@@ -274,3 +274,22 @@ def test_delimited_rows_of_a_wrong_width_are_errors(spark, tmpdir_fresh):
         assert sorted(out, key=str) == sorted([([1.0, 2.0], 0, True), (None, None, False), (None, None, False),
                                                ([3.0, 4.0], 1, True)] * 2, key=str)
         assert df.where("error IS NOT NULL").select("label").count() == 4
+
+
+def test_extract_same_name_in_two_archives(spark, tmpdir_fresh):
+    """A broken entry takes no good one of that name with it, in another archive or later in its own."""
+    def archive(*contents):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            for c in contents:
+                zf.writestr("site/index.html", c)
+        raw = buf.getvalue()
+        at = raw.find(b"to be broken")
+        return raw if at < 0 else raw[:at] + b"TO" + raw[at + 2:]  # wrong checksum
+
+    for name, contents in (("a", [b"good a"]), ("b", [b"to be broken"]), ("c", [b"to be broken", b"good c"]),
+                           ("d", [b"old d", b"to be broken"]), ("e", [b"old e", b"good e"])):
+        _write(f"{tmpdir_fresh}/y/{name}.zip", archive(*contents))
+    done = AR.extract_entries(AR.archive_entries(spark, f"{tmpdir_fresh}/y"), f"{tmpdir_fresh}/out").collect()
+    assert sorted(open(r["path"], "rb").read() for r in done) == [b"good a", b"good c", b"good e"]
+    assert open(f"{tmpdir_fresh}/out/site/index.html", "rb").read() == b"good e"
