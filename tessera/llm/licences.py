@@ -254,6 +254,13 @@ def _held(g: Column, name: str | None = None) -> Column:
     return F.array_max(F.array(*map(confirmed, _template_pairs(name))))
 
 
+def _may_hold(block: Column) -> Column:
+    """Whether the lines of a block together hold most pairs of a template (some of which always hold an anchor)."""
+    pairs = _array([v for v in vocabulary() if " " in v], "string")
+    return _let(F.flatten(block), lambda t: _let(grams(t), lambda g: F.when(
+        F.arrays_overlap(g, pairs), _held(g) > 0).otherwise(F.lit(False))))
+
+
 def _template_pairs(name: str | None) -> list[list[str]]:
     return [sorted(set(_pairs(_tokens(t)))) for f, t in TEMPLATES if name in (None, f)]
 
@@ -331,7 +338,7 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
         b, lambda toks: _best(grams(toks), model))))
     empty = F.array().cast("array<struct<rank:int,more:int,first:int,last:int,k:int,p:double>>")
     rows = rows.withColumn("_sure", F.transform("_blocks", lambda b: F.when(
-        _let(grams(F.flatten(b)), lambda g: _held(g)) > 0, _confirmed(b, model)).otherwise(empty)))
+        _may_hold(b), _confirmed(b, model)).otherwise(empty)))
     rows = rows.withColumn("_unsure", F.flatten(F.zip_with("_lines", "_sure", lambda lines, sure: F.filter(
         F.transform(lines, lambda x, i: F.when((x["p"] >= 0.5) & ~F.exists(
             sure, lambda c: (c["first"] <= i) & (i <= c["last"])), x)), lambda x: x.isNotNull())))) \
