@@ -137,3 +137,69 @@ def op8_licences(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.llm.licences import scan
 
     return scan(table(spark, sf, "documents"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@register("op11_lexical_search", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLDED}, '{_TERM}') AS ts FROM documents),
+c AS (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM c),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, s),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all({_FOLDED}, '{_TERM}')) AS term FROM benchmark)),
+m AS (SELECT r, doc_id, 10 + (90 * n * big_n) // big_l AS m FROM c, s),
+x AS (SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score, any_value(doc_id) AS doc_id
+      FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY item_id, r),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+""")
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 11: the ten best documents of every benchmark item."""
+    from tessera.llm.lexical_search import build_index, search
+
+    return search(build_index(table(spark, sf, "documents")), table(spark, sf, "benchmark"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of operator 12, one after the other; every list is unnested to (part, position) rows."""
+    near = ("a{r} AS MATERIALIZED (SELECT vec_id, part, min_by(entry, (d, entry)) AS entry, min(d) AS d FROM (SELECT x.vec_id, x.part, b.entry, "
+            "sum((x.v - b.v) * (x.v - b.v)) AS d FROM x JOIN b{r} b USING (part, pos) GROUP BY x.vec_id, x.part, b.entry) GROUP BY vec_id, part)")
+    mean = ("b{n} AS MATERIALIZED (SELECT part, entry, pos, CASE WHEN c IS NULL THEN v ELSE (s - ((s % c) + c) % c) // c END AS v FROM b{r} LEFT JOIN "
+            "(SELECT part, entry, pos, CAST(sum(v) AS BIGINT) AS s, count(*) AS c FROM x JOIN a{r} USING (vec_id, part) "
+            "GROUP BY part, entry, pos) USING (part, entry, pos))")
+    steps = ",\n".join(near.format(r=r) + ",\n" + mean.format(r=r, n=r + 1) for r in range(rounds))
+    return f"""
+WITH k AS (SELECT vec_id, label, embedding FROM embeddings WHERE embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+u AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding) AS c, len(embedding) // {parts} AS width FROM k),
+x AS MATERIALIZED (SELECT vec_id, i // width AS part, i % width AS pos, CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT) AS v FROM u),
+b0 AS MATERIALIZED (SELECT part, entry, pos, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k) USING (vec_id)
+       WHERE entry < {entries}),
+{steps},
+{near.format(r=rounds)},
+h AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM b{rounds}),
+e AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM e JOIN k USING (vec_id), h
+"""
+
+
+@register("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 12: code and error of every vector."""
+    from tessera.llm.vector_codes import report
+
+    return report(table(spark, sf, "embeddings"))
+
+
+@register("op13_language_id")
+def op13_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator 13: the language of every document."""
+    from tessera.llm.language_id import report
+
+    return report(table(spark, sf, "documents"))
