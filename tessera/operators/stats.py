@@ -38,6 +38,25 @@ def append_stats(stats: DataFrame, path: str) -> None:
     stats.write.mode("append").parquet(path)
 
 
+#: One row per worker and mini-batch
+TRAIN_STATS = ["run", "epoch", "round", "worker", "iteration", "score", "n_rows", "millis"]
+
+
+def append_iterations(epoch_rows: DataFrame, run: str, epoch: int, path: str) -> None:
+    """K5: the workers' rows of one epoch (``epochs.EPOCH_SCHEMA``) appended to the ``train_stats`` table by the tasks that
+    hold them; a second try of the epoch replaces its rows."""
+    rows = epoch_rows.where(F.col("kind") == "iteration").withColumn("run", F.lit(run)).withColumn("epoch", F.lit(epoch))
+    rows.select(*TRAIN_STATS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("run", "epoch").parquet(path)
+
+
+def epoch_scores(iterations: DataFrame) -> DataFrame:
+    """``run, epoch, score, n_rows``: the mean loss of each epoch over all rows its workers saw (partial aggregate)."""
+    seen = F.sum("n_rows")
+    return iterations.groupBy("run", "epoch").agg((F.sum(F.col("score") * F.col("n_rows")) / seen).alias("score"),
+                                                  seen.alias("n_rows"))
+
+
 def counters(df: DataFrame, group_col: str, flag_cols: list[str] | None = None) -> DataFrame:
     """Counts per group, plus ``count_if`` of boolean flags."""
     aggs = [F.count(F.lit(1)).alias("n")]
