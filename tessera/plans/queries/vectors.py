@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import vectors as V
-from tessera.plans.queries._registry import _SQL_COS, _emb, register
-from tessera.session import table
+from tessera.plans.queries._registry import _SQL_COS, ORACLE, _emb, register
+from tessera.session import scratch_path, table
 
 
 # ------------------------------------------------------------------ vectors
@@ -30,6 +30,32 @@ def q_nearest_topk(spark, sf):
                       F.round("score", 6).alias("similarity"))
 
 
+@register("nearest_indexed", ORACLE["nearest_topk"])
+def q_nearest_indexed(spark, sf):
+    """V2: the same neighbours from an inverted-file index with every cell probed (its exact path)."""
+    from tessera.operators import ivf
+    emb = _emb(spark, sf)
+    index = ivf.build(emb, scratch_path(spark, "ivf"))
+    res = ivf.search(index, emb.where(F.col("vec_id") % 20 == 0), k=3, probes=None)
+    return res.select(F.col("query_key").alias("query_id"), F.col("key").alias("neighbor_id"),
+                      F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("similarity"))
+
+
+@register("nearest_indexed_recall", f"""
+WITH q AS (SELECT count(*) AS n FROM embeddings WHERE vec_id % 20 = 0)
+SELECT (SELECT count(*) FROM embeddings) AS n_indexed, 3 * n AS n_exact, true AS recall_at_least_0_9 FROM q
+""")
+def q_nearest_indexed_recall(spark, sf):
+    """V2: rows in the index, and whether the cells it chose to probe find nine of ten exact neighbours."""
+    from tessera.operators import ivf
+    emb = _emb(spark, sf)
+    queries = emb.where(F.col("vec_id") % 20 == 0)
+    index = ivf.build(emb, scratch_path(spark, "ivf"))
+    found = ivf.recall(ivf.search(index, queries, k=3), V.nearest(emb, queries, k=3))
+    return found.select(F.lit(index.table(spark).count()).alias("n_indexed"), "n_exact",
+                        (F.col("recall") >= 0.9).alias("recall_at_least_0_9"))
+
+
 @register("vector_similarity", f"""
 SELECT a.vec_id AS key1, a.vec_id + 1 AS key2,
        round({_SQL_COS.format(a='a.embedding', b='b.embedding')}, 6) AS similarity
