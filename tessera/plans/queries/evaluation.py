@@ -264,7 +264,8 @@ def q_featurize_head(spark, sf):
 
 
 @register("eval_binary", """
-WITH j AS (SELECT l.quality AS label, CASE WHEN l.toxic = 1 THEN 0 ELSE 1 END AS prediction
+WITH j AS (SELECT l.quality AS label, CASE WHEN l.toxic = 1 OR length(d.text) < 100
+                  OR 20 * (length(d.text) - length(translate(d.text, '!|#*$%&<>', ''))) > length(d.text) THEN 0 ELSE 1 END AS prediction
            FROM labels l JOIN documents d USING (doc_id)),
 conf AS (SELECT label, prediction, count(*) AS n FROM j GROUP BY ALL),
 cls AS (SELECT CAST(range AS INTEGER) AS class_id FROM range(2)),
@@ -282,10 +283,13 @@ SELECT class_id, tp, n_label, n_pred, round(precision, 6) AS precision, round(re
        round(f1, 6) AS f1 FROM st3
 """)
 def q_eval_binary(spark, sf):
-    """A1 + A2 on two classes: document quality vs the rule 'not toxic'."""
+    """A1 + A2 on two classes: document quality vs a rule over the whole text (long enough, few symbols, not toxic)."""
     from tessera.operators.evaluate import class_stats, confusion
-    j = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id"), "doc_id")
-    j = j.select(F.col("quality").alias("label"), F.when(F.col("toxic") == 1, 0).otherwise(1).alias("prediction"))
+    n = F.char_length("text")
+    texts = table(spark, sf, "documents").select("doc_id", (
+        (n < 100) | (20 * (n - F.char_length(F.translate("text", "!|#*$%&<>", ""))) > n)).alias("poor"))
+    j = table(spark, sf, "labels").join(texts, "doc_id")
+    j = j.select(F.col("quality").alias("label"), F.when((F.col("toxic") == 1) | F.col("poor"), 0).otherwise(1).alias("prediction"))
     st = class_stats(spark, confusion(j), 2)
     return st.select("class_id", "tp", "n_label", "n_pred",
                      *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])

@@ -81,11 +81,11 @@ FROM embeddings
 def q_labelled_listing(spark, sf):
     """S2 + F1: the PNG files of every embedding row listed recursively with
     an extension whitelist, labelled by class folder, with the seeded order
-    key of their dataset-relative path."""
-    from tessera.sources.files import labelled_files
+    key of their dataset-relative path (a partition per class folder, no driver index)."""
+    from tessera.sources.listing import labelled_listing
 
     root = _embedding_pngs(spark, sf)
-    return labelled_files(spark, root, ["png"], seed=123).select("rel_path", "label_name", "order_key")
+    return labelled_listing(spark, root, ["png"], seed=123).select("rel_path", "label_name", "order_key")
 
 
 @register("image_to_records", """
@@ -111,6 +111,94 @@ def q_image_to_records(spark, sf):
         F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"))
 
 
+@register("image_to_records_custom", """
+WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+           FROM embeddings),
+x AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(vec_id % 5 AS INTEGER) AS label, CAST(vec_id % 5 AS VARCHAR) AS label_name,
+       round(sum(floor((v - mn) / (mx - mn) * 255 + 0.5) / 127.5 - 1), 6) AS feature_sum
+FROM x, r GROUP BY vec_id
+""")
+def q_image_to_records_custom(spark, sf):
+    """The image-folder job with a label rule and a normaliser of the caller's."""
+    from tessera.plans.jobs import images_to_records
+
+    root = _embedding_pngs(spark, sf)
+    rec = images_to_records(spark, root, n_classes=5, channels=1, label=lambda p: L.base_name_label(p).cast("int") % 5,
+                            normalise=lambda c: F.transform(c, lambda x: x / 127.5 - 1))
+    return rec.where(F.col("error").isNull()).select(
+        L.base_name_label("key").cast("bigint").alias("vec_id"), "label", "label_name",
+        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"))
+
+
+_SQL_PIXELS = """
+WITH r AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+           FROM embeddings),
+x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings),
+px AS (SELECT vec_id, label, pos, floor((v - mn) / (mx - mn) * 255 + 0.5) AS p FROM x, r),
+"""
+
+
+@register("image_batches", _SQL_PIXELS + f"""
+small AS (SELECT vec_id, label, (pos // 16) * 4 + (pos % 8) // 2 AS i, avg(p) / 255 AS v FROM px GROUP BY ALL),
+o AS (SELECT vec_id, label, row_number() OVER (ORDER BY {_SQL_U.format(seed=123, key="rel")}, rel) - 1 AS n
+      FROM (SELECT vec_id, label, CAST(label AS VARCHAR) || '/' || CAST(vec_id AS VARCHAR) || '.png' AS rel FROM embeddings)),
+s AS (SELECT n // 20 AS b, sum(v * (n % 20 * 16 + i + 1)) AS c FROM small JOIN o USING (vec_id) GROUP BY 1)
+SELECT CAST(b AS BIGINT) AS batch_id, '[' || CAST(count(*) AS VARCHAR) || ',1,4,4]' AS shape, round(any_value(c), 4) AS checksum,
+       CAST(sum((n % 20 * 10 + o.label + 1)) AS BIGINT) AS label_checksum,
+       string_agg(CAST(vec_id AS VARCHAR), ',' ORDER BY n) AS row_ids
+FROM o JOIN s ON s.b = n // 20 GROUP BY b
+""")
+def q_image_batches(spark, sf):
+    """Image files as batches of tensors, resized to 4 x 4, with one-hot labels; checksums over position and value."""
+    from tessera.sources.images import image_batches
+
+    b = image_batches(spark, _embedding_pngs(spark, sf), batch_size=20, height=4, width=4, channels=1, n_classes=10)
+    weighted = lambda c: F.aggregate(F.transform(c, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return b.select(
+        F.col("batch_id").cast("bigint").alias("batch_id"), F.concat(F.lit("["), F.array_join("shape", ","), F.lit("]")).alias("shape"),
+        F.round(weighted("values"), 4).alias("checksum"), weighted("labels").cast("bigint").alias("label_checksum"),
+        F.array_join(F.transform("paths", lambda p: F.split_part(F.element_at(F.split(p, "/"), -1), F.lit("."), F.lit(1))), ",")
+        .alias("row_ids"))
+
+
+def _fixed_base_and_head():
+    """A frozen 64 -> 10 layer 'fc2' and a 10 -> 10 head, their weights given by a rule that SQL states as well."""
+    from tessera.operators.models import Model
+    k, d = np.arange(10)[:, None], np.arange(64)[None, :]
+    base = Model([{"name": "fc2", "kind": "dense", "activation": "relu", "n_in": 64, "n_out": 10, "frozen": True},
+                  {"name": "predictions", "kind": "output", "activation": "softmax", "n_in": 10, "n_out": 10}],
+                 [{"W": ((k + 1) * (d + 1) % 7 - 3) / 50.0, "b": np.zeros(10)}, {"W": np.eye(10), "b": np.zeros(10)}], (64,), "base")
+    c = np.arange(10)
+    head = Model([{"name": "output", "kind": "output", "activation": "softmax", "n_in": 10, "n_out": 10}],
+                 [{"W": ((c[:, None] + 2 * c[None, :]) % 5 - 2) / 10.0, "b": c / 100.0}], (10,), "head")
+    return base, head
+
+
+@register("predict_images", _SQL_PIXELS + """
+k AS (SELECT unnest(range(10)) AS k),
+h AS (SELECT vec_id, label, k, greatest(sum((((k + 1) * (pos + 1)) % 7 - 3) / 50.0 * (p - 127.5)), 0) AS a
+      FROM px, k GROUP BY vec_id, label, k),
+z AS (SELECT vec_id, h.label, c.k AS c, sum(((c.k + 2 * h.k) % 5 - 2) / 10.0 * a) + c.k / 100.0 AS z
+      FROM h, k AS c GROUP BY vec_id, h.label, c.k),
+p AS (SELECT *, row_number() OVER w AS rn, 1 / sum(exp(z - mz)) OVER (PARTITION BY vec_id) AS top
+      FROM (SELECT *, max(z) OVER (PARTITION BY vec_id) AS mz FROM z) WINDOW w AS (PARTITION BY vec_id ORDER BY z DESC, c))
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(label AS VARCHAR) AS label_name, CAST(c AS INTEGER) AS prediction,
+       CAST(c AS VARCHAR) AS predicted_name, round(top, 5) AS max_prob
+FROM p WHERE rn = 1
+""")
+def q_predict_images(spark, sf):
+    """I1 + I2 + P7 over image files: mean subtraction, the frozen base's features, a head's classes next to the folder's."""
+    from tessera.plans.jobs import predict_images
+
+    base, head = _fixed_base_and_head()
+    pred = predict_images(spark, _embedding_pngs(spark, sf), base, "fc2", head, 10, 8, 8, 1, means=[127.5])
+    return pred.where(F.col("error").isNull()).select(
+        L.base_name_label("path").cast("bigint").alias("vec_id"), "label_name", "prediction", "predicted_name",
+        F.round(F.array_max("scores"), 5).alias("max_prob"))
+
+
 @register("archive_entries", """
 SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) || '/' || CAST(page_id AS VARCHAR) || '.html'
          AS entry,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import labels as L
 from tessera.functions import strings as S
-from tessera.plans.queries._registry import register
+from tessera.plans.queries._registry import ORACLE, register
 from tessera.session import table
 
 
@@ -101,6 +101,20 @@ def q_manifest_skip_existing(spark, sf):
     return skip_existing(plan, existing, on="target_path").select("page_id", "target_path")
 
 
+@register("manifest_skip_stored", ORACLE["manifest_skip_existing"])
+def q_manifest_skip_stored(spark, sf):
+    """F3 over a stored, bucketed list of what is present (kept between runs; here it is written first)."""
+    import uuid
+
+    from tessera.sources.files import SMALL_FILE_BYTES, skip_existing_stored
+    from tessera.sources.sinks import save_bucketed
+    plan = _manifest_plan(spark, sf)
+    pages = table(spark, sf, "pages").select("page_id", F.octet_length("html").alias("length"))
+    existing = plan.join(pages.where(F.col("length") >= SMALL_FILE_BYTES), "page_id").select("target_path")
+    stored = save_bucketed(existing, f"present_{uuid.uuid4().hex[:12]}", "target_path", 8)
+    return skip_existing_stored(plan, stored).select("page_id", "target_path")
+
+
 @register("small_items", """
 SELECT 'page' AS kind, page_id AS item_id, CAST(strlen(html) AS BIGINT) AS size, strlen(html) < 10240 AS is_small
 FROM pages
@@ -137,17 +151,15 @@ def q_extension_counts(spark, sf):
 SELECT file_name, url, class_index, class_dir, local_name, target_path FROM targets
 """)
 def q_manifest_files(spark, sf):
-    """S13 over files: one manifest file per host, written line by line (a hot
-    host is one long file, never held whole), then read and planned."""
+    """S13 over files: one manifest per host, written as part files of bounded length (a hot host is many), then read and
+    planned."""
     from tessera.session import scratch_path
-    from tessera.sources.manifest import read_manifest
-    from tessera.sources.sinks import write_chunked_files
+    from tessera.sources.manifest import read_manifest, write_manifest
 
     p = table(spark, sf, "pages").select("page_id", "url")
-    lines = p.select(F.concat(S.url_host("url"), F.lit(".txt")).alias("rel_path"), F.col("page_id").alias("chunk_no"),
-                     F.encode(F.concat(F.col("page_id").cast("string"), F.lit("  "), F.col("url"), F.lit("\n")), "UTF-8")
-                     .alias("content"))
+    lines = p.select(F.concat(S.url_host("url"), F.lit(".txt")).alias("file_name"),
+                     F.concat(F.col("page_id").cast("string"), F.lit("  "), F.col("url")).alias("value"))
     root = scratch_path(spark, "manifests")
-    write_chunked_files(lines, root).write.format("noop").mode("overwrite").save()
-    return read_manifest(spark, root, MANIFEST_ROOT).select(
+    write_manifest(lines, root, rows_per_part=200)
+    return read_manifest(spark, root, MANIFEST_ROOT, in_parts=True).select(
         "file_name", "url", "class_index", "class_dir", "local_name", "target_path")

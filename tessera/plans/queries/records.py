@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.operators import sampling as SM
-from tessera.plans.queries._registry import _SQL_UE, _emb, _long_form, register
+from tessera.plans.queries._registry import _SQL_UE, ORACLE, _emb, _long_form, register
 from tessera.session import table
 
 
@@ -178,9 +178,27 @@ def q_saved_batches(spark, sf):
         F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 6).alias("checksum"))
 
 
+@register("numbered_batches", ORACLE["saved_batches"])
+def q_numbered_batches(spark, sf):
+    """K2 + S10/S11: the test split as files numbered from 0, one per batch, read back in the order of the numbers by planned
+    partitions."""
+    from tessera.session import scratch_path
+    from tessera.sources.listing import read_numbered, save_numbered
+
+    e = _emb(spark, sf).select("vec_id", "label", A.as_double_array("embedding").alias("features"))
+    test = SM.split_train_test(e, "label", "vec_id", 80, seed=13).where(F.col("split") == "test")
+    folder = scratch_path(spark, "numbered")
+    save_numbered(SM.minibatches(test, "vec_id", 20, seed=123).select("vec_id", "label", "features", "batch_id"), folder, "object-test-")
+    back = read_numbered(spark, folder, "object-test-", "vec_id bigint, label int, features array<double>, batch_id bigint")
+    weighted = F.transform("features", lambda v, i: v * (i + 1))
+    return back.select("vec_id", "label", "batch_id", F.size("features").alias("n_features"),
+                       F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 6).alias("checksum"))
+
+
 @register("predict_text_lines", """
-WITH x AS (SELECT CAST(l_linenumber - 1 AS INTEGER) AS label, l_quantity AS q FROM lineitem),
-z AS (SELECT label, q, k, 0.1 * k * q - 0.35 * k * k AS z FROM x, (SELECT unnest(range(7)) AS k)),
+WITH x AS (SELECT CAST(l_linenumber - 1 AS INTEGER) AS label, CAST(l_quantity AS DOUBLE) * 0.07
+                  + CAST(l_extendedprice AS DOUBLE) * 0.00002 + CAST(l_discount AS DOUBLE) * 3 + CAST(l_tax AS DOUBLE) * 5 AS q FROM lineitem),
+z AS (SELECT label, q, k, k * q - 0.35172931234 * k * k AS z FROM x, (SELECT unnest(range(7)) AS k)),
 p AS (SELECT label, arg_max(k, z) AS prediction, q, count(*) // 7 AS n FROM z GROUP BY label, q)
 SELECT label, CAST(prediction AS INTEGER) AS prediction, CAST(prediction AS VARCHAR) AS predicted_name,
        CAST(sum(n) AS BIGINT) AS n
@@ -200,9 +218,8 @@ def q_predict_text_lines(spark, sf):
     table(spark, sf, "lineitem").select(F.concat_ws(
         ",", *[F.col(c).cast("string") for c in cols], (F.col("l_linenumber") - 1).cast("string"))).write.text(path)
     head = Model.build([{"kind": "output", "activation": "softmax", "n_out": 7, "name": "output"}], (4,))
-    w = np.zeros((7, 4))
-    w[:, 0] = 0.1 * np.arange(7)
-    head.params = [{"W": w, "b": -0.35 * np.arange(7.0) ** 2}]
+    w = np.arange(7.0)[:, None] * np.array([0.07, 0.00002, 3.0, 5.0])[None, :]  # every feature counts
+    head.params = [{"W": w, "b": -0.35172931234 * np.arange(7.0) ** 2}]
     pred = predict_text_lines(spark, path, head, n_classes=7, expected_width=5)
     return pred.where(F.col("error").isNull()).groupBy("label", "prediction", "predicted_name") \
                .agg(F.count(F.lit(1)).alias("n"))

@@ -4,8 +4,10 @@ Archives are listed with ``binaryFile`` (no bytes read on the driver) and
 opened by executors through ``pyarrow.fs`` (local, HDFS, S3, GCS paths).
 An index pass reads only directories / headers; entry bytes are then read
 in offset order by tasks that each own a range of one archive, so one huge
-zip or tar is many tasks and each opens it once. Gzip-compressed tars are
-streamed, one task per archive. An entry of any size is read whole, in rows of
+zip or tar is many tasks and each opens it once. A gzip-compressed tar of several
+gzip members (as written by appending or by block-wise compressors) is entered at
+its members: the index pass notes where each begins, and tasks own ranges of
+members. One of a single member cannot be entered and is streamed by one task. An entry of any size is read whole, in rows of
 at most ``CHUNK_BYTES`` each (``chunk_no`` 0, 1, ...), so no task holds more
 than a few chunks. The format is detected from the content, not the name (a
 ``.tar.gz`` named ``.tar`` still works). Absolute entry names or names holding
@@ -14,8 +16,10 @@ than a few chunks. The format is detected from the content, not the name (a
 
 from __future__ import annotations
 
+import re
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -67,23 +71,98 @@ def _kind(fh) -> str:
     return "tgz"  # let tarfile try its other compressions on the streaming path
 
 
+# a gzip member's header: magic, deflate, flags, time, extra flags, system; chance alone makes one in about 100 GB
+_MEMBER = re.compile(rb"\x1f\x8b\x08[\x00-\x1f].{4}[\x00\x02\x04][\x00-\x0d\xff]", re.S)
+_READ = 1 << 20
+_KEPT_MEMBERS = 1 << 16
+
+
+def may_have_members(fh) -> bool:
+    """Whether a member header stands anywhere after the first one (a search of the compressed bytes, nothing unpacked)."""
+    fh.seek(1)
+    tail = b""
+    while data := fh.read(_READ):
+        if _MEMBER.search(tail + data):
+            fh.seek(0)
+            return True
+        tail = (tail + data)[-9:]
+    fh.seek(0)
+    return False
+
+
+class MemberReader:
+    """The unpacked bytes of a gzip file from the member that begins at ``start``; notes each member it enters as
+    (compressed start, unpacked start)."""
+
+    def __init__(self, fh, start: int = 0, position: int = 0):
+        fh.seek(start)
+        self._fh, self._in, self._out, self._at = fh, b"", b"", start
+        self._z = None
+        self.position = position  # unpacked bytes before what ``read`` gives next
+        self.members: list[tuple[int, int]] = []
+
+    def _more(self) -> bool:
+        if not self._in:
+            self._in = self._fh.read(_READ)
+            if not self._in:
+                if self._z is not None:
+                    raise EOFError("gzip member breaks off")
+                return False
+        if self._z is None:
+            self._in = self._in.lstrip(b"\0") if self.members else self._in  # padding between members
+            if not self._in:
+                return self._more()
+            self._z = zlib.decompressobj(31)
+            self.members.append((self._fh.tell() - len(self._in), self.position + len(self._out)))
+        self._out += self._z.decompress(self._in, _READ)
+        self._in = self._z.unconsumed_tail
+        if self._z.eof:
+            self._in, self._z = self._z.unused_data, None
+        return True
+
+    def read(self, size: int = -1) -> bytes:
+        while (size < 0 or len(self._out) < size) and self._more():
+            pass
+        out = self._out if size < 0 else self._out[:size]
+        self._out = self._out[len(out):]
+        self.position += len(out)
+        return out
+
+    def skip_to(self, position: int) -> None:
+        while self.position < position and self.read(min(_READ, position - self.position)):
+            pass
+
+    def member_of(self, position: int) -> tuple[int, int]:
+        """(compressed start, unpacked start) of the member that holds an unpacked position, or of the last one entered."""
+        return next((m for m in reversed(self.members) if m[1] <= position), self.members[-1])
+
+
 def iter_index(path: str) -> Iterator[tuple]:
     """Entries of one archive without their bytes: (archive, entry, is_dir,
-    size, unsafe, entry_no, kind, offset). Zip: central directory; plain tar:
-    headers, skipping content by seeking; compressed tar: streamed (kind 'tgz',
+    size, unsafe, entry_no, kind, offset, at, member_at). Zip: central directory; plain tar:
+    headers, skipping content by seeking; gzip of several members: headers while
+    unpacking (kind 'members': offset of the member where the content begins, the
+    content's unpacked position, and the member's); other compressed tars: streamed (kind 'tgz',
     offset -1: content cannot be reached without reading what comes before)."""
     with _open(path) as fh:
         kind = _kind(fh)
         if kind == "zip":
             for i, info in enumerate(zipfile.ZipFile(fh).infolist()):
                 yield (path, info.filename, info.is_dir(), int(info.file_size), _unsafe(info.filename), i, kind,
-                       int(info.header_offset))
+                       int(info.header_offset), 0, 0)
         elif kind == "tar":
             with tarfile.open(fileobj=fh, mode="r:") as tf:
                 for i, m in enumerate(tf):
-                    yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), i, kind, int(m.offset_data))
+                    yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), i, kind, int(m.offset_data), 0, 0)
+        elif fh.read(2) == b"\x1f\x8b" and may_have_members(fh):
+            source = MemberReader(fh)
+            with tarfile.open(fileobj=source, mode="r|") as tf:
+                for i, m in enumerate(tf):
+                    source.members = source.members[-_KEPT_MEMBERS:]  # a position is at most a block behind
+                    offset, member_at = source.member_of(int(m.offset_data))
+                    yield (path, m.name, m.isdir(), int(m.size), _unsafe(m.name), i, "members", offset, int(m.offset_data), member_at)
         else:
-            yield (path, None, None, None, None, 0, kind, -1)
+            yield (path, None, None, None, None, 0, kind, -1, 0, 0)
 
 
 def _chunks(fh, size: int | None = None) -> Iterator[bytes]:
@@ -133,16 +212,24 @@ def _range_entries(path: str, kind: str, part: pd.DataFrame, with_content: bool)
     try:
         zf = zipfile.ZipFile(fh) if kind == "zip" else None
         by_offset = {i.header_offset: i for i in zf.infolist()} if zf is not None else {}
+        reader: MemberReader | None = None
 
         def content(r):
             if not with_content or r.is_dir:
                 return None
             if zf is not None:  # by its own header, so entries of one name stay apart
                 return _chunks(zf.open(by_offset[int(r.offset)]))
+            if kind == "members":
+                nonlocal reader
+                if reader is None or reader.position > r.at:
+                    # the member's own first position is not known here, nor needed: only the way on from it
+                    reader = MemberReader(fh, int(r.offset), int(r.member_at))
+                reader.skip_to(int(r.at))
+                return _chunks(reader, int(r.size))
             fh.seek(int(r.offset))
             return _chunks(fh, int(r.size))
 
-        for r in part.sort_values("offset").itertuples(index=False):
+        for r in part.sort_values(["offset", "at"]).itertuples(index=False):
             head = (path, r.entry, bool(r.is_dir), int(r.size), bool(r.unsafe), int(r.entry_no))
             yield from _entry_rows(head, lambda: content(r))
     finally:
@@ -163,6 +250,7 @@ def _batches(rows_iter, columns, rows_per_batch: int = 1024, bytes_per_batch: in
 
 _INDEX_SCHEMA = T.StructType([f for f in ENTRY_SCHEMA.fields if f.name not in ("chunk_no", "content", "error")]
                              + [T.StructField("kind", T.StringType()), T.StructField("offset", T.LongType()),
+                                T.StructField("at", T.LongType()), T.StructField("member_at", T.LongType()),
                                 T.StructField("error", T.StringType())])
 _NO_ENTRY = (None, None, None, None)
 
@@ -174,8 +262,8 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True)
 
     (1) Index every archive without reading entry bytes (zip central directory,
     tar headers); (2) give each task ranges of ``RANGE_BYTES`` of an archive and
-    read the entries in them by seeking. Gzip-compressed tars cannot be entered
-    at an offset; they are streamed by one task each.
+    read the entries in them by seeking. Gzip-compressed tars of one member cannot
+    be entered at an offset; they are streamed by one task each.
     """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
                     .select("path", "length"))
@@ -194,14 +282,14 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True)
                 for r in iter_index(path):
                     yield (*r, None)
             except Exception as e:  # noqa: BLE001 - a broken archive is a row
-                yield (path, *_NO_ENTRY, 0, None, -1, f"{type(e).__name__}: {e}")
+                yield (path, *_NO_ENTRY, 0, None, -1, 0, 0, f"{type(e).__name__}: {e}")
         for pdf in batches:
             for path in pdf["path"]:
                 yield from _batches(rows(path), _INDEX_SCHEMA.names)
 
     # the index (no entry bytes) is used three times below: cut it once to the shared checkpoint folder
     idx = cut_lineage(listing.mapInPandas(index, _INDEX_SCHEMA))
-    seekable = idx.where(F.col("kind").isin("zip", "tar") & F.col("entry").isNotNull())
+    seekable = idx.where(F.col("kind").isin("zip", "tar", "members") & F.col("entry").isNotNull())
     streamed = idx.where(F.col("kind") == "tgz").select("archive").distinct()
     broken = idx.where(F.col("error").isNotNull()).select(
         "archive", "entry", "is_dir", "size", "unsafe", "entry_no", F.lit(0).cast("long").alias("chunk_no"),
@@ -228,7 +316,7 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True)
                 yield from _batches(rows(path), ENTRY_SCHEMA.names)
 
     stream_rows = streamed.repartition(n, F.xxhash64("archive")).mapInPandas(stream, ENTRY_SCHEMA)
-    # (gzip tars: one streaming task per archive, spread like the listing)
+    # (gzip tars of one member: one streaming task per archive, spread like the listing)
     return seek_rows.unionByName(stream_rows).unionByName(broken)
 
 

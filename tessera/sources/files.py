@@ -66,3 +66,10 @@ def skip_existing(plan: DataFrame, existing: DataFrame, on: str = "target_path",
     ex = existing.select(F.col(existing_col).alias(on)).where(F.col(on).isNotNull()).distinct()
     keyed = plan.where(F.col(on).isNotNull()).join(ex, on=on, how="left_anti")
     return keyed.unionByName(plan.where(F.col(on).isNull()))
+
+
+def skip_existing_stored(plan: DataFrame, existing: DataFrame, on: str = "target_path") -> DataFrame:
+    """F3 against a table stored by ``sinks.save_bucketed`` on ``on``: the stored side is neither shuffled nor
+    de-duplicated (an anti join needs no distinct keys), only the plan's rows move to its buckets."""
+    keyed = plan.where(F.col(on).isNotNull()).join(existing.select(on), on=on, how="left_anti")
+    return keyed.unionByName(plan.where(F.col(on).isNull()))

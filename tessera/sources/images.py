@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.labels import parent_dir_label
+from tessera.functions.labels import base_name, parent_dir_label
 
 _FEATURES = T.ArrayType(T.DoubleType())
 
@@ -205,7 +205,8 @@ def image_batches(spark: SparkSession, folder: str, batch_size: int, height: int
     batches: one row per batch with the tensor ``[rows, channels, height,
     width]`` (row-major ``values``), the one-hot label matrix (row-major),
     the label names, and the paths in row order. Rows are ordered by a
-    seeded hash of the path (T2) and batched by the scalable global index
+    seeded hash of the class folder and file name (T2), so a dataset keeps its
+    batches wherever it is stored, and batched by the scalable global index
     (T3); undecodable images and labels outside the class range are left
     out of the tensors and kept in the ``error`` column of
     ``labelled_images``."""
@@ -219,7 +220,8 @@ def image_batches(spark: SparkSession, folder: str, batch_size: int, height: int
     if scale:
         ok = ok.withColumn("features", scale_pixels("features"))
     ok = ok.withColumn("onehot", one_hot("label", n_classes))
-    b = minibatches(ok, "path", batch_size, seed=seed)
+    ok = ok.withColumn("rel_path", F.concat_ws("/", parent_dir_label("path"), base_name("path")))
+    b = minibatches(ok, "rel_path", batch_size, seed=seed)
     items = F.struct("row_in_batch", "features", "onehot", "label_name", "path")
     g = b.groupBy("batch_id").agg(F.array_sort(F.collect_list(items)).alias("_it"))  # <= batch_size rows
     return g.select(

@@ -38,7 +38,24 @@ def parse_manifest(lines: DataFrame, root: str, file_col: str = "file_name", lin
     return df
 
 
-def read_manifest(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    """Read every manifest file of ``folder`` (one file = one class)."""
-    lines = spark.read.text(folder).select(F.col("_metadata.file_name").alias("file_name"), "value")
+def write_manifest(lines: DataFrame, folder: str, file_col: str = "file_name", line_col: str = "value",
+                   rows_per_part: int = 1_000_000) -> None:
+    """Write manifest lines as one sub-folder per manifest file, of part files with at most about ``rows_per_part`` lines.
+
+    A manifest holding a third of all lines is many part files of as many tasks; small ones are a single part. Lines keep no order
+    within a manifest (a class is a set of URLs)."""
+    parts = lines.groupBy(file_col).agg(F.ceil(F.count(F.lit(1)) / rows_per_part).cast("int").alias("_parts"))
+    dealt = lines.select(file_col, line_col).join(parts, file_col) \
+        .withColumn("_part", F.pmod(F.xxhash64(line_col), F.col("_parts")))
+    dealt.repartition(file_col, "_part").select(F.col(line_col).alias("value"), F.col(file_col).alias("file_name")) \
+        .write.partitionBy("file_name").option("maxRecordsPerFile", rows_per_part).text(folder)
+
+
+def read_manifest(spark: SparkSession, folder: str, root: str, in_parts: bool = False) -> DataFrame:
+    """Read every manifest of ``folder``: one file = one class, or with ``in_parts`` one sub-folder of part files as
+    ``write_manifest`` leaves them."""
+    if in_parts:
+        lines = spark.read.schema("value string, file_name string").text(folder)
+    else:
+        lines = spark.read.text(folder).select(F.col("_metadata.file_name").alias("file_name"), "value")
     return parse_manifest(lines, root)

@@ -92,8 +92,9 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], n_features: i
     ``label_index`` defaults to the last column. ``skip_lines`` drops the
     first lines of each file (like a header). Output: features ARRAY<DOUBLE>,
     label INT (+ label_onehot when ``n_classes``) and ``error``: a row with too
-    few cells (or an empty last one) or with cells too many is kept, with the
-    reason and without features or label. ``strict`` makes a cell that is no number an error of the job."""
+    few cells (or an empty last one), with cells too many, with a cell that is no
+    number or a label outside the classes is kept, with the reason and without
+    features or label, as in ``parse_lines``. ``strict`` makes such a cell an error of the job."""
     width = n_features + 1
     label_index = width - 1 if label_index is None else label_index
     # one column more than a record has: what lands there is a cell too many
@@ -115,11 +116,19 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], n_features: i
                .drop("_file", "_first", "_row", "_row0")
     feat_cols = [f"c{i}" for i in range(width) if i != label_index]
     many, few = F.col(f"c{width}").isNotNull(), F.col(f"c{width - 1}").isNull()
-    bad = many | few
+    feats = [coerce(F.trim(F.col(c)), "double", strict) for c in feat_cols]
+    label = coerce(F.trim(F.col(f"c{label_index}")), "int", strict)
     error = F.when(many, F.lit(f"more than {width} cells")).when(few, F.lit(f"fewer than {width} cells"))
-    out = df.select(
-        F.when(~bad, F.array(*[coerce(F.trim(F.col(c)), "double", strict) for c in feat_cols])).alias("features"),
-        F.when(~bad, coerce(F.trim(F.col(f"c{label_index}")), "int", strict)).alias("label"), error.alias("error"))
+    if not strict:
+        bad_cell = label.isNull()
+        for c in feats:
+            bad_cell = bad_cell | c.isNull()
+        error = error.when(bad_cell, F.lit("non-numeric cell"))
+        if n_classes is not None:
+            error = error.when((label < 0) | (label >= n_classes), F.lit("label out of range"))
+    out = df.select("*", error.alias("error"))
+    ok = F.col("error").isNull()
+    out = out.select(F.when(ok, F.array(*feats)).alias("features"), F.when(ok, label).alias("label"), "error")
     if n_classes is not None:
-        out = out.withColumn("label_onehot", F.when(F.col("error").isNull(), one_hot("label", n_classes)))
+        out = out.withColumn("label_onehot", F.when(ok, one_hot("label", n_classes)))
     return out

@@ -293,3 +293,11 @@ def test_extract_same_name_in_two_archives(spark, tmpdir_fresh):
     done = AR.extract_entries(AR.archive_entries(spark, f"{tmpdir_fresh}/y"), f"{tmpdir_fresh}/out").collect()
     assert sorted(open(r["path"], "rb").read() for r in done) == [b"good a", b"good c", b"good e"]
     assert open(f"{tmpdir_fresh}/out/site/index.html", "rb").read() == b"good e"
+
+
+def test_read_delimited_bad_cells_are_error_rows(spark, tmpdir_fresh):
+    _write(f"{tmpdir_fresh}/c/a.csv", b"1,2,0\n1,x,0\n1,2,y\n3,4,9\n5,,1\n5,6,1.5\n")
+    got = [tuple(r) for r in TX.read_delimited(spark, f"{tmpdir_fresh}/c", 2, n_classes=3).select("features", "label", "error").collect()]
+    bad = "non-numeric cell"
+    assert sorted(got, key=str) == sorted([([1.0, 2.0], 0, None), (None, None, bad), (None, None, bad), (None, None, "label out of range"),
+                                           (None, None, bad), (None, None, bad)], key=str)
