@@ -13,13 +13,14 @@ from tessera.operators.sampling import running_totals
 
 
 def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
-    """A1 (sparse): ``(label, prediction, n)`` for every observed pair."""
-    return (df.where(F.col(label_col).isNotNull() & F.col(pred_col).isNotNull())
-              .groupBy(F.col(label_col).cast("int").alias("label"), F.col(pred_col).cast("int").alias("prediction"))
-              .agg(F.count(F.lit(1)).alias("n")))
+    """A1 (sparse): ``(label, prediction, n)`` for every observed pair. A row that has only one of the two is counted with
+    ``OUT_OF_RANGE`` for the other; a row with neither (a bad record) is no example."""
+    known = lambda c, name: F.coalesce(F.col(c).cast("int"), F.lit(OUT_OF_RANGE)).alias(name)
+    return (df.where(F.col(label_col).isNotNull() | F.col(pred_col).isNotNull())
+              .groupBy(known(label_col, "label"), known(pred_col, "prediction")).agg(F.count(F.lit(1)).alias("n")))
 
 
-#: class id that stands for every label or prediction outside 0..n_classes-1
+#: class id that stands for every missing label or prediction and every one outside 0..n_classes-1
 OUT_OF_RANGE = -1
 
 
@@ -99,7 +100,7 @@ def running_eval(df: DataFrame, batch_col: str = "batch_id", label_col: str = "l
     scalable prefix sum (no whole-table window)."""
     per = df.groupBy(batch_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
-        F.sum((F.col(label_col) == F.col(pred_col)).cast("long")).cast("bigint").alias("correct"))
+        F.count_if(F.col(label_col) == F.col(pred_col)).cast("bigint").alias("correct"))
     cum = running_totals(per, batch_col, ["n", "correct"])
     return cum.withColumn("cum_accuracy", F.col("cum_correct") / F.col("cum_n"))
 

@@ -66,3 +66,12 @@ def test_out_of_range_classes_stay_counted(spark):
     assert cells == {(0, 0): 6, (0, 1): 0, (1, 0): 3, (1, 1): 0, (-1, 1): 90, (1, -1): 1}
     with pytest.raises(Exception, match="out of range"):
         E.confusion_wide(conf, 2).collect()
+
+
+def test_rows_without_a_label_or_prediction_are_counted(spark):
+    from tessera.operators import evaluate as E
+    df = spark.createDataFrame([(0, 0), (0, None), (1, 1), (None, 1), (None, None)], "label int, prediction int")
+    conf = {(r["label"], r["prediction"]): r["n"] for r in E.confusion(df).collect()}
+    assert conf == {(0, 0): 1, (0, -1): 1, (1, 1): 1, (-1, 1): 1}
+    stats = {r["class_id"]: (r["tp"], r["n_label"], r["n_pred"]) for r in E.class_stats(spark, E.confusion(df), 2).collect()}
+    assert stats[0] == (1, 2, 1) and stats[1] == (1, 1, 2)
