@@ -13,15 +13,16 @@ one of the family's templates. Of confirmed paragraphs that overlap, the one tha
 holds most pairs counts, then the one of fewest lines, then the first; a line inside
 a confirmed run is no paragraph of its own.
 
-Every line is scored. Runs are scored in blocks (lines between blank lines) that
+Every line that holds words is scored (rules and bullets are not, and do not part a run). Runs are scored in blocks (lines between blank lines) that
 hold most pairs of some template, as no run of another block can be confirmed; a run
-goes on until it has ``RUN_WORDS`` words, however short its lines are.
+goes on until it has ``RUN_WORDS`` words, so it has no more lines than that.
 
 Scoring is expressions over the rows of the table: no shuffle, no Python. Every
 feature holds an anchor word (a template word that is no function word); a text
 without one has no features at all, so its paragraphs are unknown without being
-scored. Training takes a bounded sample (``SAMPLE_DOCS`` documents) next to the
-templates. Null and empty texts have no paragraphs; very long ones are scored
+scored. Training takes a bounded sample next to the templates: ``SAMPLE_LINES`` lines
+of each of ``SAMPLE_DOCS`` texts, picked by hash, so the model is the same however the
+table is partitioned. Null and empty texts have no paragraphs; very long ones are scored
 whole; copies and ties get equal results; an empty table gives no rows.
 """
 
@@ -30,13 +31,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.text import NON_SPACE_CLASS, only, text_or_empty
 
-#: documents whose paragraphs serve as examples of no licence
-SAMPLE_DOCS = 400
+#: documents whose paragraphs serve as examples of no licence, and lines taken of each
+SAMPLE_DOCS, SAMPLE_LINES = 400, 8
 #: varied copies made of each template
 VARIANTS = 24
 #: share of a template's word pairs that confirms a prediction
@@ -197,31 +198,46 @@ def training_rows(docs: DataFrame, text_col: str = "text", sample_docs: int = SA
         .withColumn("t", F.when(F.col("v") % 2 == 1, F.concat(filler, F.col("t"))).otherwise(F.col("t")))
     fixed = _literal_rows(spark, [(0, k, t) for k, t in enumerate(OTHER)]) \
         .select("label", "k", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("v"), words(F.col("text")).alias("t"))
-    lines = docs.select(F.explode(F.split(text_or_empty(text_col), BLANK_LINES)).alias("block")) \
-        .select("block", F.explode(F.split("block", "\n")).alias("text"))
     # lines of the corpus that hold half the pairs of a template may be notices and teach nothing about others
-    lines = lines.limit(sample_docs * 8).select(F.lit(0).alias("label"), F.xxhash64("text").alias("k"), F.lit(0).alias("v"),
-                                                words(F.col("text")).alias("t"), words(F.col("block")).alias("block"))
-    lines = lines.filter(F.size("t") > 0)
-    # so may lines with template pairs in a block that holds half a template: pieces of a wrapped notice
-    notice = lambda t: _let(grams(t), lambda g: reduce(lambda a, b: a | b, [
+    # (words and grams are bound to a name wherever a lambda reads them, or they would be made anew for every element)
+    once = lambda t: _let(t, lambda x: grams(x))
+    notice = lambda t: _let(once(t), lambda g: F.when(F.arrays_overlap(g, pairs), reduce(lambda a, b: a | b, [
         F.size(F.array_intersect(g, _array(p, "string"))) >= 0.5 * len(p) for p in (_pairs(_tokens(t)) for _, t in TEMPLATES)]))
+        .otherwise(F.lit(False)))
     pairs = _array([v for v in vocabulary() if " " in v], "string")
-    lines = lines.filter(~F.when(F.arrays_overlap(grams(F.col("t")), pairs), notice(F.col("t")) | notice(F.col("block")))
-                         .otherwise(F.lit(False))).drop("block")
+    # so may lines with template pairs in a block that holds half a template: pieces of a wrapped notice
+    blocks = sample_texts(docs, text_col, sample_docs) \
+        .select("doc", F.explode(F.split("text", BLANK_LINES)).alias("block")) \
+        .select("doc", F.split("block", "\n").alias("lines"), notice(words(F.col("block"))).alias("piece"))
+    lines = blocks.select("doc", "piece", F.explode("lines").alias("text")) \
+        .select("doc", "piece", F.xxhash64("text").alias("k"), words(F.col("text")).alias("t"))
+    lines = lines.filter((F.size("t") > 0) & ~(notice(F.col("t")) | (F.col("piece") & F.arrays_overlap(once(F.col("t")), pairs)))) \
+        .dropDuplicates(["doc", "k"])
+    first = Window.partitionBy("doc").orderBy("k")
+    lines = lines.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_LINES) \
+        .select(F.lit(0).alias("label"), "k", F.lit(0).alias("v"), "t")
     rows = known.select("label", F.col("k").cast("long"), "v", "t") \
         .unionByName(fixed.withColumn("k", F.col("k").cast("long"))).unionByName(lines)
-    return rows.select("label", F.array_intersect(grams(F.col("t")), _array(vocabulary(), "string")).alias("present"),
+    return rows.select("label", F.array_intersect(once(F.col("t")), _array(vocabulary(), "string")).alias("present"),
                        F.pmod(F.hash("label", "k", "v"), F.lit(3)).alias("part"))
 
 
+def sample_texts(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """``doc, text`` of the ``sample_docs`` distinct texts of smallest hash: the hashes are picked first, then the texts of
+    those alone are read, so the pick depends on nothing but the texts."""
+    hashed = only(docs, text_col).select(text_or_empty(text_col).alias("text")).withColumn("doc", F.xxhash64("text"))
+    picked = [r["doc"] for r in hashed.select("doc").distinct().orderBy("doc").limit(sample_docs).collect()]
+    return hashed.filter(F.col("doc").isin(picked)).dropDuplicates(["doc"])
+
+
 def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Train on two thirds of the rows and calibrate on the rest (both bounded)."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
     names, vocab = [NONE, *families()], vocabulary()
-    rows = training_rows(docs, text_col, sample_docs).coalesce(4).cache()
+    # one bounded partition in one order: the same weights however the table is partitioned
+    rows = training_rows(docs, text_col, sample_docs).repartition(1).sortWithinPartitions("label", "part", "present").cache()
     try:
         dense = F.transform(_array(vocab, "string"), lambda g: F.array_contains("present", g).cast("double"))
         data = rows.filter("part < 2").select(F.col("label").cast("double"), array_to_vector(dense).alias("features"))
@@ -288,12 +304,12 @@ def _judged(toks: Column, model: Model) -> Column:
 def _runs(lines: Column, first: Column) -> Column:
     """Words of the runs of lines that begin at line ``first`` (from 0): of the line alone, with the next line, and so on.
 
-    A longer run needs only the end of its first line and the beginning of the others.
+    A longer run needs only the end of its first line and the beginning of the others, and every line holds a word.
     """
     tail = lambda t: F.when(F.size(t) > RUN_WORDS, F.slice(t, -RUN_WORDS, RUN_WORDS)).otherwise(t)
     line = F.get(lines, first)
     rest = F.aggregate(
-        F.slice(lines, first + 2, F.size(lines)), F.array(tail(line)),
+        F.slice(lines, first + 2, 2 * RUN_WORDS), F.array(tail(line)),
         lambda acc, x: F.when(F.size(F.element_at(acc, -1)) >= 2 * RUN_WORDS, acc).otherwise(
             F.concat(acc, F.array(F.concat(F.element_at(acc, -1), F.slice(x, 1, RUN_WORDS))))))
     return F.concat(F.array(line), F.slice(rest, 2, 1 << 30))
@@ -333,7 +349,8 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
                        F.arrays_overlap(words(F.col("_text")), _array(anchors(), "string")).alias("_any"))
     none = F.array().cast("array<array<array<string>>>")
     rows = rows.withColumn("_blocks", F.when(F.col("_any"), F.transform(
-        filled(F.split("_text", BLANK_LINES)), lambda b: F.transform(filled(F.split(b, "\n")), words))).otherwise(none))
+        filled(F.split("_text", BLANK_LINES)), lambda b: F.filter(
+            F.transform(filled(F.split(b, "\n")), words), lambda t: F.size(t) > 0))).otherwise(none))
     rows = rows.withColumn("_lines", F.transform("_blocks", lambda b: F.transform(
         b, lambda toks: _best(grams(toks), model))))
     empty = F.array().cast("array<struct<rank:int,more:int,first:int,last:int,k:int,p:double>>")
