@@ -8,9 +8,10 @@ whole example fills is filled with the head of the largest one left.
 
 Scale: a document's full-length pieces are sequences of their own and leave the
 task without their ids; only remainders, shorter than one sequence, are
-shuffled, to groups by a hash of the id. The number of groups follows the rows
-and bytes, so a group stays bounded at any size; only its last sequence is
-padded. Ids are 16-bit on the way where the vocabulary allows it.
+shuffled, to groups by a hash of id and text, so that rows of one id spread too.
+The number of groups follows the rows and bytes, so a group stays bounded at any
+size; only its last sequence is padded. Examples of equal vectors are one class,
+and the heuristic looks at classes, so a group of many short rows is cheap to pack. Ids are 16-bit on the way where the vocabulary allows it.
 
 Null text is empty (its one id is the end mark); every row is packed, copies
 and ties each on their own; rows are ordered by (size, id, hash), so the result
@@ -32,17 +33,30 @@ from tessera.llm.text import bounded_batches, only, single_threaded_tokenizers,
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
-MAX_SEGMENTS = 256
+#: pieces of one sequence; as many as tokens, as the shortest text has one token (its end mark)
+MAX_SEGMENTS = 4096
 END_ID = 2
 #: aims for one packing group; both only set how many groups there are
 GROUP_BYTES = 6 << 20
-GROUP_ROWS = 8192
-#: words remembered by a Python worker (a speed-up only)
+GROUP_ROWS = 131_072
+#: words remembered by a Python worker (a speed-up only), and the longest word that is
 CACHE = 700_000
+CACHED_CHARS = 64
 
 
 # ------------------------------------------------------------------ tokens
 
+class _Either(dict):
+    """A batch's long words; every other word comes from the cache."""
+
+    def __init__(self, cache: dict[str, bytes], own: dict[str, bytes]):
+        super().__init__(own)
+        self._cache = cache
+
+    def __missing__(self, word: str) -> bytes:
+        return self._cache[word]
+
+
 class WordBpe:
     """Ids of a text by the ``tokenizers`` library, word by word through a bounded cache.
 
@@ -100,6 +114,9 @@ class WordBpe:
             known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)], strict=True))
         known[""] = b""
         out = {w: known[a] + known[b] for w, a, b in plain}
+        for p in new:
+            if len(p) > CACHED_CHARS:
+                del known[p]
         for w, e in zip(odd, self._full.encode_batch(odd, add_special_tokens=False)):
             out[w] = np.array(e.ids, self.kind).tobytes()
         return out
@@ -112,7 +129,10 @@ class WordBpe:
         if missing:
             if len(cache) + len(missing) > self._limit:
                 self._words = cache = {w: cache[w] for w in words.difference(missing)}
-            cache.update(self._learn(sorted(missing)))
+            new = self._learn(sorted(missing))
+            cache.update({w: ids for w, ids in new.items() if len(w) <= CACHED_CHARS})
+            cache = _Either(cache, {w: ids for w, ids in new.items() if len(w) > CACHED_CHARS}) \
+                if any(len(w) > CACHED_CHARS for w in missing) else cache
         get = cache.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -132,49 +152,59 @@ def pack_vectors(items: np.ndarray, capacity: np.ndarray, cut: bool = False) ->
     """Bins of (item, start, length) under every limit of ``capacity``.
 
     ``items``: one row (tokens, segments, loss tokens) each, none above the
-    capacity. Ties go to the first row. With ``cut`` a bin that no whole item
+    capacity. Ties go to the vector that comes first, and in it to the first row. With ``cut`` a bin that no whole item
     fits takes the head of the largest one left; this needs every token of an
     item to weigh alike in the loss.
     """
-    size = items.astype(float)
     scale = capacity.astype(float)
-    rest = items.astype(np.int64).copy()
     start = np.zeros(len(items), np.int64)
-    open_ = np.ones(len(items), bool)
+    # a class: a vector, and the rows that have it, first row last
+    vectors, of = np.unique(items.astype(np.int64), axis=0, return_inverse=True) if len(items) else (items, np.zeros(0, int))
+    queues: list[list[int]] = [[] for _ in range(len(vectors))]
+    for i in range(len(items) - 1, -1, -1):
+        queues[of.ravel()[i]].append(i)
+    order = sorted(range(len(queues)), key=lambda c: queues[c][-1])
+    rest, queues = vectors[order].astype(np.int64), [queues[c] for c in order]
+    size = rest / scale
     bins: list[list[tuple[int, int, int]]] = []
     left, placed = len(items), []
     room = capacity.astype(np.int64).copy()
-    size = rest / scale
 
-    def place(i: int, n: int) -> None:
-        nonlocal left
-        whole = n == rest[i, 0]
-        loss = rest[i, 2] if whole else -(-rest[i, 2] * n // rest[i, 0])
-        placed.append((int(i), int(start[i]), int(n)))
-        room[:] -= (n, 1 if not whole else rest[i, 1], loss)
-        if whole:
-            open_[i] = False
-            left -= 1
-        else:
-            start[i] += n
-            rest[i] -= (n, 0, loss)
-            size[i] = rest[i] / scale
+    def drop(c: int) -> None:
+        """Forget a class that has no rows left."""
+        nonlocal rest, size
+        rest, size = np.delete(rest, c, axis=0), np.delete(size, c, axis=0)
+        del queues[c]
 
     while left:
-        fits = open_ & (rest <= room).all(axis=1)
+        fits = (rest <= room).all(axis=1)
         if fits.any():
-            along = np.where(fits, size @ (room / scale), -1.0)
-            place(int(along.argmax()), int(rest[along.argmax(), 0]))
+            c = int(np.where(fits, size @ (room / scale), -1.0).argmax())
+            i, vector = queues[c].pop(), rest[c]
+            placed.append((i, int(start[i]), int(vector[0])))
+            room -= vector
+            left -= 1
+            if not queues[c]:
+                drop(c)
             continue
         n = int(room[0])
         if cut and n > 0 and room[1] > 0 and room[2] > 0:
-            i = int(np.where(open_, rest[:, 0], -1).argmax())
-            share = rest[i, 2] / rest[i, 0]
-            n = min(n, int(rest[i, 0]) - 1, int(room[2] / share) if share else n)
-            while n > 0 and -(-rest[i, 2] * n // rest[i, 0]) > room[2]:
+            c = int(rest[:, 0].argmax())
+            tokens, segments, loss = (int(x) for x in rest[c])
+            share = loss / tokens
+            n = min(n, tokens - 1, int(room[2] / share) if share else n)
+            while n > 0 and -(-loss * n // tokens) > room[2]:
                 n -= 1
             if n > 0:
-                place(i, n)
+                i, taken = queues[c].pop(), -(-loss * n // tokens)
+                placed.append((i, int(start[i]), n))
+                room -= (n, 1, taken)
+                start[i] += n
+                if not queues[c]:
+                    drop(c)
+                tail = np.array([[tokens - n, segments, loss - taken]], np.int64)  # what is left: a class of its own, first
+                rest, size = np.concatenate([tail, rest]), np.concatenate([tail / scale, size])
+                queues.insert(0, [i])
                 continue
         bins.append(placed)
         placed = []
@@ -266,7 +296,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.concat_tables([a, b])
 
     names = [id_col, *[c.split()[0] for c in _PIECES.split(", ")]]
-    group = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(n_groups))
+    group = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_col), F.lit(n_groups))
     pieces = rows.withColumn("_group", group).mapInArrow(
         tokens, f"`{id_col}` {id_type}, _group long, _start long, _n long, _crc long, _total long, _ids binary, _wide int")
     return pieces.groupBy("_group").applyInArrow(pack, f"`{id_col}` {id_type}, {_PIECES}")
@@ -303,5 +333,6 @@ def pack_examples(items: DataFrame, id_col: str, tokens_col: str, loss_col: str,
                 o += n
         return pd.DataFrame({id_col: pdf[id_col], "sequence_id": seq, "offset": off})
 
-    rows = rows.withColumn("_group", F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(n_groups)))
+    of = F.xxhash64(F.col(f"`{id_col}`").cast("string"), "_t", "_s", "_l")
+    rows = rows.withColumn("_group", F.pmod(of, F.lit(n_groups)))
     return rows.groupBy("_group").applyInPandas(pack, f"`{id_col}` {id_type}, sequence_id long, offset long")

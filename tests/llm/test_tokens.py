@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm.byte_bpe import RANKS, ByteBpe, decode, encode, round_trip
@@ -114,3 +115,43 @@ def test_examples_keep_whole_and_odd_ones_stay_apart(spark):
             seqs[r["sequence_id"]].append(size[r["k"]])
     assert sum(map(len, seqs.values())) == 100
     assert all((np.sum(v, axis=0) <= [64, 4, 9]).all() for v in seqs.values())
+
+
+def test_short_texts_leave_little_padding(spark):
+    """One-word documents fill their sequences, and rows of one id (or none) are spread over the groups."""
+    rows = [(7, f"{w}") for w in ("house", "river", "", None) for _ in range(6000)]
+    packed = pack_documents(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("sequence_id") \
+        .agg(F.sum("length").alias("n")).collect()
+    total = sum(r["n"] for r in packed)
+    assert 1 - total / (4096 * len(packed)) < 0.1 and max(r["n"] for r in packed) == 4096  # only last sequences are short
+    docs = spark.createDataFrame([(1, f"{i} " * 400) for i in range(300)] + [(None, f"n{i} " * 400) for i in range(300)],
+                                 "doc_id long, text string")
+    import tessera.llm.packing as P
+    group = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(8))
+    assert docs.select(group.alias("g")).distinct().count() == 8
+    assert P.GROUP_ROWS > 100_000
+
+
+def test_classes_of_equal_vectors_keep_every_row():
+    rng = np.random.default_rng(4)
+    items = np.stack([n := rng.integers(1, 40, 3000), np.ones_like(n), n], axis=1)
+    capacity = np.array([100, 30, 100])
+    for cut in (False, True):
+        bins = pack_vectors(items, capacity, cut=cut)
+        seen = defaultdict(int)
+        for placed in bins:
+            assert sum(n for _, _, n in placed) <= 100 and len(placed) <= 30
+            for i, start, n in placed:
+                assert start == seen[i]
+                seen[i] += n
+        assert all(seen[i] == items[i, 0] for i in range(3000))
+        assert len(bins) <= 1.02 * items[:, 0].sum() / 100 + 2
+
+
+def test_long_words_are_encoded_but_not_kept():
+    bpe = WordBpe(WORD_PATH)
+    words = ["x" * 5000, "Q9" * 4000, "short", "(" + "y" * 300 + ")"]
+    got = bpe.encode_batch([" ".join(words), "short " + words[0]])
+    assert [np.frombuffer(g, bpe.kind).tolist() for g in got] == [
+        FULL.encode(t, add_special_tokens=False).ids for t in (" ".join(words), "short " + words[0])]
+    assert all(len(w) <= 64 for w in (*bpe._words, *bpe._letters))
