@@ -2,18 +2,23 @@
 
 Base spans (email, ip, card, phone) are found by fixed patterns. Every distinct
 value is a protected entity. From the whole corpus the operator counts, for an
-entity e and a term t near it, in how many documents e, t and both occur; the
-share of e's information that t gives away is
-    PMI(e; t) / IC(e) = log(n_et N / (n_e n_t)) / log(N / n_e).
-A term that gives away at least ``DISCLOSURE`` of it, seen near e in at least
-``SUPPORT`` different contexts, in as many different documents (copies count once),
-is a span of its own: knowing the term would be nearly knowing the entity. Spans are
-generalised to the name of their kind in ``sanitise``.
-
-One pass over the texts yields base spans, the terms near them and each task's
-document counts per term (64-bit hashes, a table of bounded size that is written
-out when full); it is written to the shared folder, and all that follows are
-joins and partial aggregates over its small rows. Null and empty texts have no
+entity e and a term t near it, in how many documents e, t and both occur (of
+documents with the same words around e, copies, one counts). The share of e's
+information that t gives away is
+    PMI(e; t) / IC(e) = log(P(e|t) N / n_e) / log(N / n_e),   P(e|t) = n_et / (n_t + ``PRIOR``),
+an estimate from below: for an entity of one document, a term of that document
+alone is one of two, not of one. A term that gives away at least ``DISCLOSURE`` of it
+is told: knowing the term would be nearly knowing the entity. Every occurrence of
+a told term, in any document, is a span, generalised like the others to the name
+of its kind in ``sanitise``.
+
+The first pass over the texts yields base spans, the terms near them and each
+task's document counts per term (64-bit hashes, a table of bounded size that is
+written out when full); it is written to the shared folder, and the statistics are
+joins and partial aggregates over its small rows. The second pass looks for the
+told terms: a Bloom filter of them (``BLOOM_BITS``, 2 MiB whatever their number) is
+broadcast and spares the rows of nearly all other words; what it lets through is
+joined with the table of told terms, so the result is exact. Null and empty texts have no
 spans; rows are told apart by id and text hash, so repeated ids and null ids are
 safe; copies get the same spans; an empty table gives no rows.
 """
@@ -33,8 +38,11 @@ from tessera.session import scratch_path
 KINDS = ("email", "ip", "card", "phone", "term")
 #: share of an entity's information that a term may not reach
 DISCLOSURE = 0.9
-#: different contexts in which the term must stand near the entity
-SUPPORT = 3
+#: occurrences of a term without the entity that are taken as given
+PRIOR = 1.0
+#: different documents in which the term must stand near the entity
+SUPPORT = 1
+BLOOM_BITS = 1 << 24
 #: words on either side of an entity that are looked at
 NEAR = 6
 MIN_TERM = 3
@@ -95,18 +103,24 @@ def _term(word: str) -> str:
     return w if len(w) >= MIN_TERM and "@" not in w and not _DIGIT.search(w) else ""
 
 
+def _merged(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """(start, end) of the spans, overlapping ones merged."""
+    taken: list[list[int]] = []
+    for a, _, b in spans:
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    return taken
+
+
 def terms_near(text: str, spans: list[tuple[int, int, int]], near: int = NEAR) -> list[tuple[str, str, int, int, str]]:
     """(entity, term, start, end, context) for the terms within ``near`` words of each base span."""
     if not spans:
         return []
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     starts, ends = [a for a, _ in words], [b for _, b in words]
-    taken: list[list[int]] = []  # the spans, overlapping ones merged
-    for a, _, b in spans:
-        if taken and a < taken[-1][1]:
-            taken[-1][1] = max(taken[-1][1], b)
-        else:
-            taken.append([a, b])
+    taken = _merged(spans)
     firsts = [a for a, _ in taken]
     out = []
     for a, kind, b in spans:
@@ -193,39 +207,111 @@ def disclosing(scan: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     """``entity, term`` pairs whose term gives the entity away."""
     rows = scan.filter("key IS NOT NULL")
     n_rows = rows.agg(F.count(F.lit(1)).alias("n_all"))
-    # every row is a document of its own, copies too; its terms and contexts count once
+    # every row is a document of its own; its terms and contexts count once
     hits = rows.filter(F.size("near") > 0).select(F.monotonically_increasing_id().alias("doc"), "near") \
         .select("doc", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(
             x["entity"].alias("entity"), x["term"].alias("term"), x["context"].alias("context"))))).alias("x")) \
         .select("doc", "x.entity", "x.term", "x.context")
-    contexts = hits.groupBy("entity", "term", "context").agg(F.count("*").alias("k")) \
-        .groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= support)
-    # documents with the same contexts are copies: one document with many contexts is one support
+    # documents with the same contexts are copies
     pair = hits.groupBy("entity", "term", "doc").agg(F.bit_xor("context").alias("all")) \
-        .groupBy("entity", "term", "all").agg(F.count("*").alias("k")) \
-        .groupBy("entity", "term").agg(F.sum("k").alias("n_et"), F.count("*").alias("different")) \
-        .filter(F.col("different") >= support).join(contexts, ["entity", "term"])
+        .select("entity", "term", "all").distinct() \
+        .groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
     with_entity = rows.filter(F.size("near") > 0) \
         .select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")) \
         .groupBy("entity").agg(F.count("*").alias("n_e"))
     with_term = scan.filter("key IS NULL").groupBy("term").agg(F.sum("docs").alias("n_t"))
     known = pair.join(with_entity, "entity").join(with_term, "term")
-    n_all = n_rows.first()["n_all"]
-    ic = F.log2(F.lit(float(max(1, n_all))) / F.col("n_e"))
-    both = F.least("n_et", "n_e", "n_t")
-    pmi = F.log2(both * F.lit(float(max(1, n_all))) / (F.col("n_e") * F.col("n_t")))
+    n_all = F.lit(float(max(1, n_rows.first()["n_all"])))
+    ic = F.log2(n_all / F.col("n_e"))
+    pmi = F.log2(F.least("n_et", "n_e", "n_t") / (F.col("n_t") + PRIOR) * n_all / F.col("n_e"))
     return known.filter((ic > 0) & (pmi >= disclosure * ic)).select("entity", "term")
 
 
+def _bit_places(h, bits: int):
+    """Two places of a 64-bit hash in a filter of ``bits`` bits (a power of two); works on numbers and arrays."""
+    return h & (bits - 1), (h >> 32) & (bits - 1)
+
+
+def bloom(terms: DataFrame, bits: int = BLOOM_BITS):
+    """A bit table of ``term`` hashes; at most ``bits`` / 64 rows reach the driver."""
+    import numpy as np
+
+    places = F.array(*[p.alias("p") for p in (F.col("term").bitwiseAND(F.lit(bits - 1)),
+                                              F.shiftright("term", 32).bitwiseAND(F.lit(bits - 1)))])
+    words = terms.select(F.explode(places).alias("p")) \
+        .select((F.col("p") / 8).cast("long").alias("byte"), F.expr("shiftleft(1, cast(pmod(p, 8) AS int))").alias("bit")) \
+        .groupBy("byte").agg(F.bit_or("bit").alias("bits")) \
+        .groupBy(F.floor(F.col("byte") / 4096).alias("page")).agg(F.collect_list(F.struct("byte", "bits")).alias("held"))
+    table = np.zeros(bits // 8, np.uint8)
+    for row in words.collect():
+        for x in row["held"]:
+            table[x["byte"]] = x["bits"]
+    return table
+
+
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
+    """``id, key, term, start, end`` of every occurrence of the told ``terms`` outside the base spans."""
+    import pyarrow as pa
+
+    table = bloom(terms)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    rows = only(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    found_t = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        filled, bits = shared.value, BLOOM_BITS
+
+        def candidate(word: str) -> int | None:
+            t = _term(word)
+            if not t:
+                return None
+            h = xxhash.xxh3_64_intdigest(t.encode())
+            if all(filled[p >> 3] >> (p & 7) & 1 for p in _bit_places(h, bits)):
+                return h - (1 << 64) if h >> 63 else h
+            return None
+
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(strings(b.column(1))):
+                told = {w: h for w in set(text.split()) if (h := candidate(w)) is not None}
+                if not told:
+                    continue
+                taken = _merged(base_spans(text))
+                firsts, here = [a for a, _ in taken], []
+                for m in _WORD.finditer(text):
+                    h = told.get(m[0])
+                    if h is None:
+                        continue
+                    x, y = m.span()
+                    k = bisect_left(firsts, y) - 1
+                    if k < 0 or taken[k][1] <= x:
+                        x += len(m[0]) - len(m[0].lstrip(_OUTER))
+                        here.append({"term": h, "start": x, "end": x + len(m[0].strip(_OUTER))})
+                if here:
+                    at.append(i)
+                    out.append(here)
+            pick = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(2).take(pick), pa.array(out, found_t)],
+                                             names=["id", "key", "found"])
+
+    schema = f"id {rows.schema[0].dataType.simpleString()}, key long, found array<struct<term:long,start:int,end:int>>"
+    maybe = bounded_batches(rows).mapInArrow(run, schema).select("id", "key", F.explode("found").alias("x")) \
+        .select("id", "key", "x.term", "x.start", "x.end")
+    return maybe.join(terms, "term", "left_semi")
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE,
          support: int = SUPPORT, near: int = NEAR) -> DataFrame:
     """One row per document: ``id, key`` (text hash), ``base`` and ``spans`` (start, kind, end), sorted."""
     scan = _write(_scan(docs, id_col, text_col, near), "scan")
     rows = scan.filter("key IS NOT NULL")
-    told = _write(disclosing(scan, disclosure, support), "told")
-    added = rows.filter(F.size("near") > 0).select("id", "key", F.explode("near").alias("x")) \
-        .select("id", "key", F.col("x.entity").alias("entity"), F.col("x.term").alias("term"), "x.start", "x.end") \
-        .join(told, ["entity", "term"]) \
+    told = _write(disclosing(scan, disclosure, support).select("term").distinct(), "told")
+    if told.isEmpty():
+        return rows.select("id", "key", "base", F.sort_array("base").alias("spans"))
+    added = _occurrences(docs, id_col, text_col, told) \
         .groupBy("id", "key").agg(F.collect_set(F.struct(
             "start", F.lit(KINDS.index("term")).alias("kind"), "end")).alias("added"))
     added = added.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "added")

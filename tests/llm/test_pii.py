@@ -87,3 +87,27 @@ def test_occurrences_in_one_document_count_once(spark):
     rows += [(i, f"harmless words {i}") for i in range(20, 40)] + [(i, f"nothing {i}") for i in range(40, 2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert pii.report(docs).filter("n_term > 0").isEmpty()
+
+
+def test_a_told_term_is_marked_in_every_document(spark):
+    """An entity of one document, and one of two: their own words disclose them, also where the entity is not named."""
+    rows = [(0, "quixotl reach me@rare.example zorblat"), (1, "about Zorblat, and nothing else"), (2, "x pair@two.example fendrik"),
+            (3, "y9 pair@two.example Fendrik here"), (4, "z fendrik! alone")]
+    rows += [(10 + i, f"reach here about nothing and alone else {i}") for i in range(70000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r for r in pii.report(docs).filter("doc_id < 10 OR n_term > 0").collect()}
+    terms = {i: [s.split(":")[1:] for s in r["spans"].split(",") if s.startswith("term")] for i, r in got.items()}
+    text = dict(rows)
+    assert {i: [text[i][int(a):int(b)] for a, b in v] for i, v in terms.items()} == {
+        0: ["quixotl", "zorblat"], 1: ["Zorblat"], 2: ["fendrik"], 3: ["Fendrik"], 4: ["fendrik"]}
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).filter("doc_id < 10").collect()}
+    assert out[1] == "about [TERM], and nothing else" and out[0] == "[TERM] reach [EMAIL] [TERM]"
+
+
+def test_bloom_finds_every_term(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    terms = [int(x) for x in rng.integers(-(1 << 63), (1 << 63) - 1, 3000)]
+    table = pii.bloom(spark.createDataFrame([(t,) for t in terms], "term long"), 1 << 16)
+    held = lambda h: all(table[p >> 3] >> (p & 7) & 1 for p in pii._bit_places(h % (1 << 64), 1 << 16))
+    assert all(map(held, terms)) and sum(map(held, range(0, 1 << 62, 1 << 50))) < 400
