@@ -289,11 +289,13 @@ def main_text(html: str, w: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame, html_col: str = "html", n_pages: int = TRAIN_PAGES) -> dict[str, float]:
-    """Weights from ``n_pages`` labelled pages, the first by a hash of their html."""
-    rows = pages.select(F.col(f"`{html_col}`").alias("h")) \
-        .filter(F.col("h").rlike("(?i)<article") & (F.char_length("h") <= TRAIN_CHARS))
-    picked = rows.select(F.xxhash64("h").alias("x"), "h").orderBy("x").limit(n_pages).collect()
-    return train([r["h"] for r in picked])
+    """Weights from ``n_pages`` different labelled pages, the first by a hash of their html: the hashes are picked first, and
+    only the pages of those travel to the driver."""
+    rows = pages.select(F.col(f"`{html_col}`").alias("h")).filter(F.char_length("h") <= TRAIN_CHARS) \
+        .filter(F.col("h").rlike("(?i)<article")).withColumn("x", F.xxhash64("h"))
+    picked = [r["x"] for r in rows.select("x").distinct().orderBy("x").limit(n_pages).collect()]
+    found = rows.filter(F.col("x").isin(picked)).groupBy("x").agg(F.min("h").alias("h")).collect() if picked else []
+    return train([r["h"] for r in sorted(found, key=lambda r: r["x"])])
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None, id_col: str = "page_id", url_col: str = "url",
