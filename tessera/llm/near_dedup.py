@@ -48,6 +48,7 @@ DISTANCE = CHUNKS * (ERRORS + 1) - 1
 SET_TILE, SIGNATURE_TILE = 512, 4096
 #: rows aimed at in one task of tiles
 TILE_ROWS = 4096
+TILES_A_ROW = 256
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -359,7 +360,12 @@ def _across(groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """
     import pyarrow as pa
 
-    rows = _tiled(groups.join(classes.select("rep", "sig", "n"), "rep"), "key", SIGNATURE_TILE)
+    # a member's places in tiles are put in one row (of at most ``TILES_A_ROW`` sides of each of its keys), so that its signature
+    # joins it once, not once per key
+    tiles = _tiled(groups, "key", SIGNATURE_TILE).withColumn("part", F.floor(F.greatest("i", "j") / TILES_A_ROW))
+    members = tiles.groupBy("rep", "comp", "family", "part").agg(F.collect_list(F.struct("g", "key", "i", "j", "side")).alias("at"))
+    rows = members.join(classes.select("rep", "sig", "n"), "rep") \
+        .select("rep", "comp", "family", "n", "sig", F.explode("at").alias("x")).select("*", "x.*").drop("x")
 
     def compare(key, table):
         rep, comp, family, size, k = (table[c].to_numpy() for c in ("rep", "comp", "family", "n", "key"))
