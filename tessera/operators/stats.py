@@ -3,7 +3,7 @@ A7 (best entry), A8 (counters)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.constants import (REPORT_EPOCH_WIDTH, REPORT_HEADER_LEFT, REPORT_HEADER_LEFT_WIDTH,
@@ -57,6 +57,13 @@ def epoch_scores(iterations: DataFrame) -> DataFrame:
                                                   seen.alias("n_rows"))
 
 
+def observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
+    """Aggregates counted in flight: ``df``, and an ``Observation`` whose ``get`` holds ``measures`` once an action has run
+    over it. The job that writes the rows counts them; there is no job for the counts."""
+    seen = Observation(name)
+    return df.observe(seen, *[c.alias(n) for n, c in measures.items()]), seen
+
+
 def counters(df: DataFrame, group_col: str, flag_cols: list[str] | None = None) -> DataFrame:
     """Counts per group, plus ``count_if`` of boolean flags."""
     aggs = [F.count(F.lit(1)).alias("n")]

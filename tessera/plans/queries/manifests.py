@@ -115,6 +115,21 @@ def q_manifest_skip_stored(spark, sf):
     return skip_existing_stored(plan, stored).select("page_id", "target_path")
 
 
+@register("observed_counts", _SQL_MANIFEST + """
+SELECT count(*) AS n_lines, count(target_path) AS n_targets, CAST(max(class_index) + 1 AS BIGINT) AS n_classes FROM targets
+""")
+def q_observed_counts(spark, sf):
+    """Lines, targets and classes of the download plan, counted while it is written."""
+    from tessera.operators.stats import observed
+    from tessera.session import scratch_path
+    plan, seen = observed(_manifest_plan(spark, sf), "plan", n_lines=F.count(F.lit(1)), n_targets=F.count("target_path"),
+                          n_classes=(F.max("class_index") + 1).cast("long"))
+    plan.write.parquet(scratch_path(spark, "plan"))
+    counts = seen.get
+    return spark.createDataFrame([tuple(counts[c] for c in ("n_lines", "n_targets", "n_classes"))],
+                                 "n_lines long, n_targets long, n_classes long")
+
+
 @register("small_items", """
 SELECT 'page' AS kind, page_id AS item_id, CAST(strlen(html) AS BIGINT) AS size, strlen(html) < 10240 AS is_small
 FROM pages

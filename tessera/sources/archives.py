@@ -272,7 +272,7 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True)
         cond = cond | F.lower(F.col("path")).endswith(suffix)
     listing = listing.where(cond)
     # archives are few rows but heavy work: one task each, up to the shuffle width
-    n_archives = listing.count()
+    n_archives, total = listing.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_archives))
     listing = listing.repartition(n, F.xxhash64("path"))
 
@@ -301,8 +301,8 @@ def archive_entries(spark: SparkSession, folder: str, with_content: bool = True)
                 yield from _batches(_range_entries(path, kind, part, with_content), ENTRY_SCHEMA.names)
 
     seekable = seekable.withColumn("range", F.floor(F.col("offset") / RANGE_BYTES))
-    ranges = seekable.select("archive", "range").distinct().count()
-    seek_rows = (seekable.repartition(max(1, min(ranges, 1 << 16)), F.xxhash64("archive", "range"))
+    # as many tasks as the archives have ranges, known from the listing
+    seek_rows = (seekable.repartition(max(n, -(-int(total) // RANGE_BYTES)), F.xxhash64("archive", "range"))
                          .sortWithinPartitions("archive", "range", "offset").mapInPandas(fetch, ENTRY_SCHEMA))
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
