@@ -148,3 +148,9 @@ def test_licence_lines_of_the_corpus(tables, licence_model):
 def test_licence_features_need_an_anchor(licence_model):
     known = set(L.anchors())
     assert all(known & set(g.split()) for g in licence_model.weights)
+
+
+def test_licence_model_is_the_same_however_the_table_is_partitioned(tables, licence_model):
+    assert L.fit(tables[0].repartition(5)) == licence_model
+    texts = [r["text"] for r in L.sample_texts(tables[0], sample_docs=20).collect()]
+    assert len(texts) == 20 == len(set(texts))
