@@ -25,6 +25,7 @@ are written by the tasks and never gathered on the driver.
 from __future__ import annotations
 
 import base64
+import re
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -190,7 +191,19 @@ def exchange_for(folder: str):
 
 def slots(spark, wanted: int) -> int:
     """Tasks of the barrier stage: a worker each, but not more than run at once."""
-    return max(1, min(wanted, spark.sparkContext.defaultParallelism))
+    sc = spark.sparkContext
+    local = re.match(r"local(?:-cluster)?\[(\d+)(?:,\s*(\d+))?", sc.master)
+    cores = int(local[1]) * int(local[2] or 1) if local and sc.master.startswith("local-cluster") else \
+        int(local[1]) if local else sc.defaultParallelism
+    return max(1, min(wanted, cores, sc.defaultParallelism))
+
+
+def barrier_ready(spark) -> bool:
+    """Whether a barrier stage can be had, with a known number of slots: not under dynamic allocation, nor where a default
+    parallelism of the user's hides how many tasks a cluster runs at once."""
+    given = spark.conf.get("spark.default.parallelism", None) is not None
+    return spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() != "true" and \
+        (spark.sparkContext.master.startswith("local") or not given)
 
 
 def barrier_epoch(table: DataFrame, optimiser: Optimiser, flat: np.ndarray, mom: np.ndarray, rates: list[list[float]],

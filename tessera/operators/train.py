@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from tessera.constants import (AVERAGING_FREQUENCY_DEFAULT, BATCH_SIZE_DEFAULT, INIT_SEED_DEFAULT, L2_DEFAULT,
                                LEARNING_RATE_SCHEDULE, MAX_EPOCHS_DEFAULT, MAX_MINUTES_DEFAULT, PATIENCE_DEFAULT)
-from tessera.operators.epochs import CHUNK, Optimiser, assembled, barrier_epoch, exchange_for
+from tessera.operators.epochs import CHUNK, Optimiser, assembled, barrier_epoch, barrier_ready, exchange_for
 from tessera.operators.models import Model
 from tessera.operators.sampling import group_offsets, hash_uniform, rank_within_groups
 from tessera.session import scratch_path
@@ -83,9 +83,7 @@ class TrainConfig:
         return Optimiser(model.layers, model.shapes(), model.input_dims, self.momentum, self.nesterov, self.l2)
 
     def epoch_plan(self, spark: SparkSession) -> str:
-        """Barrier stages are not to be had under dynamic allocation."""
-        dynamic = spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true"
-        return "rounds" if dynamic else self.plan
+        return self.plan if barrier_ready(spark) else "rounds"
 
     def rate(self, iteration: int) -> float:
         if isinstance(self.learning_rate, dict):

@@ -107,10 +107,16 @@ def test_file_sums(tmpdir_fresh):
         EP.FileExchange(tmpdir_fresh + "/alone", patience=0.01).sum(Context(0), 2, np.ones(3))
 
 
-def test_dynamic_allocation_goes_round_by_round(spark):
-    class Conf:
-        conf = {"spark.dynamicAllocation.enabled": "true"}
-    assert TR.TrainConfig().epoch_plan(Conf) == "rounds" and TR.TrainConfig().epoch_plan(spark) == "barrier"
+def test_plan_and_slots(spark):
+    from types import SimpleNamespace as Stub
+
+    def session(master, parallelism=8, **conf):
+        return Stub(conf={k.replace("_", "."): v for k, v in conf.items()}, sparkContext=Stub(master=master, defaultParallelism=parallelism))
+    plan = lambda *a, **k: TR.TrainConfig().epoch_plan(session(*a, **k))
+    assert TR.TrainConfig().epoch_plan(spark) == "barrier" and plan("yarn") == "barrier"
+    assert plan("yarn", spark_dynamicAllocation_enabled="true") == plan("yarn", spark_default_parallelism="900") == "rounds"
+    assert EP.slots(session("local[3]", 50), 9) == 3 and EP.slots(session("local-cluster[3, 2, 1024]", 50), 9) == 6
+    assert EP.slots(session("yarn", 4), 9) == 4 and EP.slots(session("local", 1), 9) == 1 and EP.slots(session("local[*]", 5), 9) == 5
 
 
 def test_minibatches_across_arrow_batches():
