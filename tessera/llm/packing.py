@@ -46,17 +46,6 @@ CACHED_CHARS = 64
 
 # ------------------------------------------------------------------ tokens
 
-class _Either(dict):
-    """A batch's long words; every other word comes from the cache."""
-
-    def __init__(self, cache: dict[str, bytes], own: dict[str, bytes]):
-        super().__init__(own)
-        self._cache = cache
-
-    def __missing__(self, word: str) -> bytes:
-        return self._cache[word]
-
-
 class WordBpe:
     """Ids of a text by the ``tokenizers`` library, word by word through a bounded cache.
 
@@ -101,7 +90,7 @@ class WordBpe:
                 plain.append((w, *m.groups()))
                 new.update(m.groups())
         new.discard("")
-        new = sorted(new.difference(known))
+        new = list(new.difference(known))
         if len(known) + len(new) > self._limit:
             used = {p for _, *parts in plain for p in parts if p in known}
             self._letters = known = {p: known[p] for p in used}
@@ -114,9 +103,8 @@ class WordBpe:
             known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)], strict=True))
         known[""] = b""
         out = {w: known[a] + known[b] for w, a, b in plain}
-        for p in new:
-            if len(p) > CACHED_CHARS:
-                del known[p]
+        for p in [p for p in new if len(p) > CACHED_CHARS]:
+            del known[p]
         for w, e in zip(odd, self._full.encode_batch(odd, add_special_tokens=False)):
             out[w] = np.array(e.ids, self.kind).tobytes()
         return out
@@ -129,12 +117,12 @@ class WordBpe:
         if missing:
             if len(cache) + len(missing) > self._limit:
                 self._words = cache = {w: cache[w] for w in words.difference(missing)}
-            new = self._learn(sorted(missing))
-            cache.update({w: ids for w, ids in new.items() if len(w) <= CACHED_CHARS})
-            cache = _Either(cache, {w: ids for w, ids in new.items() if len(w) > CACHED_CHARS}) \
-                if any(len(w) > CACHED_CHARS for w in missing) else cache
+            cache.update(self._learn(list(missing)))
         get = cache.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        out = [b"".join(map(get, words)) for words in split]
+        for w in [w for w in missing if len(w) > CACHED_CHARS]:
+            del cache[w]
+        return out
 
 
 _LOADED: dict[str, WordBpe] = {}
