@@ -106,12 +106,13 @@ def q_manifest_skip_stored(spark, sf):
     """F3 over a stored, bucketed list of what is present (kept between runs; here it is written first)."""
     import uuid
 
+    from tessera.session import scratch_path
     from tessera.sources.files import SMALL_FILE_BYTES, skip_existing_stored
     from tessera.sources.sinks import save_bucketed
     plan = _manifest_plan(spark, sf)
     pages = table(spark, sf, "pages").select("page_id", F.octet_length("html").alias("length"))
     existing = plan.join(pages.where(F.col("length") >= SMALL_FILE_BYTES), "page_id").select("target_path")
-    stored = save_bucketed(existing, f"present_{uuid.uuid4().hex[:12]}", "target_path", 8)
+    stored = save_bucketed(existing, f"present_{uuid.uuid4().hex[:12]}", "target_path", 8, scratch_path(spark, "present"))
     return skip_existing_stored(plan, stored).select("page_id", "target_path")
 
 

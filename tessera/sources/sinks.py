@@ -83,13 +83,14 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame],
     return spark.read.parquet(path)
 
 
-def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
     """A catalog table bucketed and sorted by ``key``: joins and anti joins on it read its side without a shuffle.
 
     One shuffle at the write (a file per bucket); every later join shuffles its other side only, into ``buckets`` partitions,
-    so ``buckets`` is chosen for the stored side (128-256 MB each). Rows without a key are kept; they match nothing."""
-    (df.repartition(buckets, F.col(key)).write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
-       .saveAsTable(name))
+    so ``buckets`` is chosen for the stored side (128-256 MB each). Rows without a key are kept; they match nothing. The data lie at
+    ``path``, or in the warehouse."""
+    writer = df.repartition(buckets, F.col(key)).write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

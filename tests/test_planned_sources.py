@@ -81,11 +81,11 @@ def test_numbered_batches_in_order(spark, tmpdir_fresh):
     assert LS.read_numbered(spark, SK_folder, "none-", "batch_id long, key long").count() == 0
 
 
-def test_stored_side_is_not_shuffled(spark):
+def test_stored_side_is_not_shuffled(spark, tmpdir_fresh):
     import uuid
     name = f"present_{uuid.uuid4().hex[:10]}"
     present = spark.range(0, 1000, 3).select(F.concat(F.lit("p"), F.col("id")).alias("target_path"))
-    stored = SK.save_bucketed(present.unionByName(present.limit(5)), name, "target_path", 6)
+    stored = SK.save_bucketed(present.unionByName(present.limit(5)), name, "target_path", 6, f"{tmpdir_fresh}/present")
     plan = spark.range(1000).select(F.concat(F.lit("p"), F.col("id")).alias("target_path"), "id") \
         .unionByName(spark.createDataFrame([(None, -1)], "target_path string, id long"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
