@@ -40,6 +40,8 @@ MAX_CELLS = 1024
 #: sample vectors a cell is fitted on, at least
 PER_CELL = 16
 BLOCK_BYTES = 32 << 20
+#: scores of rows and cells that a task holds at a time
+SCORES = 1 << 20
 NO_CELL = -1
 
 
@@ -107,29 +109,33 @@ def _vectors(df: DataFrame, key_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(key_col).alias("key"), as_double_array(vec_col).alias("vector")).where(F.size("vector") > 0)
 
 
+def _with_cells(batches: Iterator[pa.RecordBatch], at: int, c: np.ndarray, probes: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut to at most ``SCORES`` scores each, with ``cells`` of the vectors in column ``at``."""
+    dim, probes = c.shape[1], min(probes, len(c))
+    step = max(1, SCORES // len(c))
+    for b in (whole.slice(lo, step) for whole in batches for lo in range(0, whole.num_rows, step)):
+        col = b.column(at)
+        fits = np.flatnonzero(np.diff(col.offsets.to_numpy()) == dim)
+        x = col.take(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).reshape(len(fits), dim)
+        good = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+        top = np.argsort(-(x[good] @ c.T), axis=1, kind="stable")[:, :probes]
+        counts = np.ones(b.num_rows, dtype=np.int64)
+        counts[fits[good]] = probes
+        ends = np.cumsum(counts)
+        flat = np.full(ends[-1], NO_CELL, dtype=np.int32)
+        flat[(ends[fits[good]] - probes)[:, None] + np.arange(probes)] = top
+        cells = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([*b.columns, cells], names=[*b.schema.names, "cells"])
+
+
 def nearest_cells(rows: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
     """``rows`` (with ``vector``) with ``cells``: the ``probes`` cells nearest to each, nearest first; ``[-1]`` for vectors that
     have none."""
     shared = rows.sparkSession.sparkContext.broadcast(centroids)
-    dim, at = centroids.shape[1], rows.columns.index("vector")
+    at = rows.columns.index("vector")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
-        for b in batches:
-            col = b.column(at)
-            sizes = np.diff(col.offsets.to_numpy())
-            fits = np.flatnonzero(sizes == dim)
-            x = col.take(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).reshape(len(fits), dim)
-            good = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
-            cells: list = [[NO_CELL]] * b.num_rows
-            for lo in range(0, len(fits), 4096):
-                rows_, part = fits[lo:lo + 4096], x[lo:lo + 4096]
-                s = np.where(np.isfinite(part), part, 0.0) @ c.T
-                top = np.argsort(-s, axis=1, kind="stable")[:, :probes]
-                for i, ok, t in zip(rows_, good[lo:lo + 4096], top):
-                    if ok:
-                        cells[i] = t.tolist()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*b.schema.names, "cells"])
+        return _with_cells(batches, at, shared.value, probes)
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
 

@@ -3,7 +3,7 @@
 V2 never materialises query x vector pairs as rows, and has one plan at every
 size: both sides are cut into hash blocks of a bounded number of bytes, and a
 co-grouped task scores one query block against one vector block with matrix
-products (slices of at most 2^24 scores). A task keeps the k best per query in
+products (slices of at most 2^21 scores). A task keeps the k best per query in
 the final order (score desc, key asc), so ties never add rows; at most
 k x vector blocks candidates per query are ranked by a window that Spark
 limits to k rows before its shuffle.
@@ -55,38 +55,42 @@ def similarity(vectors: DataFrame, pairs: DataFrame, key_col: str, vec_col: str
 # ---------------------------------------------------------------- V2 top-k
 
 def _unit_rows(mat: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(mat, axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        out = mat / norms
-    out[~np.isfinite(out).all(axis=1)] = np.nan  # zero vector: no similarity
+    out = np.empty(mat.shape)
+    step = max(1, (1 << 18) // max(1, mat.shape[1]))
+    for lo in range(0, len(mat), step):  # by slices: what a step needs besides the result stays small
+        part = mat[lo:lo + step]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            unit = part / np.linalg.norm(part, axis=1, keepdims=True)
+        unit[~np.isfinite(unit).all(axis=1)] = np.nan  # zero vector: no similarity
+        out[lo:lo + step] = unit
     return out
 
 
 def _topk_candidates(q_keys: np.ndarray, q_unit: np.ndarray, v_keys: np.ndarray, v_mat: np.ndarray,
-                     k: int, exclude_self: bool, max_cells: int = 1 << 24
+                     k: int, exclude_self: bool, max_cells: int = 1 << 21
                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per query: its ``k`` best vectors here by (score desc, key asc), as
     (query position, vector position, score).
 
     The score matrix is built for slices of the queries so that one slice
-    holds at most ``max_cells`` scores (128 MiB by default), whatever the
-    number of queries or the batch size. Keys may be of any type."""
+    holds at most ``max_cells`` scores (16 MiB by default; ranking takes as
+    much again), whatever the number of queries or the batch size. Keys may be
+    of any type."""
     if len(v_keys) == 0 or len(q_keys) == 0:
         e = np.empty(0, dtype=np.int64)
         return e, e, np.empty(0)
     by_key = np.argsort(np.asarray(v_keys), kind="stable")  # ties go to the smaller key
-    v_keys, v_mat = np.asarray(v_keys)[by_key], v_mat[by_key]
-    v_unit = _unit_rows(v_mat).T  # (d, n)
+    v_keys, v_unit = np.asarray(v_keys)[by_key], _unit_rows(v_mat[by_key]).T  # (d, n)
     n = v_unit.shape[1]
     kk = min(k, n)
     step = max(1, max_cells // n)
     out_q, out_v, out_s = [], [], []
     for lo in range(0, len(q_keys), step):
         sims = q_unit[lo:lo + step] @ v_unit  # (slice, n)
-        sims = np.where(np.isnan(sims), -np.inf, sims)
+        sims[np.isnan(sims)] = -np.inf
         if exclude_self:
             sims[np.asarray(q_keys[lo:lo + step])[:, None] == v_keys[None, :]] = -np.inf
-        kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+        kth = np.partition(sims, n - kk, axis=1)[:, n - kk].copy()  # not a view that keeps the slice
         for i, (row, low) in enumerate(zip(sims, kth)):
             at = np.flatnonzero((row >= low) & np.isfinite(row))
             at = at[np.argsort(-row[at], kind="stable")[:k]]

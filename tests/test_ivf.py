@@ -75,3 +75,26 @@ def test_empty_and_small_tables(spark, clustered, tmpdir_fresh):
     few = ivf.build(clustered.where("vec_id < 2"), f"{tmpdir_fresh}/f")
     assert ivf.search(few, clustered.where("vec_id < 2"), k=3).count() == 2
     assert ivf.search(few, clustered.limit(0)).count() == 0
+
+
+def test_cells_of_a_large_batch_are_made_in_slices():
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    c = ivf._units(rng.normal(size=(1024, 4)))
+    x = rng.normal(size=(6000, 4))
+    x[17] = 0.0
+    vectors = [r.tolist() for r in x]
+    vectors[18] = [1.0, 2.0]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6000)), pa.array(vectors, pa.list_(pa.float64()))], names=["key", "vector"])
+    seen, want = 0, np.argsort(-(x @ c.T), axis=1, kind="stable")
+    tracemalloc.start()
+    for b in ivf._with_cells(iter([batch]), 1, c, 5000):
+        for key, cells in zip(b.column("key").to_pylist()[:20], b.column("cells").slice(0, 20).to_pylist()):
+            assert cells == ([-1] if key in (17, 18) else want[key].tolist())
+        assert b.column("key").to_pylist() == list(range(seen, seen + b.num_rows))
+        seen += b.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 6000 and peak < 64 << 20  # 6000 x 1024 cells as Python lists are over 200 MB

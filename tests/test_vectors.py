@@ -101,3 +101,19 @@ def test_nearest_skips_null_and_short_vectors_and_cuts_ties(spark):
     x = np.ones((1000, 2))
     keys = np.arange(1000)
     assert len(V._topk_candidates(keys[:2], V._unit_rows(x[:2]), keys, x, 3, True)[0]) == 6
+
+
+def test_scoring_holds_bounded_slices():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1 << 16, 4))
+    keys = np.arange(len(x))
+    unit = V._unit_rows(x[:512])
+    tracemalloc.start()
+    q, v, s = V._topk_candidates(keys[:512], unit, keys, x, 3, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # 512 x 65536 scores are 256 MB
+    sims = unit[:5] @ V._unit_rows(x).T
+    sims[np.arange(5), np.arange(5)] = -np.inf
+    assert v.reshape(512, 3)[:5].tolist() == np.argsort(-sims, axis=1)[:, :3].tolist() and q.tolist() == np.repeat(keys[:512], 3).tolist()
