@@ -23,18 +23,25 @@ from pyspark.sql import types as T
 from tessera.functions.labels import base_name, parent_dir_label
 
 _FEATURES = T.ArrayType(T.DoubleType())
+#: tasks that read a folder of images: so many per core, or ``MIN_TASKS`` if that is more
+TASKS_PER_CORE = 32
+MIN_TASKS = 512
 
 
 def read_images(spark: SparkSession, folder: str, drop_invalid: bool = False, path_glob: str | None = None
                 ) -> DataFrame:
     """``(path, height, width, channels, mode, data, error)`` for every image
     under ``folder`` (recursive). Undecodable files are kept with an
-    ``error`` text unless ``drop_invalid``."""
+    ``error`` text unless ``drop_invalid``.
+
+    Spark plans one partition per 32 small files (``openCostInBytes``); they are
+    put together without a shuffle, so the number of tasks follows the cores and
+    not the number of files."""
     reader = (spark.read.format("image").option("dropInvalid", str(drop_invalid).lower())
                    .option("recursiveFileLookup", "true"))
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    df = reader.load(folder)
+    df = reader.load(folder).coalesce(max(MIN_TASKS, TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
     return df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),
                      F.col("image.mode").alias("mode"), F.col("image.data").alias("data"),
@@ -209,14 +216,20 @@ def image_batches(spark: SparkSession, folder: str, batch_size: int, height: int
     batches wherever it is stored, and batched by the scalable global index
     (T3); undecodable images and labels outside the class range are left
     out of the tensors and kept in the ``error`` column of
-    ``labelled_images``."""
+    ``labelled_images``. The files are read and decoded once, into the shared
+    scratch folder: counting, ordering and batching read what was decoded."""
     from tessera.functions.arrays import scale_pixels
     from tessera.functions.labels import one_hot
     from tessera.operators.sampling import minibatches
+    from tessera.session import scratch_path
 
     imgs = labelled_images(spark, folder, height, width, channels)
     imgs = imgs.withColumn("label", F.col("label_name").try_cast("int"))
-    ok = imgs.where(F.col("error").isNull() & (F.col("label") >= 0) & (F.col("label") < n_classes))
+    ok = imgs.where(F.col("error").isNull() & (F.col("label") >= 0) & (F.col("label") < n_classes)) \
+        .select("path", "label_name", "label", "features")
+    decoded = scratch_path(spark, "decoded")
+    ok.write.parquet(decoded)
+    ok = spark.read.schema(ok.schema).parquet(decoded)
     if scale:
         ok = ok.withColumn("features", scale_pixels("features"))
     ok = ok.withColumn("onehot", one_hot("label", n_classes))

@@ -186,6 +186,34 @@ def test_image_batches_tensor_layout(spark, tmpdir_fresh):
     assert [int(np.argmax(r)) for r in onehot] == [int(n) for n in b0["label_names"]]
 
 
+def test_image_batches_decode_each_file_once(spark, tmpdir_fresh):
+    rng = np.random.default_rng(8)
+    names = [f"{tmpdir_fresh}/{cls}/{i}.png" for cls in ("0", "1") for i in range(5)]
+    for n in names:
+        _write(n, IM.encode_png(rng.integers(0, 256, size=(4, 4), dtype=np.uint8)))
+    _write(f"{tmpdir_fresh}/1/bad.png", b"not an image")
+    batches = IM.image_batches(spark, tmpdir_fresh, batch_size=4, height=4, width=4, channels=1, n_classes=2)
+    for n in names:
+        _write(n, b"x")  # counted, ordered and batched from what was decoded: the files are not read again
+    rows = batches.orderBy("batch_id").collect()
+    assert [b["shape"] for b in rows] == [[4, 1, 4, 4], [4, 1, 4, 4], [2, 1, 4, 4]]
+    assert sorted("/" + p.split("file:")[-1].lstrip("/") for b in rows for p in b["paths"]) == [os.path.normpath(n) for n in sorted(names)]
+
+
+def test_image_tasks_do_not_follow_the_files(spark, tmpdir_fresh):
+    png = IM.encode_png(np.zeros((2, 2), dtype=np.uint8))
+    for i in range(IM.MIN_TASKS + 40):
+        _write(f"{tmpdir_fresh}/0/{i}.png", png)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")  # a partition per file, as many files would have them
+    try:
+        imgs = IM.read_images(spark, f"{tmpdir_fresh}/0")
+        assert imgs.rdd.getNumPartitions() <= max(IM.MIN_TASKS, IM.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+        assert imgs.select("path").distinct().count() == IM.MIN_TASKS + 40
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_extract_then_read_images(spark, tmpdir_fresh):
     buf = io.BytesIO()
     rng = np.random.default_rng(9)
